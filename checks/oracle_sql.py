@@ -1,7 +1,8 @@
 """The registered queries as plain SQL for DuckDB, written apart from the Spark code.
 
 All of them stand on the common table expressions in `FEED`, which read the `events` table
-the way `tramline.sources.sample` does.
+the way `tramline.sources.sample` does. Coordinates are doubles, or of single precision where
+they came through decoded messages.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ feed AS (
          CAST(2500 + user_id % 10 AS VARCHAR) AS agency_id,
          'M' || (user_id % 15) AS route_short_name,
          'T' || user_id || '-' || (timestamp // 14400) AS trip_id,
-         CASE WHEN k % 25 = 0 THEN 0e0 ELSE -33.87e0 + (k % 10) * 0.001e0 END AS latitude,
-         CASE WHEN k % 25 = 0 THEN 0e0 ELSE 151.2e0 + (user_id % 5) * 0.001e0 END AS longitude,
+         CAST(CAST(CASE WHEN k % 25 = 0 THEN 0e0 ELSE -33.87e0 + (k % 10) * 0.001e0 END
+                   AS {precision}) AS DOUBLE) AS latitude,
+         CAST(CAST(CASE WHEN k % 25 = 0 THEN 0e0 ELSE 151.2e0 + (user_id % 5) * 0.001e0 END
+                   AS {precision}) AS DOUBLE) AS longitude,
          CAST(k * 37 % 360 AS DOUBLE) AS bearing,
          timestamp,
          event_type = 'error' AS is_update,
@@ -154,16 +157,6 @@ _ON_FEED = {
              CAST(arrival_seq AS VARCHAR) AS entity_id,
              to_base64(encode(vehicle_id || '|' || trip_id || '|' || timestamp)) AS value
       FROM pos""",
-    "decode_positions": """
-      SELECT arrival_seq, vehicle_id, r AS route_id,
-             CASE WHEN contains(r, '_') THEN split_part(r, '_', 1) ELSE r END AS agency_id,
-             CASE WHEN contains(r, '_') THEN substr(r, strpos(r, '_') + 1) ELSE r END
-               AS route_short_name,
-             trip_id, CAST(CAST(latitude AS FLOAT) AS DOUBLE) AS latitude,
-             CAST(CAST(longitude AS FLOAT) AS DOUBLE) AS longitude,
-             CASE WHEN arrival_seq % 17 = 0 THEN 0 ELSE bearing END AS bearing, timestamp
-      FROM (SELECT *, CASE WHEN arrival_seq % 19 = 0 THEN '' ELSE route_id END AS r FROM pos)
-      WHERE arrival_seq % 13 <> 0""",
     "decode_trip_updates": """
       SELECT arrival_seq, trip_id, delay_seconds FROM upd WHERE arrival_seq % 4 IN (0, 1)""",
     "route_split": """
@@ -191,6 +184,7 @@ _ON_FEED = {
       SELECT arrival_seq, vehicle_id, route_id, bunched.arrival_seq IS NOT NULL AS is_bunching
       FROM pos LEFT JOIN bunched USING (arrival_seq)""",
     "silver_events": "SELECT * FROM silver",
+    "stream_stateful": "SELECT * FROM enriched",
     "staged_events": "SELECT * FROM staged",
     # live table
     "live_state": "SELECT * FROM live",
@@ -323,8 +317,27 @@ _TRENDS = {
 }
 
 
+_ON_MESSAGES = {
+    "decode_positions": """
+      SELECT arrival_seq, vehicle_id, r AS route_id,
+             CASE WHEN contains(r, '_') THEN split_part(r, '_', 1) ELSE r END AS agency_id,
+             CASE WHEN contains(r, '_') THEN substr(r, strpos(r, '_') + 1) ELSE r END
+               AS route_short_name,
+             trip_id, latitude, longitude,
+             CASE WHEN arrival_seq % 17 = 0 THEN 0 ELSE bearing END AS bearing, timestamp
+      FROM (SELECT *, CASE WHEN arrival_seq % 19 = 0 THEN '' ELSE route_id END AS r FROM pos)
+      WHERE arrival_seq % 13 <> 0""",
+    "stream_bronze_positions": "SELECT * FROM pos",
+    "stream_bronze_updates": "SELECT * FROM upd",
+    "stream_silver": "SELECT * FROM enriched",
+    "stream_live_state": _ON_FEED["live_vehicles"],
+}
+
+
 def statements() -> dict[str, str]:
-    sql = {name: FEED + select for name, select in _ON_FEED.items()}
+    doubles, singles = (FEED.replace("{precision}", p) for p in ("DOUBLE", "FLOAT"))
+    sql = {name: doubles + select for name, select in _ON_FEED.items()}
+    sql |= {name: singles + select for name, select in _ON_MESSAGES.items()}
     for name, chosen in _TRENDS.items():
-        sql[name] = FEED + f", chosen AS ({chosen})" + TREND
+        sql[name] = doubles + f", chosen AS ({chosen})" + TREND
     return sql

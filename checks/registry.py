@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline import schemas
 from tramline.functions import geo, labels
 from tramline.functions.clock import partition_keys
 from tramline.operators.last_known import attach_delay
@@ -18,7 +19,10 @@ from tramline.plans.staging import stage_events
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.session import scratch_folder
 from tramline.settings import DEFAULTS
-from tramline.sources import feed, sample, tables
+from tramline.sources import feed, sample, tables, topics
+from tramline.streaming import pipeline, stateful
+from tramline.streaming.arrivals import merged
+from tramline.streaming.microbatch import Places
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,11 +77,11 @@ def feed_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decode_positions(spark: SparkSession, sf: str) -> DataFrame:
-    return feed.decode_positions(sample.entities(spark, sf))
+    return feed.decode_positions(sample.messages_with_gaps(spark, sf))
 
 
 def decode_trip_updates(spark: SparkSession, sf: str) -> DataFrame:
-    return feed.decode_trip_updates(sample.entities(spark, sf))
+    return feed.decode_trip_updates(sample.messages_with_gaps(spark, sf))
 
 
 def route_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,3 +309,87 @@ QUERIES: dict[str, Query] = {
     "dq_unique_event": _over(staged, quality.repeated_events),
     "dq_stale_delay": _over(staged, quality.stale_delays),
 }
+
+
+# --- streams: the same rows, landed in two waves and taken up by restarted queries ------
+
+
+def _waves(spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame], object]) -> None:
+    """Land the first half of the arrivals, run the stream to its end, then the second half."""
+    landing = scratch_folder(spark, "landing")
+    low, high = rows.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
+    middle = (low + high) // 2
+    for wave in (F.col("arrival_seq") <= middle, F.col("arrival_seq") > middle):
+        rows.filter(wave).write.mode("append").parquet(landing)
+        started = run(topics.landed_files(spark, landing, rows.schema))
+        for query in started if isinstance(started, list) else [started]:
+            query.awaitTermination()
+
+
+def _streamed(spark: SparkSession, sf: str) -> Places:
+    """The whole live path, from entities to bronze, silver and the live table."""
+    places = Places.under(scratch_folder(spark, "stream"))
+    _waves(
+        spark,
+        sample.messages(spark, sf),
+        lambda stream: pipeline.start(spark, stream, stream, places, once=True),
+    )
+    return places
+
+
+def _streamed_bronze(spark: SparkSession, sf: str) -> Places:
+    places = Places.under(scratch_folder(spark, "bronze"))
+    _waves(
+        spark,
+        sample.messages(spark, sf),
+        lambda stream: pipeline.start_bronze(
+            feed.decode_positions(stream), feed.decode_trip_updates(stream), places, once=True
+        ),
+    )
+    return places
+
+
+def stream_bronze_positions(spark: SparkSession, sf: str) -> DataFrame:
+    places = _streamed_bronze(spark, sf)
+    return spark.read.parquet(places.bronze_positions).select(schemas.POSITION.names)
+
+
+def stream_bronze_updates(spark: SparkSession, sf: str) -> DataFrame:
+    places = _streamed_bronze(spark, sf)
+    return spark.read.parquet(places.bronze_updates).select(schemas.TRIP_UPDATE.names)
+
+
+def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.read_silver(spark, _streamed(spark, sf).silver)
+    return rows.select(schemas.SILVER.names)
+
+
+def stream_live_state(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_live(spark, _streamed(spark, sf).live)
+
+
+def stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver from the two operators that keep their state in Spark's state store."""
+    root = scratch_folder(spark, "stateful")
+    arrived = merged(sample.positions(spark, sf), sample.trip_updates(spark, sf))
+    setting, provider = stateful.STATE_STORE
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, provider)
+    try:
+        _waves(
+            spark,
+            arrived,
+            lambda stream: stateful.start(stream, f"{root}/silver", f"{root}/checkpoint", once=True),
+        )
+    finally:
+        spark.conf.set(setting, before)
+    return tables.read_silver(spark, f"{root}/silver").select(schemas.SILVER.names)
+
+
+QUERIES |= {
+    "stream_bronze_positions": stream_bronze_positions,
+    "stream_bronze_updates": stream_bronze_updates,
+    "stream_silver": stream_silver,
+    "stream_live_state": stream_live_state,
+    "stream_stateful": stream_stateful,
+}

@@ -17,10 +17,16 @@ def enrich(positions: DataFrame, updates: DataFrame, settings: Settings = DEFAUL
     The flag does not depend on the delay, so it is worked out on the bare positions, where
     only seven narrow columns are shuffled, and joined to the delays by arrival number.
     """
-    flagged = bunching_arrivals(positions, settings).withColumn("flag", F.lit(True))
+    return with_flags(
+        attach_delay(positions, updates, settings), bunching_arrivals(positions, settings)
+    )
+
+
+def with_flags(delayed: DataFrame, bunching: DataFrame) -> DataFrame:
+    """Silver rows from delayed positions and the arrival numbers of the bunching ones."""
+    flagged = bunching.withColumn("flag", F.lit(True))
     return (
-        attach_delay(positions, updates, settings)
-        .join(flagged, "arrival_seq", "left")
+        delayed.join(flagged, "arrival_seq", "left")
         .withColumn("is_bunching", F.coalesce("flag", F.lit(False)))
         .select(schemas.SILVER.names)
     )

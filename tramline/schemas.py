@@ -112,3 +112,9 @@ HISTORY_COLUMNS = ["timestamp", "route_id", "agency_id", "delay_seconds", "is_bu
 AGENCY = T.StructType(
     [T.StructField("agency_id", T.StringType()), T.StructField("agency_name", T.StringType())]
 )
+
+LIVE = T.StructType([SILVER[name] for name in LIVE_COLUMNS])
+
+
+def ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)

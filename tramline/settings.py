@@ -40,6 +40,10 @@ class Settings:
     arrivals_per_block: int = 1 << 20
     candidates_per_task: int = 1 << 18
 
+    # Streaming state older than this is forgotten; the default keeps it for ever. A day is
+    # plenty for trips, and bunching looks back two minutes.
+    state_ttl_s: int | None = None
+
     # Where the latest row per vehicle is kept: "local" or "dynamodb" value types.
     live_backend: str = "local"
 

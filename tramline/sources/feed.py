@@ -1,7 +1,7 @@
 """Feed snapshots and decoded entities to bronze rows.
 
-Entities arrive as nested structs (`schemas.ENTITY`). Where Spark's protobuf package is
-installed `from_protobuf` produces the same struct from the wire bytes.
+Entities are nested structs (`schemas.ENTITY`). On the wire they are protobuf messages in
+base64 text; `entity_of` reads those where Spark's protobuf package is installed.
 """
 
 from __future__ import annotations
@@ -33,6 +33,34 @@ def message_bytes(value: Column) -> Column:
     return F.unbase64(value)
 
 
+def entity_of(value: Column, descriptor: str, message: str = "transit_realtime.FeedEntity") -> Column:
+    """The entity in a topic message; `descriptor` is the compiled protobuf description file."""
+    from pyspark.sql.protobuf.functions import from_protobuf
+
+    wire = from_protobuf(message_bytes(value), message, descriptor)
+    vehicle, update = wire["vehicle"], wire["trip_update"]
+    position = F.struct(*[vehicle["position"][n] for n in ("latitude", "longitude", "bearing")])
+    stops = F.transform(
+        update["stop_time_update"],
+        lambda stop: F.struct(
+            *[F.struct(stop[n]["delay"].alias("delay")).alias(n) for n in ("arrival", "departure")]
+        ),
+    )
+    return F.struct(
+        wire["id"],
+        F.when(
+            vehicle.isNotNull(),
+            F.struct(
+                F.struct(vehicle["trip"]["trip_id"], vehicle["trip"]["route_id"]),
+                F.struct(vehicle["vehicle"]["id"]),
+                position,
+                vehicle["timestamp"],
+            ),
+        ),
+        F.when(update.isNotNull(), F.struct(F.struct(update["trip"]["trip_id"]), stops)),
+    ).cast(schemas.ENTITY)
+
+
 def _text(path: str) -> Column:
     return F.coalesce(F.col(path), F.lit(""))
 

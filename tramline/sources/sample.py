@@ -94,45 +94,58 @@ def agencies(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(AGENCIES, schemas.AGENCY)
 
 
-def entities(spark: SparkSession, tables: str) -> DataFrame:
-    """The same messages before decoding, with the gaps real feeds have.
+_NO_DELAY = "struct<delay:int>"
 
-    Some vehicles are on no trip, some have no route or no bearing; some updates give only a
-    departure, no stop at all, or a delay at a later stop only.
-    """
-    seq = F.col("arrival_seq")
+
+def _stop(arrival: Column, departure: Column) -> Column:
+    return F.struct(arrival.alias("arrival"), departure.alias("departure"))
+
+
+def _entity(trip_id: Column, route_id: Column, bearing: Column, stops: Column) -> Column:
     vehicle = F.struct(
-        F.struct(
-            F.when(seq % 13 == 0, "").otherwise(F.col("trip_id")).alias("trip_id"),
-            F.when(seq % 19 != 0, F.col("route_id")).alias("route_id"),
-        ).alias("trip"),
-        F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
-        F.struct(
-            F.col("latitude"),
-            F.col("longitude"),
-            F.when(seq % 17 != 0, F.col("bearing")).alias("bearing"),
-        ).alias("position"),
+        F.struct(trip_id, route_id),
+        F.struct("vehicle_id"),
+        F.struct(F.col("latitude"), F.col("longitude"), bearing),
         F.col("timestamp"),
     )
+    update = F.struct(F.struct("trip_id"), stops)
+    return F.struct(
+        F.col("arrival_seq").cast("string"),
+        F.when(~F.col("is_update"), vehicle),
+        F.when(F.col("is_update"), update),
+    ).cast(schemas.ENTITY)
+
+
+def messages(spark: SparkSession, tables: str) -> DataFrame:
+    """The arrivals as entities before decoding."""
     delay = F.struct(F.col("delay_seconds").cast("int").alias("delay"))
-    unset = F.lit(None).cast("struct<delay:int>")
+    stops = F.array(_stop(delay, F.lit(None).cast(_NO_DELAY)))
+    entity = _entity(F.col("trip_id"), F.col("route_id"), F.col("bearing"), stops)
+    return arrivals(spark, tables).select("arrival_seq", entity.alias("entity"))
+
 
-    def stop(arrival: Column, departure: Column) -> Column:
-        return F.struct(arrival.alias("arrival"), departure.alias("departure"))
+def messages_with_gaps(spark: SparkSession, tables: str) -> DataFrame:
+    """The same messages with the gaps real feeds have.
 
+    Some vehicles are on no trip, some have no route or no bearing; some updates give only a
+    departure, a delay at a later stop only, or no stop at all.
+    """
+    seq = F.col("arrival_seq")
+    delay = F.struct(F.col("delay_seconds").cast("int").alias("delay"))
+    unset = F.lit(None).cast(_NO_DELAY)
     stops = (
-        F.when(seq % 4 == 0, F.array(stop(delay, unset)))
-        .when(seq % 4 == 1, F.array(stop(unset, delay)))
-        .when(seq % 4 == 2, F.array(stop(unset, unset), stop(delay, delay)))
-        .otherwise(F.array().cast("array<struct<arrival:struct<delay:int>,departure:struct<delay:int>>>"))
+        F.when(seq % 4 == 0, F.array(_stop(delay, unset)))
+        .when(seq % 4 == 1, F.array(_stop(unset, delay)))
+        .when(seq % 4 == 2, F.array(_stop(unset, unset), _stop(delay, delay)))
+        .otherwise(F.array().cast(f"array<struct<arrival:{_NO_DELAY},departure:{_NO_DELAY}>>"))
     )
-    update = F.struct(F.struct("trip_id").alias("trip"), stops.alias("stop_time_update"))
-    entity = F.struct(
-        seq.cast("string").alias("id"),
-        F.when(~F.col("is_update"), vehicle).alias("vehicle"),
-        F.when(F.col("is_update"), update).alias("trip_update"),
+    entity = _entity(
+        F.when(seq % 13 == 0, "").otherwise(F.col("trip_id")),
+        F.when(seq % 19 != 0, F.col("route_id")),
+        F.when(seq % 17 != 0, F.col("bearing")),
+        stops,
     )
-    return arrivals(spark, tables).select(seq, entity.cast(schemas.ENTITY).alias("entity"))
+    return arrivals(spark, tables).select(seq, entity.alias("entity"))
 
 
 def snapshots(spark: SparkSession, tables: str) -> DataFrame:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from tramline import schemas
-from tramline.plans.dashboard import normalize_live
-from tramline.plans.history import in_last_days, older_than
+from tramline.plans import dashboard
+from tramline.plans.history import in_last_days
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.settings import DEFAULTS, Settings
+from tramline.sources.folders import VersionedTable
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -20,8 +21,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     The schema is declared, so no file footers are merged and old files need no rewrite.
     """
     keys = "year INT, month INT, day INT"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.SILVER.fields)
-    return spark.read.schema(f"{fields}, {keys}").parquet(path)
+    return spark.read.schema(f"{schemas.ddl(schemas.SILVER)}, {keys}").parquet(path)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -46,35 +46,31 @@ def read_history(
     return chosen.select(HISTORY_COLUMNS).orderBy("timestamp", "route_id", "delay_seconds")
 
 
-def expired_folders(
-    spark: SparkSession, path: str, today: dt.date, settings: Settings = DEFAULTS
-) -> DataFrame:
-    """The partition folders past retention, one row each, for a job that removes them."""
-    return (
-        read_silver(spark, path)
-        .filter(older_than(today, settings.retention_days))
-        .select("year", "month", "day")
-        .distinct()
-    )
-
-
 def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     """The agency dimension from CSV. Ids stay text: some are not numbers."""
     return spark.read.csv(path, header=True, schema=schemas.AGENCY)
 
 
-def read_live(spark: SparkSession, table: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Live rows with backend value types undone; no rows where the table does not exist yet.
+def live_table(spark: SparkSession, path: str) -> VersionedTable:
+    """The latest row per vehicle, with the arrival number that decides which row is latest."""
+    return VersionedTable(spark, path, f"arrival_seq bigint, {schemas.ddl(schemas.LIVE)}")
+
+
+def read_live(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """Live rows, normalised; no rows where no stream has written any yet.
 
-    The key-value backend is read without the trip id, as a projection over all of its rows.
+    The key-value backend is read without the trip id, over all of its rows.
     """
-    if not spark.catalog.tableExists(table):
-        live = spark.createDataFrame([], schemas.SILVER).select(schemas.LIVE_COLUMNS)
-    else:
-        live = spark.table(table)
+    live = live_table(spark, path).before().select(schemas.LIVE_COLUMNS)
     if settings.live_backend == "dynamodb":
-        live = live.drop("trip_id")
-    return normalize_live(live)
+        live = dashboard.as_keyvalue_values(live).drop("trip_id")
+    return dashboard.normalize_live(live)
+
+
+def save_gold(marts: dict[str, DataFrame]) -> None:
+    """Rebuild the gold tables. Rows are ordered when they are read, not when they are stored."""
+    for name, rows in marts.items():
+        rows.write.mode("overwrite").saveAsTable(name)
 
 
 def read_gold(spark: SparkSession, name: str) -> DataFrame:
