@@ -25,9 +25,12 @@ def delay_trend(history: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     Readings count as often as they were polled. The empty minutes come from a grid built day
     by day on the executors, so a stray early timestamp widens it without a giant array.
     """
-    minute = (F.floor(F.col("timestamp") / BIN_SECONDS) * BIN_SECONDS).alias("minute")
-    means = history.filter(F.col("timestamp").isNotNull()).groupBy(minute).agg(
-        F.avg("delay_seconds").alias("delay_seconds")
+    minute = F.floor(F.col("timestamp") / BIN_SECONDS) * BIN_SECONDS
+    means = (
+        history.select(minute.alias("minute"), "delay_seconds")
+        .filter(F.col("minute").isNotNull())
+        .groupBy("minute")
+        .agg(F.avg("delay_seconds").alias("delay_seconds"))
     )
     # Whole bins are compared, so that both uses of `means` are one plan and Spark runs it once.
     whole = F.struct("minute", "delay_seconds")

@@ -24,7 +24,8 @@ def fan_out(snapshots: DataFrame, topic: str) -> DataFrame:
         *kept,
         F.lit(topic).alias("topic"),
         F.col("entity.id").alias("entity_id"),
-        F.base64("entity.payload").alias("value"),
+        # Spark may break base64 text into lines; a message is one line.
+        F.translate(F.base64("entity.payload"), "\r\n", "").alias("value"),
     )
 
 
