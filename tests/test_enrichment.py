@@ -14,8 +14,8 @@ from tramline.operators.proximity import bunching_arrivals, flag_bunching
 from tramline.plans.enrich import enrich
 from tramline.settings import Settings
 
-# Small blocks and parts, so that a few hundred rows cross them.
-TIGHT = Settings(arrivals_per_block=16, candidates_per_task=4)
+# Small blocks and cell sizes, so that a few hundred rows exceed them.
+TIGHT = Settings(arrivals_per_block=16, positions_per_cell=4)
 WIDE = Settings()
 
 

@@ -15,7 +15,8 @@ limits. Three steps, none of which pairs up the rows of a route:
 3. `_near_neighbours` takes the rows that are alone in their cell and semi-joins them to the
    positions in wider cells around them, with the exact limits as residual condition. Alone
    rows of one small cell have disjoint spans, so few are left wherever many vehicles meet.
-   Wide cells with many positions are split over several tasks.
+   Wide cells with many positions are also cut along arrival order, so that a row is held
+   against the positions valid around its arrival and not against all there ever were.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ _CELL = ["time_cell", "lat_cell", "lon_cell"]
 # at the equator; rows beyond share one longitude cell.
 _LAT_LIMIT = 60.0
 _POLAR = -1
+# Slots of arrival order in heavy cells: a position goes to the narrowest level that is as wide
+# as its span, where it overlaps two slots at most. The last level is one slot for everything.
+_LEVELS = [10, 18, 26, 34, 42, 50, 58]
+_WHOLE = 63
 
 
 def flag_bunching(positions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -125,14 +130,13 @@ def _crowded(valid: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _heavy_cells(seen: DataFrame, settings: Settings) -> DataFrame:
-    """Wide cells with more positions than one task should buffer, and into how many to cut them."""
+    """Wide cells with too many positions to hold every row against every other."""
     return (
         seen.select("route_id", *_Grid(settings).home())
         .groupBy("route_id", *_CELL)
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > settings.candidates_per_task)
-        .withColumn("parts", F.ceil(F.col("n") / settings.candidates_per_task))
-        .drop("n")
+        .filter(F.col("n") > settings.positions_per_cell)
+        .select("route_id", *_CELL, F.lit(True).alias("heavy"))
     )
 
 
@@ -153,19 +157,25 @@ def _near_neighbours(
     for name, cells in zip(_CELL, grid.in_reach()):
         probes = probes.withColumn(name, F.explode(cells))
 
-    # The positions of a heavy cell are dealt out over its parts, and the few alone rows
-    # around it visit every part.
     key = ["route_id", *_CELL]
-    parts = F.coalesce("parts", F.lit(1))
-    homes = homes.join(heavy, key, "left").withColumn(
-        "part", F.pmod(F.xxhash64("o_arrival_seq"), parts)
-    )
-    probes = probes.join(heavy, key, "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    heavy_cell = F.coalesce("heavy", F.lit(False))
+
+    homes = homes.join(heavy, key, "left")
+    span = F.col("o_until") - F.col("o_arrival_seq")
+    level = F.when(~heavy_cell | (F.col("o_until") == _NEVER), _WHOLE)
+    for bits in _LEVELS:
+        level = level.when(span <= 1 << bits, bits)
+    homes = homes.withColumn("level", level.otherwise(_WHOLE)).withColumn(
+        "slot",
+        F.explode(F.sequence(_slot("o_arrival_seq"), _slot("o_until"))),
     )
 
+    probes = probes.join(heavy, key, "left")
+    visited = F.when(heavy_cell, _array(*_LEVELS, _WHOLE)).otherwise(_array(_WHOLE))
+    probes = probes.withColumn("level", F.explode(visited)).withColumn("slot", _slot("arrival_seq"))
+
     p, h = probes.alias("p"), homes.alias("h")
-    same_cell = [F.col(f"p.{name}") == F.col(f"h.{name}") for name in [*key, "part"]]
+    same_cell = [F.col(f"p.{name}") == F.col(f"h.{name}") for name in [*key, "level", "slot"]]
     # Cheapest test first; the distance is only worked out for what is left.
     in_reach = (
         (F.col("o_arrival_seq") < F.col("arrival_seq"))
@@ -183,6 +193,17 @@ def _near_neighbours(
     return p.join(h, [*same_cell, in_reach], "left_semi").select("arrival_seq").distinct()
 
 
+def _array(*values: int) -> Column:
+    return F.array(*[F.lit(value) for value in values])
+
+
+def _slot(seq: str) -> Column:
+    """The slot of an arrival number on the row's level."""
+    return F.when(F.col("level") == _WHOLE, F.lit(0).cast("long")).otherwise(
+        F.expr(f"shiftright({seq}, level)")
+    )
+
+
 class _Grid:
     """Wide cells: a position lives in one, a probe visits every cell its reach overlaps.
 

@@ -38,7 +38,7 @@ class Settings:
 
     # Scale knobs: they change how work is split, never what comes out.
     arrivals_per_block: int = 1 << 20
-    candidates_per_task: int = 1 << 18
+    positions_per_cell: int = 1 << 12
 
     # Streaming state older than this is forgotten; the default keeps it for ever. A day is
     # plenty for trips, and bunching looks back two minutes.

@@ -25,10 +25,14 @@ AGENCIES = [
     ("2509", "Golf Buses"),
 ]
 
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
 
 def arrivals(spark: SparkSession, tables: str) -> DataFrame:
     """Every event with its fleet columns; `arrival_seq` is the event id."""
-    events = spark.read.parquet(f"{tables}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{tables}/events.parquet")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("ts"))
     seconds = F.floor((micros / F.lit(1_000_000.0) - 1_704_067_200) / 10) + 1_712_275_200
