@@ -237,6 +237,23 @@ def test_a_batch_that_runs_twice_leaves_the_same_tables(spark, tmp_path):
     assert Folder(spark, places.silver).matching("year=2024/month=04/day=10/batch=*")
 
 
+def test_batches_count_in_the_order_they_are_handled(spark, tmp_path):
+    """A slow partition delivers lower arrival numbers in a later batch."""
+    feed_rows = sorted(random_feed(24, n=160), key=lambda r: r["arrival_seq"])
+    late, rest = feed_rows[40:80], feed_rows[:40] + feed_rows[80:]
+    handled = [{**row, "arrival_seq": i} for i, row in enumerate([*rest, *late])]
+    want = {(handled[seq]["vehicle_id"], handled[seq]["timestamp"], delay, flag) for seq, delay, flag in replay(handled)}
+    places = Places.under(str(tmp_path))
+    enricher = BatchEnricher(spark, places, TIGHT)
+    for batch_id, part in enumerate((rest, late)):
+        frame = arrivals_frame(spark, part).withColumn("flushed", F.lit(TODAY_EPOCH).cast("long"))
+        enricher(frame, batch_id)
+    rows = tables.read_silver(spark, places.silver).collect()
+    assert {(r.vehicle_id, r.timestamp, r.delay_seconds, r.is_bunching) for r in rows} == want
+    last = {row["vehicle_id"]: row["timestamp"] for row in handled if "vehicle_id" in row}
+    assert {r.vehicle_id: r.timestamp for r in tables.live_table(spark, places.live).before().collect()} == last
+
+
 def test_old_state_is_forgotten_on_request(spark, tmp_path):
     enricher = BatchEnricher(spark, Places.under(str(tmp_path)), Settings(state_ttl_s=60))
     batches = [[update(1, 500), position(2, "a", ts=1)], [position(3, "b", ts=1)], [position(4, "c", ts=1, trip="u")]]

@@ -32,7 +32,6 @@ from tramline.settings import DEFAULTS, Settings
 
 _NEVER = (1 << 63) - 1
 _GEOMETRY = ["timestamp", "latitude", "longitude", "bearing"]
-_CELL = ["time_cell", "lat_cell", "lon_cell"]
 # Longitude cells are used up to this latitude, where a degree is still about half as long as
 # at the equator; rows beyond share one longitude cell.
 _LAT_LIMIT = 60.0
@@ -132,55 +131,58 @@ def _crowded(valid: DataFrame, settings: Settings) -> DataFrame:
 def _heavy_cells(seen: DataFrame, settings: Settings) -> DataFrame:
     """Wide cells with too many positions to hold every row against every other."""
     return (
-        seen.select("route_id", *_Grid(settings).home())
-        .groupBy("route_id", *_CELL)
+        seen.groupBy(_Grid(settings).home().alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > settings.positions_per_cell)
-        .select("route_id", *_CELL, F.lit(True).alias("heavy"))
+        .select("cell", F.lit(True).alias("heavy"))
     )
 
 
 def _near_neighbours(
     alone: DataFrame, others: DataFrame, heavy: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Arrival numbers of `alone` rows with a valid position of another vehicle in reach."""
-    grid = _Grid(settings)
-    homes = others.select(
-        "route_id",
-        *grid.home(),
-        F.col("vehicle_id").alias("o_vehicle_id"),
-        F.col("arrival_seq").alias("o_arrival_seq"),
-        F.col("moved_until").alias("o_until"),
-        *[F.col(name).alias(f"o_{name}") for name in _GEOMETRY],
-    )
-    probes = alone.select("route_id", "vehicle_id", "arrival_seq", *_GEOMETRY)
-    for name, cells in zip(_CELL, grid.in_reach()):
-        probes = probes.withColumn(name, F.explode(cells))
+    """Arrival numbers of `alone` rows with a valid position of another vehicle in reach.
 
-    key = ["route_id", *_CELL]
+    Route, cell and slot are hashed into one long: rows stay narrow and sort fast, and where
+    two keys collide the residual condition still tells their rows apart.
+    """
+    grid = _Grid(settings)
     heavy_cell = F.coalesce("heavy", F.lit(False))
 
-    homes = homes.join(heavy, key, "left")
-    span = F.col("o_until") - F.col("o_arrival_seq")
-    level = F.when(~heavy_cell | (F.col("o_until") == _NEVER), _WHOLE)
+    span = F.col("moved_until") - F.col("arrival_seq")
+    level = F.when(~heavy_cell | (F.col("moved_until") == _NEVER), _WHOLE)
     for bits in _LEVELS:
         level = level.when(span <= 1 << bits, bits)
-    homes = homes.withColumn("level", level.otherwise(_WHOLE)).withColumn(
-        "slot",
-        F.explode(F.sequence(_slot("o_arrival_seq"), _slot("o_until"))),
+    homes = (
+        others.withColumn("cell", grid.home())
+        .join(heavy, "cell", "left")
+        .withColumn("level", level.otherwise(_WHOLE))
+        .withColumn("slot", F.explode(F.sequence(_slot("arrival_seq"), _slot("moved_until"))))
+        .select(
+            _slot_key().alias("key"),
+            F.col("route_id").alias("o_route_id"),
+            F.col("vehicle_id").alias("o_vehicle_id"),
+            F.col("arrival_seq").alias("o_arrival_seq"),
+            F.col("moved_until").alias("o_until"),
+            *[F.col(name).alias(f"o_{name}") for name in _GEOMETRY],
+        )
     )
-
-    probes = probes.join(heavy, key, "left")
     visited = F.when(heavy_cell, _array(*_LEVELS, _WHOLE)).otherwise(_array(_WHOLE))
-    probes = probes.withColumn("level", F.explode(visited)).withColumn("slot", _slot("arrival_seq"))
+    probes = (
+        grid.with_cells_in_reach(alone)
+        .join(heavy, "cell", "left")
+        .withColumn("level", F.explode(visited))
+        .withColumn("slot", _slot("arrival_seq"))
+        .select(_slot_key().alias("key"), "route_id", "vehicle_id", "arrival_seq", *_GEOMETRY)
+    )
 
     p, h = probes.alias("p"), homes.alias("h")
-    same_cell = [F.col(f"p.{name}") == F.col(f"h.{name}") for name in [*key, "level", "slot"]]
     # Cheapest test first; the distance is only worked out for what is left.
     in_reach = (
         (F.col("o_arrival_seq") < F.col("arrival_seq"))
         & (F.col("o_until") > F.col("arrival_seq"))
         & (F.col("o_vehicle_id") != F.col("vehicle_id"))
+        & (F.col("o_route_id") == F.col("route_id"))
         & (F.abs(F.col("p.timestamp") - F.col("o_timestamp")) <= settings.bunching_window_s)
         & (bearing_gap_deg(F.col("p.bearing"), F.col("o_bearing")) <= settings.bunching_bearing_deg)
         & (
@@ -190,7 +192,8 @@ def _near_neighbours(
             <= settings.bunching_distance_m
         )
     )
-    return p.join(h, [*same_cell, in_reach], "left_semi").select("arrival_seq").distinct()
+    same_key = F.col("p.key") == F.col("h.key")
+    return p.join(h, [same_key, in_reach], "left_semi").select("arrival_seq").distinct()
 
 
 def _array(*values: int) -> Column:
@@ -204,46 +207,56 @@ def _slot(seq: str) -> Column:
     )
 
 
+def _slot_key() -> Column:
+    return F.when(F.col("level") == _WHOLE, F.col("cell")).otherwise(
+        F.xxhash64("cell", "level", "slot")
+    )
+
+
 class _Grid:
     """Wide cells: a position lives in one, a probe visits every cell its reach overlaps.
 
-    Cells are several reaches wide, so a probe visits three to four of them on average and
-    eight at most.
+    Cells are several reaches wide, so a probe visits two of them on average and eight at most.
     """
 
     def __init__(self, settings: Settings) -> None:
         # A hair more than the limit, so that rounding cannot hide a pair on the boundary.
         self.lat_reach = math.degrees(settings.bunching_distance_m / settings.earth_radius_m) * 1.001
-        self.lat_width = 4 * self.lat_reach
+        self.lat_width = 8 * self.lat_reach
         self.lon_reach = self.lat_reach / math.cos(math.radians(_LAT_LIMIT + 1))
         # A whole number of cells around the globe, so that the last one touches the first.
-        self.lon_cells = math.floor(360 / (4 * self.lon_reach))
+        self.lon_cells = math.floor(360 / (8 * self.lon_reach))
         self.lon_width = 360 / self.lon_cells
         self.time_reach = settings.bunching_window_s
-        self.time_width = 4 * settings.bunching_window_s
+        self.time_width = 8 * settings.bunching_window_s
 
-    def home(self) -> list[Column]:
+    def home(self) -> Column:
         lon = F.pmod(F.floor(F.col("longitude") / self.lon_width), F.lit(self.lon_cells))
-        return [
-            F.floor(F.col("timestamp") / self.time_width).alias("time_cell"),
-            F.floor(F.col("latitude") / self.lat_width).alias("lat_cell"),
-            F.when(F.abs("latitude") <= _LAT_LIMIT, lon)
-            .otherwise(F.lit(_POLAR))
-            .cast("long")
-            .alias("lon_cell"),
-        ]
-
-    def in_reach(self) -> list[Column]:
+        return F.xxhash64(
+            "route_id",
+            F.floor(F.col("timestamp") / self.time_width),
+            F.floor(F.col("latitude") / self.lat_width),
+            F.when(F.abs("latitude") <= _LAT_LIMIT, lon).otherwise(F.lit(_POLAR).cast("long")),
+        )
+
+    def with_cells_in_reach(self, rows: DataFrame) -> DataFrame:
         lons = F.transform(
             self._overlapped(F.col("longitude"), self.lon_reach, self.lon_width),
             lambda cell: F.pmod(cell, F.lit(self.lon_cells).cast("long")),
         )
         polar = F.array(F.lit(_POLAR).cast("long"))
-        return [
-            self._overlapped(F.col("timestamp"), self.time_reach, self.time_width),
-            self._overlapped(F.col("latitude"), self.lat_reach, self.lat_width),
-            F.when(F.abs("latitude") <= _LAT_LIMIT - 1, lons).otherwise(F.concat(lons, polar)),
-        ]
+        lons = F.when(F.abs("latitude") <= _LAT_LIMIT - 1, lons).otherwise(F.concat(lons, polar))
+        return (
+            rows.withColumn(
+                "t", F.explode(self._overlapped(F.col("timestamp"), self.time_reach, self.time_width))
+            )
+            .withColumn(
+                "y", F.explode(self._overlapped(F.col("latitude"), self.lat_reach, self.lat_width))
+            )
+            .withColumn("x", F.explode(lons))
+            .withColumn("cell", F.xxhash64("route_id", "t", "y", "x"))
+            .drop("t", "y", "x")
+        )
 
     @staticmethod
     def _overlapped(value: Column, reach: float, width: float) -> Column:

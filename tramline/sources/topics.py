@@ -8,19 +8,23 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def kafka_messages(
+    spark: SparkSession, servers: str, topic: str, per_batch: int | None = None
+) -> DataFrame:
     """New messages of a topic as text, with their place in arrival order.
 
-    Starts at the newest offset on its first run and at its checkpoint afterwards.
+    Starts at the newest offset on its first run and at its checkpoint afterwards. `per_batch`
+    bounds a micro-batch, so that catching up after an outage does not make one huge batch.
     """
-    raw = (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .load()
     )
-    return raw.select(
+    if per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", per_batch)
+    return reader.load().select(
         F.col("value").cast("string").alias("value"),
         kafka_arrival().alias("arrival_seq"),
         F.col("timestamp").alias("ingest_time"),

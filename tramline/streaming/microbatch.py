@@ -67,22 +67,29 @@ class BatchEnricher:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            first = batch.select("flushed").first()
+            facts = batch.agg(F.min("arrival_seq").alias("first"), F.max("flushed").alias("flushed"))
+            first, flushed = facts.first()
             if first is not None:
-                self._enrich(batch, batch_id, first["flushed"])
+                self._enrich(batch, batch_id, first, flushed)
         finally:
             batch.unpersist()
 
-    def _enrich(self, batch: DataFrame, batch_id: int, flushed: int) -> None:
-        known = F.lit(True)
+    def _enrich(self, batch: DataFrame, batch_id: int, first: int, flushed: int) -> None:
+        def earlier(table: VersionedTable) -> DataFrame:
+            """What was known before this batch. Messages of a slow partition can have lower
+            numbers than rows already handled; those rows still count as arrived before them."""
+            number = F.least("arrival_seq", F.lit(first - 1))
+            return table.before(batch_id).withColumn("arrival_seq", number)
+
+        remembered = F.lit(True)
         if self._settings.state_ttl_s is not None:
-            known = F.col("flushed") >= flushed - self._settings.state_ttl_s
-        new_positions = positions_of(batch, "flushed")
-        updates = self._delays.before(batch_id).filter(known).unionByName(updates_of(batch, "flushed"))
-        seen = self._last_seen.before(batch_id).filter(known).unionByName(new_positions)
+            remembered = F.col("flushed") >= flushed - self._settings.state_ttl_s
+        positions = positions_of(batch, "flushed")
+        updates = earlier(self._delays).filter(remembered).unionByName(updates_of(batch, "flushed"))
+        seen = earlier(self._last_seen).filter(remembered).unionByName(positions)
 
         enriched = with_flags(
-            attach_delay(new_positions, updates, self._settings),
+            attach_delay(positions, updates, self._settings),
             bunching_arrivals(seen, self._settings),
         )
         # The batch has a folder of its own, so writing it again replaces what it wrote before,
@@ -94,7 +101,7 @@ class BatchEnricher:
         self._delays.write(latest_per_key(updates, ["trip_id"]), batch_id)
         self._last_seen.write(latest_per_key(seen, ["route_id", "vehicle_id"]), batch_id)
         written = self._spark.read.schema(schemas.SILVER).parquet(folder)
-        vehicles = self._live.before(batch_id).unionByName(
+        vehicles = earlier(self._live).unionByName(
             written.select("arrival_seq", *schemas.LIVE_COLUMNS)
         )
         self._live.write(latest_per_key(vehicles, ["vehicle_id"]), batch_id)
