@@ -115,8 +115,8 @@ trips AS (
   SELECT route_short_name, trip_id, min(event_time) AS first_seen_at FROM staged GROUP BY ALL
 ),
 gaps AS (
-  SELECT *, CAST(epoch(first_seen_at) - epoch(lag(first_seen_at) OVER (
-              PARTITION BY route_short_name ORDER BY first_seen_at, trip_id)) AS BIGINT)
+  SELECT *, epoch(first_seen_at) - epoch(lag(first_seen_at) OVER (
+              PARTITION BY route_short_name ORDER BY first_seen_at, trip_id))
             AS gap_to_previous_trip
   FROM trips
 )
@@ -275,10 +275,13 @@ _ON_FEED = {
       FROM staged GROUP BY ALL""",
     "operator_performance": "SELECT * FROM operators",
     "headway_gaps": "SELECT * FROM gaps",
+    # The sample deviation from whole sums; a running one ends in other digits on every run.
     "headway_adherence": """
       SELECT route_short_name, count(*) AS trip_count, avg(gap_to_previous_trip) AS average_gap_seconds,
-             stddev_samp(gap_to_previous_trip) AS headway_stddev_seconds
-      FROM gaps WHERE gap_to_previous_trip < 1800
+             sqrt(CAST(count(*) * sum(g * g) - sum(g) * sum(g) AS DOUBLE)
+                  / (CAST(count(*) AS DOUBLE) * (count(*) - 1))) AS headway_stddev_seconds
+      FROM (SELECT *, CAST(gap_to_previous_trip AS HUGEINT) AS g FROM gaps)
+      WHERE gap_to_previous_trip < 1800
       GROUP BY ALL HAVING trip_count > 5""",
     "top_routes_by_delay": """
       SELECT * EXCLUDE (readings) FROM (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_enrichment import TIGHT, position, random_feed, replay, update
 from tramline import schemas
 from tramline.functions.clock import partition_keys
+from tramline.plans import build
 from tramline.plans.dashboard import live_state
 from tramline.settings import Settings
 from tramline.sources import feed, tables, topics
@@ -156,14 +157,27 @@ def test_agency_ids_stay_text_and_quoted_commas_survive(spark, tmp_path):
     assert got == [("0701", "Buses, Trams"), ("X0000", "Rail")]
 
 
-def test_gold_tables_are_rebuilt_by_name(spark):
-    name = f"gold_{uuid.uuid4().hex}"
+def test_gold_is_rebuilt_from_staging_written_once(spark, tmp_path):
+    database = f"gold_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'warehouse'}'")
+    spark.sql(f"USE {database}")
+    agencies = spark.createDataFrame([("1", "One")], schemas.AGENCY)
     try:
-        for value in (1, 2):
-            tables.save_gold({name: spark.range(value)})
-        assert tables.read_gold(spark, name).count() == 2
+        for days in ([0, 1], [0, 1, 2]):
+            path = str(tmp_path / f"silver{len(days)}")
+            write_silver(spark, path, days)
+            staging = str(tmp_path / "staging")
+            checks = build.rebuild_gold(spark, tables.read_silver(spark, path), agencies, staging)
+        names = {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+        assert names == {"busiest_routes", "delay_by_hour", "operator_performance", "headway_adherence", "top_routes_by_delay", "agency_lookup"}
+        assert build.read_gold(spark, "delay_by_hour").count() == 3
+        assert [tuple(r) for r in build.read_gold(spark, "busiest_routes").collect()] == [("x", 1, 1.0, 0)]
+        assert spark.table(build.STAGED_VIEW).count() == 3
+        assert [c.violations.count() for c in checks] == [0] * 5
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.dropTempView(build.STAGED_VIEW)
+        spark.sql("USE default")
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

@@ -153,7 +153,10 @@ def headway_gaps(staged: DataFrame) -> DataFrame:
     )
     gap = F.when(F.col("trip_id") == F.col("leading_trip"), F.col("gap_seconds")).otherwise(0)
     return first_seen.join(gaps, same).select(
-        "route_short_name", "trip_id", "first_seen_at", gap.alias("gap_to_previous_trip")
+        "route_short_name",
+        "trip_id",
+        "first_seen_at",
+        gap.cast("double").alias("gap_to_previous_trip"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Reads of stored tables: silver folders, the agency dimension, live state and gold."""
+"""Reads of stored tables: silver folders, the agency dimension and the live table."""
 
 from __future__ import annotations
 
@@ -66,13 +66,3 @@ def read_live(spark: SparkSession, path: str, settings: Settings = DEFAULTS) ->
     if settings.live_backend == "dynamodb":
         live = dashboard.as_keyvalue_values(live).drop("trip_id")
     return dashboard.normalize_live(live)
-
-
-def save_gold(marts: dict[str, DataFrame]) -> None:
-    """Rebuild the gold tables. Rows are ordered when they are read, not when they are stored."""
-    for name, rows in marts.items():
-        rows.write.mode("overwrite").saveAsTable(name)
-
-
-def read_gold(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
