@@ -14,8 +14,8 @@ from tramline.plans.dashboard import live_state
 from tramline.settings import Settings
 from tramline.sources import feed, tables, topics
 from tramline.sources.folders import Folder, VersionedTable, drop_expired
-from tramline.session import scratch_folder
-from tramline.streaming import microbatch, pipeline, stateful
+from tramline.session import cluster_conf, scratch_folder
+from tramline.streaming import microbatch, pipeline, sinks, stateful
 from tramline.streaming.arrivals import ARRIVAL_COLUMNS
 from tramline.streaming.microbatch import BatchEnricher, Places
 
@@ -95,6 +95,13 @@ def test_fan_out_sends_one_readable_message_per_entity(spark):
     assert all("\n" not in r.value for r in sent.collect())
 
 
+def test_messages_are_counted_while_they_are_written(spark):
+    snapshots = spark.createDataFrame([([("e1", b"one"), ("e2", b"two")],), ([("e3", b"")],)], "entities array<struct<id:string,payload:binary>>")
+    sent, counted = topics.count_while_writing(feed.fan_out(snapshots, "some-topic"))
+    counted.write.format("noop").mode("overwrite").save()
+    assert sent.get["messages"] == 3
+
+
 def test_kafka_arrival_numbers_are_unique_and_in_time_order(spark):
     rows = spark.range(4000).select(
         F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") % 7).alias("timestamp"),
@@ -180,6 +187,12 @@ def test_gold_is_rebuilt_from_staging_written_once(spark, tmp_path):
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
+def test_cluster_settings_follow_the_size_of_the_run():
+    small, large = cluster_conf(1 << 30, 1000), cluster_conf(20 << 40, 1000)
+    assert small["spark.sql.shuffle.partitions"] == "3000"
+    assert large["spark.sql.shuffle.partitions"] == str((20 << 40) // (128 << 20))
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
@@ -277,21 +290,33 @@ def test_old_state_is_forgotten_on_request(spark, tmp_path):
     assert summary(tables.read_silver(spark, Places.under(str(tmp_path)).silver)) == [(2, 500, False), (3, 500, True), (4, 0, False)]
 
 
-def test_stateful_operators_equal_a_replay(spark, tmp_path):
+@pytest.mark.parametrize("settings", [Settings(), Settings(state_ttl_s=3600)], ids=["kept", "ttl"])
+def test_stateful_operators_equal_a_replay(spark, tmp_path, settings):
     rows = random_feed(23)
     setting, provider = stateful.STATE_STORE
     before = spark.conf.get(setting)
     spark.conf.set(setting, provider)
+    # With expiring state Spark keeps making empty batches to expire it, and never stops.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     try:
         run_in_waves(
             spark, str(tmp_path / "in"), rows, [150],
-            lambda stream: stateful.start(stream, str(tmp_path / "out"), str(tmp_path / "check"), once=True),
+            lambda stream: stateful.start(stream, str(tmp_path / "out"), str(tmp_path / "check"), once=True, settings=settings),
         )
     finally:
         spark.conf.set(setting, before)
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     assert summary(tables.read_silver(spark, str(tmp_path / "out"))) == replay(rows)
 
 
+def test_rows_can_be_watched_on_the_console(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    query = sinks.print_rows(topics.landed_files(spark, str(tmp_path / "in"), spark.range(1).schema), once=True)
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sum(p.numInputRows for p in query.recentProgress) == 3
+
+
 def test_live_path_from_entities(spark, tmp_path):
     entity = messages(
         spark,

@@ -8,15 +8,38 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans at run time with measured sizes: it merges small shuffle
-# partitions, splits skewed join partitions and broadcasts a side only if it turned out small.
+# partitions, splits skewed join partitions, and broadcasts or hashes a side instead of sorting
+# both only if that side turned out small.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
 
+PARTITION_BYTES = 128 << 20
+
+
+def cluster_conf(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a run on many machines.
+
+    `shuffled_bytes` is the largest shuffle expected, which for enrichment is about the size of
+    the positions. Partitions start small enough to fit an executor core's memory; adaptive
+    execution merges them where less data arrives. Decommissioned executors hand on their
+    shuffle files, and lost ones are recomputed from their inputs.
+    """
+    partitions = max(3 * cores, -(-shuffled_bytes // PARTITION_BYTES))
+    return SESSION_CONF | {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * PARTITION_BYTES),
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    }
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -55,14 +55,22 @@ def landed_files(
     return reader.parquet(path)
 
 
-def publish(messages: DataFrame, servers: str) -> None:
-    """Send `fan_out` messages to their topics."""
+def publish(messages: DataFrame, servers: str) -> int:
+    """Send `fan_out` messages to their topics and return how many there were."""
+    sent, counted = count_while_writing(messages)
     (
-        messages.select("topic", F.col("value").cast("binary").alias("value"))
+        counted.select("topic", F.col("value").cast("binary").alias("value"))
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .save()
     )
+    return sent.get["messages"]
+
+
+def count_while_writing(messages: DataFrame) -> tuple[Observation, DataFrame]:
+    """Counts rows as they pass, so that the count costs no second run of the plan."""
+    sent = Observation()
+    return sent, messages.observe(sent, F.count(F.lit(1)).alias("messages"))
 
 
 def publish_stream(messages: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:

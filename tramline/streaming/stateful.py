@@ -5,7 +5,9 @@ new messages are touched, however many trips and vehicles there have ever been.
 of one micro-batch meet in one task, so bound the batch at the source (`maxOffsetsPerTrigger`,
 `maxFilesPerTrigger`); where single routes are still too heavy use `streaming.microbatch`.
 
-The RocksDB state store has to be on: `STATE_STORE` names the setting.
+The RocksDB state store has to be on: `STATE_STORE` names the setting. With `state_ttl_s` Spark
+keeps making empty batches to expire state, so a run with `once` then ends only if
+`spark.sql.streaming.noDataMicroBatches.enabled` is off.
 """
 
 from __future__ import annotations
