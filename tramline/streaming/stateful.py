@@ -16,10 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
+import tramline
 from tramline import schemas
 from tramline.settings import DEFAULTS, Settings
 from tramline.streaming.sinks import append_parquet
@@ -125,6 +127,8 @@ def _time_mode(settings: Settings) -> str:
 
 def enrich(arrivals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """A merged stream to silver rows."""
+    # The processors travel to the workers as code, which need not have this package installed.
+    cloudpickle.register_pickle_by_value(tramline)
     delayed = arrivals.groupBy("trip_id").transformWithStateInPandas(
         AttachDelay(_ttl_ms(settings)),
         outputStructType=DELAYED,
