@@ -68,20 +68,20 @@ def test_yes_no(values):
 
 def test_axis_label_keeps_short_names_and_cuts_long_ones(values):
     short, exact, long = values(
-        labels.axis_label(F.lit("Busways R1")),
+        labels.axis_label(F.lit("Harbour R1")),
         labels.axis_label(F.lit("x" * 18)),
-        labels.axis_label(F.lit("Keolis Downer Northern Beaches"), 18),
+        labels.axis_label(F.lit("Foxtrot Mobility Northern Region"), 18),
     )
-    assert short == "Busways R1"
+    assert short == "Harbour R1"
     assert exact == "x" * 18
-    assert long == "Keolis Downer Nor…" and len(long) == 18
+    assert long == "Foxtrot Mobility …" and len(long) == 18
 
 
 def test_operator_label_falls_back_to_the_id(spark):
-    agencies = spark.createDataFrame([("2503", "Transit Systems")], "agency_id string, agency_name string")
+    agencies = spark.createDataFrame([("2503", "Bravo Transit")], "agency_id string, agency_name string")
     rows = spark.createDataFrame([("2503",), ("999999",), (None,)], "agency_id string")
     got = {r.agency_id: r.operator_name for r in labels.add_operator_name(rows, agencies).collect()}
-    assert got == {"2503": "Transit Systems", "999999": "Unknown operator (999999)", None: None}
+    assert got == {"2503": "Bravo Transit", "999999": "Unknown operator (999999)", None: None}
 
 
 # Daylight saving ended at 2024-04-06 16:00 UTC: 02:59:59 was followed by 02:00:00 again.
