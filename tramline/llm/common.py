@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,6 +53,28 @@ def code_point_key(column: str) -> Column:
     return F.when(value.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), value))
 
 
+def last_at_most(
+    ordered: Column, value: Column, key: Callable[[Column], Column] = lambda entry: entry, steps: int = 21
+) -> Column:
+    """Index of the last entry of a sorted array whose key is `value` or less, -1 if none is.
+
+    Halves the array; `steps` is enough for two million entries.
+    """
+    middle = lambda at: F.shiftright(at["lo"] + at["hi"] + 1, 1)
+
+    def halve(at: Column, _: Column) -> Column:
+        right = key(F.get(ordered, middle(at))) <= value
+        return F.when(at["lo"] + 1 >= at["hi"], at).otherwise(
+            F.struct(
+                F.when(right, middle(at)).otherwise(at["lo"]).alias("lo"),
+                F.when(right, at["hi"]).otherwise(middle(at)).alias("hi"),
+            )
+        )
+
+    whole = F.struct(F.lit(-1).alias("lo"), F.size(ordered).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), whole, halve, lambda at: at["lo"])
+
+
 def numbered(
     rows: DataFrame, within: list[str], order: list[str], into: str, per_window: int = ROWS_PER_WINDOW
 ) -> DataFrame:

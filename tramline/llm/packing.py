@@ -16,11 +16,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import landed, numbered, ship_package
+from tramline.llm.common import landed, last_at_most, numbered, ship_package
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
@@ -31,6 +31,8 @@ PARTS_KEPT = 600_000
 CHARS_AT_ONCE = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+_PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids"]
+_PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -124,31 +126,30 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY)
     end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
     wide = 4 * capacity
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer)
         for batch in batches:
-            texts = batch["text"].tolist()
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             at = 0
             while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars + len(texts[upto]) <= CHARS_AT_ONCE):
+                upto, chars = at + 1, len(texts[at])
+                while upto < len(texts) and chars + len(texts[upto]) <= CHARS_AT_ONCE:
                     chars += len(texts[upto])
                     upto += 1
                 rows = []
-                for doc_id, ids in zip(batch["doc_id"].iloc[at:upto], words.ids(texts[at:upto])):
+                for doc_id, ids in zip(doc_ids[at:upto], words.ids(texts[at:upto])):
                     ids += end
                     for number, byte in enumerate(range(0, len(ids), wide)):
                         part = ids[byte : byte + wide]
                         rows.append((doc_id, number, byte // 4, len(part) // 4, part))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-                out["doc_id"] = pd.array(out["doc_id"], dtype="Int64")
-                yield out
+                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), _PIECE_TYPES)]
+                yield pa.RecordBatch.from_arrays(arrays, _PIECE_NAMES)
                 at = upto
 
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return texts.mapInPandas(cut, PIECES)
+    return texts.mapInArrow(cut, PIECES)
 
 
 def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
@@ -250,23 +251,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def _placed(ranked: DataFrame, columns: list[str]) -> DataFrame:
-    # The last place whose ranks begin at or before this one, by halving the sorted list.
-    steps = F.sequence(F.lit(0), F.lit(20))
-    halve = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("lo"), F.size("places").alias("hi")),
-        lambda at, _: F.when(
-            at["hi"] - at["lo"] <= 1, at
-        ).otherwise(
-            F.when(
-                F.col("places")[F.shiftright(at["lo"] + at["hi"], 1)]["first"] <= F.col("rank"),
-                F.struct(F.shiftright(at["lo"] + at["hi"], 1).alias("lo"), at["hi"].alias("hi")),
-            ).otherwise(F.struct(at["lo"].alias("lo"), F.shiftright(at["lo"] + at["hi"], 1).alias("hi")))
-        ),
-        lambda at: at["lo"],
-    )
+    place = last_at_most(F.col("places"), F.col("rank"), lambda entry: entry["first"])
     return (
-        ranked.withColumn("place", F.col("places")[halve])
+        ranked.withColumn("place", F.get("places", place))
         .withColumn("_in", F.col("rank") - F.col("place.first"))
         .select(
             *columns,
