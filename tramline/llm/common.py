@@ -76,16 +76,21 @@ def last_at_most(
 
 
 def numbered(
-    rows: DataFrame, within: list[str], order: list[str], into: str, per_window: int = ROWS_PER_WINDOW
+    rows: DataFrame,
+    within: list[str],
+    order: list[str],
+    into: str,
+    per_window: int = ROWS_PER_WINDOW,
+    deal: Column | None = None,
 ) -> DataFrame:
     """Rows with a gapless number from 0 within the columns `within`, which are never null.
 
-    No window holds a whole group: rows are dealt into buckets by a hash of `order`, about
+    No window holds a whole group: rows are dealt into buckets by `deal`, a hash of `order`, about
     `per_window` to a bucket, the buckets' counts are summed up, and rows are numbered inside
     their bucket. Rows that agree in every column of `order` may swap numbers. `rows` is read
     twice, so it should be a landed table.
     """
-    hashed = F.xxhash64(*order)
+    hashed = F.xxhash64(*order) if deal is None else deal
     if within:
         sizes = rows.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
         dealt = rows.join(sizes, within)

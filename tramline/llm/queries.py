@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, fingerprints, mixing, packing, secrets, topk
+from tramline.llm import chat, fingerprints, mixing, ngram_join, packing, secrets, sharding, topk, toxicity
 from tramline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,14 +20,42 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return model.score(documents.select("doc_id", "text")).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.span_report(table(spark, folder, "documents"))
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign_shards(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, folder, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and conversation -1, whose texts are control strings themselves."""
     spoken = "</s>[INST] ok [/INST]"
@@ -49,8 +77,11 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
     "op3_secret_scans": op3_secret_scans,
+    "op4_sharding": op4_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_exact_top_k": op10_exact_top_k,
