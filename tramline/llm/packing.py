@@ -25,8 +25,7 @@ from tramline.llm.common import landed, last_at_most, numbered, ship_package
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
 
-# A worker forgets its words beyond these counts and learns them anew.
-CHUNKS_KEPT = 300_000
+# A worker forgets its parts beyond this number and learns them anew.
 PARTS_KEPT = 600_000
 CHARS_AT_ONCE = 4 << 20
 
@@ -41,13 +40,14 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Words:
-    """Token ids of texts, each different run between blanks encoded once.
+class _Parts:
+    """Token ids of texts, each different part encoded once.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its runs'
-    ids in order. Unknown runs are lower-cased and cut as the tokenizer does, and the parts
-    unknown so far are encoded together: each part ends with the one token marked as word end.
-    Runs with control characters or the tokenizer's own control strings go to it whole.
+    The tokenizer lower-cases, cuts a text into words, digits and runs of other characters, drops
+    white space and never merges across a cut; so a text's ids are its parts' ids in order. Parts not met
+    before are encoded together: each ends with the one token that is marked as a word's end.
+    Texts in Latin script are cut by `re`, others by the tokenizer's normaliser and pattern, and those
+    with control characters or control strings are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -55,64 +55,58 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.gaps = re.compile(r"[ \t\n\r]+")
+        endings = "'s|'t|'re|'ve|'m|'ll|'d"
+        self.cut = regex.compile(rf"{endings}|[\p{{L}}]+|[\p{{N}}]|[^\s\p{{L}}\p{{N}}]+")
+        # Every character of these ranges is a letter.
+        latin = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+        self.latin_cut = re.compile(f"{endings}|[a-z{latin}]+|[0-9]|[^\\sa-z0-9{latin}]+")
+        self.not_latin = re.compile(f"[^ -~\t\n\r\u00a0{latin}\u2010-\u2027\u20ac]")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"[\x00-\x1f\x7f-\x9f]", *map(re.escape, added)]))
+        self.whole = re.compile("|".join([r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", *map(re.escape, added)]))
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
-        self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.gaps.split(text) for text in texts]
-        needed = dict.fromkeys(chunk for chunks in split for chunk in chunks)
-        unknown = [chunk for chunk in needed if chunk not in self.chunks]
-        if len(self.chunks) + len(unknown) > CHUNKS_KEPT:
-            self.chunks.clear()
+        cuts = [None if self.whole.search(text) else self._cut(text) for text in texts]
+        needed = set().union(*(parts for parts in cuts if parts))
+        unknown = [part for part in needed if part not in self.known]
+        if len(self.known) + len(unknown) > PARTS_KEPT:
+            self.known.clear()
             unknown = list(needed)
-        self._learn(unknown)
-        known = self.chunks
-        return [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+        for at in range(0, len(unknown), 20_000):
+            self._learn(unknown[at : at + 20_000])
+        known = self.known
+        return [
+            self._encode(text).tobytes() if parts is None else b"".join([known[part] for part in parts])
+            for text, parts in zip(texts, cuts)
+        ]
+
+    def _cut(self, text: str) -> list[str]:
+        if text.isascii() or not self.not_latin.search(text):
+            return self.latin_cut.findall(text.lower())
+        return self.cut.findall(self.tokenizer.normalizer.normalize_str(text))
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, chunks: list[str]) -> None:
-        cuts = {}
-        for chunk in chunks:
-            if self.whole.search(chunk):
-                self.chunks[chunk] = self._encode(chunk).tobytes()
-            else:
-                low = chunk.lower() if chunk.isascii() else self.tokenizer.normalizer.normalize_str(chunk)
-                cuts[chunk] = self.cut.findall(low)
-        needed = dict.fromkeys(part for parts in cuts.values() for part in parts)
-        unknown = [part for part in needed if part not in self.parts]
-        if len(self.parts) + len(unknown) > PARTS_KEPT:
-            self.parts.clear()
-            unknown = list(needed)
-        for at in range(0, len(unknown), 20_000):
-            self._learn_parts(unknown[at : at + 20_000])
-        for chunk, parts in cuts.items():
-            self.chunks[chunk] = b"".join([self.parts[part] for part in parts])
-
-    def _learn_parts(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str]) -> None:
         ids = self._encode(" ".join(parts))
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(parts) and ends[-1] == len(ids):
             raw, last = ids.tobytes(), 0
             for part, end in zip(parts, (4 * ends).tolist()):
-                self.parts[part] = raw[last:end]
+                self.known[part] = raw[last:end]
                 last = end
         else:
             for part in parts:
-                self.parts[part] = self._encode(part).tobytes()
+                self.known[part] = self._encode(part).tobytes()
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
-    return _Words(path)
+def _parts(path: str) -> _Parts:
+    return _Parts(path)
 
 
 def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -127,7 +121,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY)
     wide = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(tokenizer)
+        parts = _parts(tokenizer)
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             at = 0
@@ -137,7 +131,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY)
                     chars += len(texts[upto])
                     upto += 1
                 rows = []
-                for doc_id, ids in zip(doc_ids[at:upto], words.ids(texts[at:upto])):
+                for doc_id, ids in zip(doc_ids[at:upto], parts.ids(texts[at:upto])):
                     ids += end
                     for number, byte in enumerate(range(0, len(ids), wide)):
                         part = ids[byte : byte + wide]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, fingerprints, mixing, ngram_join, packing, secrets, sharding, topk, toxicity
+from tramline.llm import chat, fingerprints, licenses, mixing, ngram_join, packing, secrets, sharding, topk, toxicity
 from tramline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,17 @@ def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_classes(table(spark, folder, "documents"))
 
 
+def op7_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the licenses its notices name, and every notice's place and containment."""
+    place = lambda f: F.concat_ws(":", f["license"], f["start"], f["end"], F.round(f["containment"], 4))
+    return licenses.scan_licenses(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda f: f["license"]))), ",").alias("licenses"),
+        F.array_join(F.transform("found", place), ",").alias("notices"),
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and conversation -1, whose texts are control strings themselves."""
     spoken = "</s>[INST] ok [/INST]"
@@ -82,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_license_scans": op7_license_scans,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_exact_top_k": op10_exact_top_k,

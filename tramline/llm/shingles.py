@@ -30,9 +30,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, A-Z in lower case, and where each text's words begin (one entry more)."""
+def word_hashes(texts: list[str], replaced: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, A-Z in lower case, and where each text's words begin (one entry more).
+
+    `replaced` is a table of 256 bytes for bytes.translate, applied to the lower-cased UTF-8.
+    """
     raw = [text.encode().lower() for text in texts]
+    if replaced:
+        raw = [text.translate(replaced) for text in raw]
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(blank, prepend=True))
@@ -46,6 +51,14 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, begins)
 
 
+def run_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A 63-bit hash of every run of `words` word hashes."""
+    runs = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
+    for n in range(words):
+        runs = runs * np.uint64(_STEP) + hashes[n : n + len(runs)]
+    return mixed(runs) >> np.uint64(1)
+
+
 def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text: runs of `words` words, or the whole
     sequence as one where there are fewer; none without words. Hashes have 63 bits."""
@@ -56,10 +69,7 @@ def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
             chars += len(texts[upto])
             upto += 1
         hashes, begins = word_hashes(texts[at:upto])
-        runs = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
-        for n in range(words):
-            runs = runs * np.uint64(_STEP) + hashes[n : n + len(runs)]
-        runs = mixed(runs) >> np.uint64(1)
+        runs = run_hashes(hashes, words)
         for first, last in zip(begins[:-1], begins[1:]):
             if last - first >= words:
                 yield np.unique(runs[first : last - words + 1])
