@@ -197,17 +197,18 @@ def candidate_sets(documents: DataFrame, nodes: DataFrame, words: int) -> DataFr
     )
 
 
-def _fitting(percent: int) -> Column:
-    """Length and position filter of two postings a and b of one list."""
-    least, most = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    overlap = F.ceil(percent * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent))
-    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    return (100 * least >= percent * most) & (rest >= overlap)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, slices: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs `x, y` whose sets reach the threshold."""
-    side = lambda name: slices.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("slices").alias(f"s{name}"))
+def _fitting(percent: int, other: str) -> Column:
+    """Length and position filter of two postings of one list; the names of one begin with `other`."""
+    n, at = F.col("n"), F.col("at")
+    other_n, other_at = F.col(f"{other}n"), F.col(f"{other}at")
+    overlap = F.ceil(percent * (n + other_n) / F.lit(100 + percent))
+    enough = F.least(n - at, other_n - other_at) >= overlap
+    return (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n)) & enough
+
+
+def _verified(documents: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs `x, y` whose sets reach the threshold."""
+    side = lambda name: named.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("slices").alias(f"s{name}"))
     # Sets that differ by d elements differ by d at most in the sum over all slices.
     apart = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.abs(a - b)), F.lit(0), lambda total, d: total + d)
     overlap = F.ceil(percent * (F.col("nx") + F.col("ny")) / F.lit(100 + percent))
@@ -217,6 +218,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, slices: DataFrame, percent: int
         .select("x", "y"),
         "near",
     )
+    ends = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    sets = candidate_sets(documents, landed(named.join(ends, "node").select("node", "text_key", "digest"), "ends"), words)
     both = F.size(F.array_intersect("sx", "sy"))
     of = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
     union = F.size("sx") + F.size("sy") - both
@@ -226,11 +229,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, slices: DataFrame, percent: int
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """`node, label` after new `links` `x, y`: nodes that links connect share a label.
+    """`node, label` after new `links` `x, y`: nodes that links connect share a label. Nodes
+    that no link has touched are missing; they are labels of their own.
 
     Each round every label that has links left takes the neighbour with the smallest hash, and links are
     moved to what their ends took, which leaves a fraction of them however long the chains are.
     """
+    ends = links.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    labels = landed(
+        ends.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("label")).unionByName(labels),
+        "labels",
+    )
     end = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"_{name}"))
     left = landed(
         links.join(end("x"), "x").join(end("y"), "y").filter("_x != _y")
@@ -271,6 +280,7 @@ def near_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCEN
     similarity is at least `percent` of 100. `component_id` is the smallest doc_id reachable by links;
     rows that repeat a doc_id are texts of their own, and null ids count only where there are no others.
     """
+    spark = documents.sparkSession
     order = frequent_shingles(documents, words)
     rows = document_sets(documents, order, words, percent)
     classes = landed(
@@ -280,17 +290,25 @@ def near_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCEN
         rows.filter("n > 0").select("row", "doc_id", "n", "digest").join(classes, "digest"), "members"
     )
     own = rows.join(classes.select("node"), rows["row"] == classes["node"], "left_semi").withColumnRenamed("row", "node")
+    named = landed(own.select("node", "n", "text_key", "digest", "slices"), "named")
     postings = own.select("node", "n", F.posexplode("prefix").alias("at", "token"))
-    lists = landed(postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "lists")
-    shared = landed(postings.join(lists.select("token"), "token"), "postings")
-    holders = shared.select("node").distinct()
-    named = landed(own.join(holders, "node", "left_semi").select("node", "n", "text_key", "digest", "slices"), "named")
-    sets = candidate_sets(documents, named.select("node", "text_key", "digest"), words)
-
-    labels = named.select("node", F.col("node").alias("label"))
+    # The text with the fewest rare shingles leads its list.
+    lists = postings.groupBy("token").agg(
+        F.count(F.lit(1)).alias("held"), F.min(F.struct("at", "node", "n")).alias("leader")
+    ).filter("held > 1")
+    met = postings.join(landed(lists, "lists"), "token")
+    first = (F.col("node") != F.col("leader.node")) & _fitting(percent, "leader.")
+    met = landed(met.withColumn("first", first).filter("first or held > 2"), "postings")
+    shared = met.filter("held > 2").select("token", "node", "n", "at", F.col("leader.node").alias("met"))
+
+    labels = spark.createDataFrame([], "node long, label long")
     for number in range(LEADER_ROUNDS + 1):
-        pairs = _pairs(shared, labels, percent, leaders=number < LEADER_ROUNDS, number=number)
-        labels = components(labels, _verified(pairs, sets, named, percent))
+        if not number:
+            pairs = met.filter("first").select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
+        else:
+            pairs = _pairs(shared, labels, percent, leaders=number < LEADER_ROUNDS, number=number)
+        pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        labels = components(labels, _verified(documents, pairs, named, words, percent))
     joined = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     linked = joined.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -299,33 +317,30 @@ def near_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 
 def _pairs(shared: DataFrame, labels: DataFrame, percent: int, leaders: bool, number: int) -> DataFrame:
-    """Candidate pairs `x < y` of texts that share a list but no component yet.
+    """Candidate pairs `a, b` of texts that share a list but no component yet and did not meet there.
 
-    With `leaders`, each text of a list meets one of them only. Without, all that are left meet: texts
-    outside of a list's largest component meet every text of the list.
+    With `leaders`, each text of a list meets one of the list's largest component. Without, all that are left
+    meet: texts outside of the largest component meet every text of the list.
     """
-    labelled = landed(shared.join(labels, "node"), "labelled")
-    # First the text with the fewest rare shingles leads, then others by chance.
-    turn = F.xxhash64("node", F.lit(number)) if number else F.col("at")
+    labelled = landed(
+        shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled"
+    )
     counts = labelled.groupBy("token", "label").agg(
         F.count(F.lit(1)).alias("held"),
-        F.min(F.struct(turn.alias("turn"), "node", "n", "at")).alias("leader"),
+        F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("turn"), "node", "n", "at")).alias("leader"),
     )
-    mixed_lists = counts.groupBy("token").agg(
-        F.count(F.lit(1)).alias("labels"),
-        F.max(F.struct("held", "label", "leader")).alias("main"),
+    open_lists = counts.groupBy("token").agg(
+        F.count(F.lit(1)).alias("labels"), F.max(F.struct("held", "label", "leader")).alias("main")
     ).filter("labels > 1")
-    mixed_lists = landed(mixed_lists.select("token", "main.label", F.col("main.leader").alias("leader")), "lists")
-    others = labelled.alias("a").join(
-        mixed_lists.withColumnRenamed("label", "main").alias("l"), "token"
-    )
+    open_lists = landed(open_lists.select("token", F.col("main.label").alias("main"), "main.leader"), "lists")
+    inside = labelled.join(open_lists, "token")
+    outside = inside.filter("label != main")
     if leaders:
-        met = others.filter("a.label != main").select(
-            F.struct("a.node", "a.n", "a.at").alias("a"), F.struct("leader.node", "leader.n", "leader.at").alias("b")
+        return outside.filter((F.col("met") != F.col("leader.node")) & _fitting(percent, "leader.")).select(
+            F.col("node").alias("a"), F.col("leader.node").alias("b")
         )
-        met = met.filter(_fitting(percent))
-    else:
-        outside = others.filter("a.label != main").select("token", F.struct("a.node", "a.n", "a.at", "a.label").alias("a"))
-        inside = others.select("token", F.struct("a.node", "a.n", "a.at", "a.label").alias("b"))
-        met = outside.join(inside, "token").filter((F.col("a.label") != F.col("b.label")) & _fitting(percent))
-    return met.select(F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y"))
+    other = inside.select("token", *[F.col(name).alias(f"b_{name}") for name in ("node", "n", "at", "label")])
+    strangers = (F.col("label") != F.col("b_label")) & ~F.col("met").isin(F.col("node"), F.col("b_node"))
+    return outside.join(other, "token").filter(strangers & _fitting(percent, "b_")).select(
+        F.col("node").alias("a"), F.col("b_node").alias("b")
+    )
