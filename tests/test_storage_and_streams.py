@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 from test_enrichment import TIGHT, position, random_feed, replay, update
 from tramline import schemas
 from tramline.functions.clock import partition_keys
+from tramline.operators import arrival
 from tramline.plans import build
 from tramline.plans.dashboard import live_state
 from tramline.settings import Settings
 from tramline.sources import feed, tables, topics
-from tramline.sources.folders import Folder, VersionedTable, drop_expired
+from tramline.sources.folders import BatchNumbers, Folder, VersionedTable, compact, drop_expired
 from tramline.session import cluster_conf, scratch_folder
 from tramline.streaming import microbatch, pipeline, sinks, stateful
 from tramline.streaming.arrivals import ARRIVAL_COLUMNS
@@ -102,16 +104,36 @@ def test_messages_are_counted_while_they_are_written(spark):
     assert sent.get["messages"] == 3
 
 
-def test_kafka_arrival_numbers_are_unique_and_in_time_order(spark):
-    rows = spark.range(4000).select(
-        F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") % 7).alias("timestamp"),
-        (F.col("id") % 5).cast("int").alias("partition"),
-        F.floor(F.col("id") / 5).alias("offset"),
+def kafka_rows(spark, rows):
+    """(time, topic, partition, offset) of messages as the Kafka source gives them."""
+    frame = spark.createDataFrame(rows, "ms long, topic string, partition int, offset long")
+    return frame.select(F.timestamp_millis("ms").alias("timestamp"), "topic", "partition", "offset").select(
+        topics.kafka_arrival().alias("arrival"), F.struct("topic", "partition", "offset").alias("tag")
     )
-    numbered = rows.withColumn("n", topics.kafka_arrival())
-    assert numbered.select("n").distinct().count() == 4000
-    ordered = [r.timestamp for r in numbered.orderBy("n").collect()]
-    assert ordered == sorted(ordered) and numbered.filter("n < 0").count() == 0
+
+
+def test_arrival_numbers_neither_wrap_nor_collide(spark):
+    ms = 1_700_000_000_000
+    rows = [(ms, "b", 3, o) for o in range(4090, 4103)]
+    rows += [(ms, topic, p, 7) for topic in "ab" for p in (0, 1, 1023, 1024, 2048)]
+    rows += [(ms + 3_600_000 * h + d, "a", 0, 8 + 2 * h + d) for h in range(5) for d in (0, 1)]
+    numbered = arrival.numbered(kafka_rows(spark, rows), after=9).collect()
+    assert sorted(r.arrival_seq for r in numbered) == list(range(10, 10 + len(rows)))
+    order = [tuple(r.tag) for r in sorted(numbered, key=lambda r: r.arrival_seq)]
+    assert order == [(t, p, o) for _, t, p, o in sorted(rows)]
+
+
+def test_a_hot_trip_is_cut_into_few_blocks_under_source_numbers(spark):
+    """One message per 5 ms, a third of them on one trip."""
+    messages = spark.range(30_000).select(
+        F.timestamp_millis(F.lit(1_700_000_000_000) + 5 * F.col("id")).alias("timestamp"),
+        F.lit("positions").alias("topic"), (F.col("id") % 12).cast("int").alias("partition"),
+        F.floor(F.col("id") / 12).alias("offset"), "id",
+    ).select(topics.kafka_arrival().alias("arrival"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 500)).alias("trip_id"))
+    numbered = arrival.numbered(messages)
+    blocks = numbered.select("trip_id", arrival.block_start(F.col("arrival_seq"), 10_000)).distinct()
+    assert numbered.select("arrival_seq").distinct().count() == 30_000
+    assert blocks.filter("trip_id = 'hot'").count() == 3 and blocks.count() <= 1503
 
 
 # --- silver folders ---------------------------------------------------------------------
@@ -123,9 +145,11 @@ def test_recent_history_reads_the_last_days_only(spark, tmp_path):
     rows = tables.read_history(spark, path, TODAY)
     assert rows.columns == schemas.HISTORY_COLUMNS
     assert [r.delay_seconds for r in rows.collect()] == [1, 1, 0]
-    plan = rows._jdf.queryExecution().toString()
-    filters = plan[plan.rindex("PartitionFilters: [") :].split("]")[0]
-    assert "year" in filters and "month" in filters and "day" in filters
+    # No other folder is listed: one that is no folder of files does not disturb the recent read.
+    (tmp_path / "silver" / "year=2024" / "month=01").mkdir()
+    (tmp_path / "silver" / "year=2024" / "month=01" / "day=01").write_text("not a folder")
+    assert sorted(rows.inputFiles()) and all("month=04/day=" in f for f in rows.inputFiles())
+    assert tables.read_history(spark, path, TODAY).count() == 3
     wider = tables.read_history(spark, path, TODAY, Settings(recent_days=3))
     assert wider.count() == 4
 
@@ -204,7 +228,7 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 
 def test_versions_are_complete_or_invisible(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "id bigint")
+    table = VersionedTable(spark, str(tmp_path / "t"), "id bigint", grace_s=0)
     assert table.before().count() == 0
     for version in range(6):
         table.write(spark.range(version), version)
@@ -217,6 +241,21 @@ def test_versions_are_complete_or_invisible(spark, tmp_path):
     assert table.before().count() == 5
 
 
+def test_old_versions_stay_for_readers_that_began_with_them(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "id bigint")
+    table.write(spark.range(7), 0)
+    reader = table.before()
+    for version in range(1, 8):
+        table.write(spark.range(version), version)
+    assert reader.count() == 7 and table.versions() == list(range(8))
+
+
+def test_batch_numbers_grow_over_runs_and_stay_for_retries(spark, tmp_path):
+    numbers = BatchNumbers(spark, str(tmp_path / "n"))
+    assert [numbers.of("a", 0), numbers.of("a", 1), numbers.of("a", 1)] == [0, 1, 1]
+    assert [numbers.of("b", 0), numbers.of("b", 0), numbers.of("a", 2, above=9)] == [2, 2, 10]
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -335,5 +374,83 @@ def test_live_path_from_entities(spark, tmp_path):
     today = dt.datetime.now(dt.timezone.utc)
     for bronze, columns in ((places.bronze_positions, schemas.POSITION.names), (places.bronze_updates, schemas.TRIP_UPDATE.names)):
         rows = spark.read.parquet(bronze)
-        assert rows.columns == [*columns, "year", "month", "day"] and rows.count() == 1
+        assert rows.columns == [*columns, "year", "month", "day", "batch"] and rows.count() == 1
         assert Folder(spark, bronze).matching(f"{today:year=%Y/month=%m}/day=*")
+
+
+def live_messages(spark, rows):
+    """(ms, topic, partition, offset, entity) as the wired job takes them."""
+    schema = schemas.T.StructType(
+        [
+            schemas.T.StructField("arrival", schemas.T.StructType([
+                schemas.T.StructField("time", schemas.T.LongType()), schemas.T.StructField("topic", schemas.T.StringType()),
+                schemas.T.StructField("partition", schemas.T.IntegerType()), schemas.T.StructField("offset", schemas.T.LongType()),
+            ])),
+            schemas.T.StructField("entity", schemas.ENTITY),
+        ]
+    )
+    frame = spark.createDataFrame([(row[:4], row[4]) for row in rows], schema)
+    return frame.withColumn("ingest_time", F.timestamp_millis("arrival.time"))
+
+
+def bus(name, trip, timestamp):
+    entity = vehicle(trip=trip, timestamp=timestamp)
+    entity["vehicle"]["vehicle"] = {"id": name}
+    return entity
+
+
+def delay_of(trip, seconds):
+    return {"trip_update": {"trip": {"trip_id": trip}, "stop_time_update": [{"arrival": {"delay": seconds}}]}}
+
+
+def test_the_wired_job_survives_a_new_checkpoint(spark, tmp_path):
+    """Two waves on one checkpoint, a third on a fresh one: nothing is replaced, new vehicles show at once."""
+    places = Places.under(str(tmp_path / "out"))
+    fresh = dataclasses.replace(places, checkpoints=str(tmp_path / "fresh"))
+    waves = [
+        (places, [(10, "updates", 0, 4096, delay_of("t1", 70)), (10, "positions", 0, 4096, bus("a", "t1", 1000)), (9, "positions", 0, 4095, bus("b", "t2", 1000))]),
+        (places, [(20, "positions", 0, 4097, bus("a", "t1", 1100))]),
+        (fresh, [(30, "positions", 0, 4098, bus("c", "t1", 1200)), (30, "positions", 1024, 0, bus("d", "t2", 1300))]),
+    ]
+    for n, (where, rows) in enumerate(waves):
+        landing = str(tmp_path / f"in{int(where is fresh)}")
+        frame = live_messages(spark, rows)
+        frame.write.mode("append").parquet(landing)
+        pipeline.start_live(spark, topics.landed_files(spark, landing, frame.schema), where, once=True).awaitTermination()
+    silver = tables.read_silver(spark, places.silver)
+    got = sorted((r.arrival_seq, r.vehicle_id, r.timestamp, r.delay_seconds) for r in silver.collect())
+    # At 10 ms "positions" comes before "updates", so the first reading of a has no delay yet.
+    assert got == [(0, "b", 1000, 0), (1, "a", 1000, 0), (3, "a", 1100, 70), (4, "c", 1200, 70), (5, "d", 1300, 0)]
+    assert {r.vehicle_id for r in tables.read_live(spark, places.live).collect()} == {"a", "b", "c", "d"}
+    bronze = spark.read.parquet(places.bronze_positions)
+    assert sorted(r.arrival_seq for r in bronze.collect()) == [seq for seq, *_ in got]
+    assert "ingest_time" in bronze.columns and bronze.filter("ingest_time IS NULL").count() == 0
+    assert [r.arrival_seq for r in spark.read.parquet(places.bronze_updates).collect()] == [2]
+
+
+def test_folders_a_stream_wrote_can_expire_and_be_compacted(spark, tmp_path):
+    path, landing = str(tmp_path / "bronze"), str(tmp_path / "in")
+    start = lambda: sinks.append_parquet(topics.landed_files(spark, landing, "id long"), path, str(tmp_path / "check"), once=True)
+    for wave in range(3):
+        spark.range(3 * wave, 3 * wave + 3).write.mode("append").parquet(landing)
+        start().awaitTermination()
+    today = dt.datetime.now(dt.timezone.utc).date()
+    assert len(Folder(spark, path).matching("year=*/month=*/day=*/batch=*")) == 3
+    assert compact(spark, path, today) == 3 and compact(spark, path, today) == 0
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(9))
+    assert len(drop_expired(spark, path, today + dt.timedelta(days=91))) == 1
+    spark.range(100, 101).write.mode("append").parquet(landing)
+    start().awaitTermination()
+    assert [r.id for r in spark.read.parquet(path).collect()] == [100]
+
+
+def test_an_interrupted_compaction_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = f"{path}/year=2024/month=04/day=10"
+    for n in range(3):
+        spark.range(n, n + 1).write.parquet(f"{day}/batch={n}")
+    spark.range(3).write.parquet(f"{day}/_compacted")
+    folder = Folder(spark, day)
+    folder.remove(f"{day}/batch=0")
+    compact(spark, path, TODAY)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2]

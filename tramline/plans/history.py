@@ -42,7 +42,8 @@ def delay_trend(history: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     days = span.filter(F.col("first").isNotNull()).select(
         "first", "last", F.explode(F.sequence(first_day, last_day, day.cast("long"))).alias("day")
     )
-    grid = days.select(
+    # Days are dealt out before each becomes 1,440 rows: a stray timestamp can make thousands.
+    grid = days.repartition("day").select(
         "first",
         "last",
         F.explode(

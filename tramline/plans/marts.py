@@ -120,6 +120,7 @@ def _departures(first_seen: DataFrame) -> DataFrame:
     keys = ["route_short_name"]
     departures = (
         first_seen.withColumn("second", wall_seconds(F.col("first_seen_at")))
+        .filter(F.col("second").isNotNull())
         .groupBy(*keys, "second")
         .agg(F.count(F.lit(1)).alias("trips"), F.min("trip_id").alias("leading_trip"))
         .withColumn("day", block_start(F.col("second"), SECONDS_PER_DAY))
@@ -140,7 +141,7 @@ def _departures(first_seen: DataFrame) -> DataFrame:
 
 
 def headway_gaps(staged: DataFrame) -> DataFrame:
-    """Every trip with the seconds since the trip before it on its route."""
+    """Every trip with the seconds since the trip before it on its route; none without a time."""
     first_seen = _first_seen(staged).withColumn("second", wall_seconds(F.col("first_seen_at")))
     gaps = _departures(_first_seen(staged)).select(
         F.col("route_short_name").alias("g_route"),
@@ -151,8 +152,9 @@ def headway_gaps(staged: DataFrame) -> DataFrame:
     same = F.col("route_short_name").eqNullSafe(F.col("g_route")) & (
         F.col("second") == F.col("g_second")
     )
-    gap = F.when(F.col("trip_id") == F.col("leading_trip"), F.col("gap_seconds")).otherwise(0)
-    return first_seen.join(gaps, same).select(
+    follows = F.col("trip_id") != F.col("leading_trip")
+    gap = F.when(follows, F.lit(0).cast("long")).otherwise(F.col("gap_seconds"))
+    return first_seen.join(gaps, same, "left").select(
         "route_short_name",
         "trip_id",
         "first_seen_at",

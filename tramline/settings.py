@@ -44,6 +44,9 @@ class Settings:
     # plenty for trips, and bunching looks back two minutes.
     state_ttl_s: int | None = None
 
+    # How long an old version of the live table or the state stays for readers that began with it.
+    version_grace_s: int = 900
+
     # Where the latest row per vehicle is kept: "local" or "dynamodb" value types.
     live_backend: str = "local"
 

@@ -70,6 +70,11 @@ def _number(path: str) -> Column:
     return F.coalesce(F.col(path).cast("double"), F.lit(0.0))
 
 
+def _stamps(messages: DataFrame) -> list[str]:
+    """When a message was taken in, where the source says so."""
+    return [name for name in messages.columns if name == "ingest_time"]
+
+
 def decode_positions(messages: DataFrame) -> DataFrame:
     """Bronze positions from the `entity` column: vehicle entities that are on a trip.
 
@@ -89,6 +94,7 @@ def decode_positions(messages: DataFrame) -> DataFrame:
         _number("entity.vehicle.position.longitude").alias("longitude"),
         _number("entity.vehicle.position.bearing").alias("bearing"),
         F.coalesce("entity.vehicle.timestamp", F.lit(0).cast("long")).alias("timestamp"),
+        *_stamps(messages),
     )
 
 
@@ -104,7 +110,8 @@ def decode_trip_updates(messages: DataFrame) -> DataFrame:
             "arrival_seq",
             _text("entity.trip_update.trip.trip_id").alias("trip_id"),
             delay.cast("long").alias("delay_seconds"),
+            *_stamps(messages),
         )
         .filter((F.col("trip_id") != "") & F.col("delay_seconds").isNotNull())
-        .select(schemas.TRIP_UPDATE.names)
+        .select(*schemas.TRIP_UPDATE.names, *_stamps(messages))
     )

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,19 @@ class Folder:
     def remove(self, path: str) -> None:
         self._fs().delete(self._at(path), True)
 
+    def make(self, path: str) -> None:
+        self._fs().mkdirs(self._at(path))
+
+    def move(self, path: str, to: str) -> None:
+        if not self._fs().rename(self._at(path), self._at(to)):
+            raise OSError(f"cannot move {path} to {to}")
+
+    def bytes(self, path: str) -> int:
+        return self._fs().getContentSummary(self._at(path)).getLength()
+
+    def age_s(self, path: str) -> float:
+        return time.time() - self._fs().getFileStatus(self._at(path)).getModificationTime() / 1000
+
 
 class VersionedTable:
     """A small table rewritten as a whole: version N is written beside N-1, then read instead.
@@ -40,10 +55,13 @@ class VersionedTable:
 
     KEPT = 3
 
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str, grace_s: int = DEFAULTS.version_grace_s
+    ) -> None:
         self._spark = spark
         self._folder = Folder(spark, path)
         self._schema = schema
+        self._grace_s = grace_s
 
     def versions(self) -> list[int]:
         done = self._folder.matching("version=*/_SUCCESS")
@@ -57,19 +75,83 @@ class VersionedTable:
         return self._spark.read.schema(self._schema).parquet(self._path(known[-1]))
 
     def write(self, rows: DataFrame, version: int) -> None:
+        """Older versions go once they are out of the newest few and a reader had time to finish."""
         rows.write.mode("overwrite").parquet(self._path(version))
         for old in self.versions():
-            if old <= version - self.KEPT:
+            if old <= version - self.KEPT and self._folder.age_s(self._path(old)) >= self._grace_s:
                 self._folder.remove(self._path(old))
 
     def _path(self, version: int) -> str:
         return f"{self._folder.path}/version={version}"
 
 
+class BatchNumbers:
+    """A number for every micro-batch, larger than those of all batches before it.
+
+    Spark counts batches from 0 again on a new checkpoint, so folders and versions named by that count would
+    replace rows of an earlier run. Here a batch is known by its run (the checkpoint's id) and count;
+    a batch that is tried again gets the number it had.
+    """
+
+    KEPT = 100
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._folder = Folder(spark, path)
+
+    def of(self, run: str, batch_id: int, above: int = -1) -> int:
+        """`above`: numbers that are taken already, by tables older than this record."""
+        given = {}
+        for path in self._folder.matching("number=*/run=*/batch=*"):
+            number, its_run, its_batch = re.search(r"number=(\d+)/run=([^/]+)/batch=(-?\d+)$", path).groups()
+            given[int(number)] = (its_run, int(its_batch))
+        for number, batch in given.items():
+            if batch == (run, batch_id):
+                return number
+        number = max([above, *given]) + 1
+        self._folder.make(f"{self._folder.path}/number={number}/run={run}/batch={batch_id}")
+        for old in given:
+            if old <= number - self.KEPT:
+                self._folder.remove(f"{self._folder.path}/number={old}")
+        return number
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query a checkpoint belongs to; a new checkpoint has a new one."""
+    if not Folder(spark, checkpoint).matching("metadata"):
+        return "direct"
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def compact(spark: SparkSession, path: str, day: dt.date, target_bytes: int = 256 << 20) -> int:
+    """Rewrite a finished day's `batch=` folders as one, and return how many there were.
+
+    For days that no stream writes any more and no reader reads at that moment. The new folder is complete before the old ones
+    go, and stays hidden until then; a run that was interrupted is finished by the next one.
+    """
+    folder = Folder(spark, f"{path.rstrip('/')}/{day:year=%Y/month=%m/day=%d}")
+    hidden = f"{folder.path}/_compacted"
+    if not folder.matching("_compacted/_SUCCESS"):
+        parts = folder.matching("batch=*")
+        if len(parts) < 2:
+            return 0
+        size = sum(folder.bytes(part) for part in parts)
+        spark.read.parquet(*parts).coalesce(max(1, -(-size // target_bytes))).write.mode("overwrite").parquet(hidden)
+    parts = [part for part in folder.matching("batch=*") if not part.endswith("batch=compacted")]
+    for part in parts:
+        folder.remove(part)
+    # A day may be compacted again after late batches: the old result was one of the inputs.
+    folder.remove(f"{folder.path}/batch=compacted")
+    folder.move(hidden, f"{folder.path}/batch=compacted")
+    return len(parts)
+
+
 def drop_expired(
     spark: SparkSession, path: str, today: dt.date, settings: Settings = DEFAULTS
 ) -> list[str]:
-    """Remove the day folders past retention and return their paths. Reads no data."""
+    """Remove the day folders past retention and return their paths. Reads no data.
+
+    Works on any folder written here: no sink keeps a list of its files.
+    """
     folder, oldest = Folder(spark, path), today - dt.timedelta(days=settings.retention_days)
     expired = []
     for day in folder.matching("year=*/month=*/day=*"):

@@ -5,23 +5,23 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from tramline import schemas
 from tramline.plans import dashboard
-from tramline.plans.history import in_last_days
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.settings import DEFAULTS, Settings
-from tramline.sources.folders import VersionedTable
+from tramline.sources.folders import Folder, VersionedTable
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """All silver folders with their partition columns; columns a file lacks come back null.
+    """All silver folders with their partition columns; columns a file lacks come back null."""
+    return _silver_reader(spark).parquet(path)
 
-    The schema is declared, so no file footers are merged and old files need no rewrite.
-    """
-    keys = "year INT, month INT, day INT"
-    return spark.read.schema(f"{schemas.ddl(schemas.SILVER)}, {keys}").parquet(path)
+
+def _silver_reader(spark: SparkSession) -> DataFrameReader:
+    """The schema is declared, so no file footers are merged and old files need no rewrite."""
+    return spark.read.schema(f"{schemas.ddl(schemas.SILVER)}, year INT, month INT, day INT")
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -34,16 +34,21 @@ def read_history(
 ) -> DataFrame:
     """The dashboard's history: the last days, else everything, else no rows.
 
-    The recent read lists and opens only the folders of those days. `today` is the UTC date,
-    because folders are named by it. Rows are in time order; the arrival number behind it lets
-    one frequent timestamp be split over several sort tasks.
+    The recent read names the folders of those days, so no other is listed or opened. `today` is
+    the UTC date, because folders are named by it. Rows are in time order; the arrival number
+    behind it lets one frequent timestamp be split over several sort tasks.
     """
-    try:
-        silver = read_silver(spark, path)
-    except AnalysisException:
-        return spark.createDataFrame([], schemas.SILVER).select(HISTORY_COLUMNS)
-    recent = silver.filter(in_last_days(today, settings.recent_days))
-    chosen = silver if recent.isEmpty() else recent
+    folder = Folder(spark, path)
+    days = [today - dt.timedelta(days=back) for back in range(settings.recent_days)]
+    there = [found for day in days for found in folder.matching(f"{day:year=%Y/month=%m/day=%d}")]
+    chosen = None
+    if there:
+        chosen = _silver_reader(spark).option("basePath", path).parquet(*there)
+    if chosen is None or chosen.isEmpty():
+        try:
+            chosen = read_silver(spark, path)
+        except AnalysisException:
+            chosen = spark.createDataFrame([], schemas.SILVER)
     return chosen.orderBy("timestamp", "arrival_seq").select(HISTORY_COLUMNS)
 
 
@@ -52,9 +57,10 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schemas.AGENCY)
 
 
-def live_table(spark: SparkSession, path: str) -> VersionedTable:
+def live_table(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> VersionedTable:
     """The latest row per vehicle, with the arrival number that decides which row is latest."""
-    return VersionedTable(spark, path, f"arrival_seq bigint, {schemas.ddl(schemas.LIVE)}")
+    columns = f"arrival_seq bigint, {schemas.ddl(schemas.LIVE)}"
+    return VersionedTable(spark, path, columns, settings.version_grace_s)
 
 
 def read_live(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> DataFrame:

@@ -22,7 +22,7 @@ from tramline.operators.latest import latest_per_key
 from tramline.operators.proximity import bunching_arrivals
 from tramline.plans.enrich import with_flags
 from tramline.settings import DEFAULTS, Settings
-from tramline.sources.folders import VersionedTable
+from tramline.sources.folders import BatchNumbers, VersionedTable, run_of
 from tramline.sources.tables import live_table
 from tramline.streaming.arrivals import positions_of, updates_of
 from tramline.streaming.sinks import flush_time, triggered
@@ -52,34 +52,49 @@ class Places:
 
 
 class BatchEnricher:
-    """Handles one micro-batch; safe to run again for a batch that failed half way."""
+    """Handles one micro-batch; safe to run again for a batch that failed half way.
 
-    def __init__(self, spark: SparkSession, places: Places, settings: Settings = DEFAULTS) -> None:
+    Folders and versions are numbered by `BatchNumbers`, so a run on a new checkpoint adds to what
+    earlier runs left. `checkpoint` names the checkpoint of the query that calls it.
+    """
+
+    def __init__(
+        self, spark: SparkSession, places: Places, settings: Settings = DEFAULTS, checkpoint: str | None = None
+    ) -> None:
         self._spark, self._places, self._settings = spark, places, settings
+        self._checkpoint = checkpoint or f"{places.checkpoints}/enrich"
+        self._numbers = BatchNumbers(spark, f"{places.state}/batches")
         self._delays = self._state("delays", schemas.TRIP_UPDATE)
         self._last_seen = self._state("positions", schemas.POSITION)
-        self._live = live_table(spark, places.live)
+        self._live = live_table(spark, places.live, settings)
 
     def _state(self, name: str, schema: schemas.T.StructType) -> VersionedTable:
         columns = f"{schemas.ddl(schema)}, flushed bigint"
-        return VersionedTable(self._spark, f"{self._places.state}/{name}", columns)
+        return VersionedTable(
+            self._spark, f"{self._places.state}/{name}", columns, self._settings.version_grace_s
+        )
+
+    def number_of(self, batch_id: int) -> int:
+        taken = max([-1, *self._live.versions(), *self._delays.versions(), *self._last_seen.versions()])
+        return self._numbers.of(run_of(self._spark, self._checkpoint), batch_id, above=taken)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """A micro-batch of merged arrivals with `flushed`."""
         batch = batch.persist()
         try:
             facts = batch.agg(F.min("arrival_seq").alias("first"), F.max("flushed").alias("flushed"))
             first, flushed = facts.first()
             if first is not None:
-                self._enrich(batch, batch_id, first, flushed)
+                self.enrich(batch, self.number_of(batch_id), first, flushed)
         finally:
             batch.unpersist()
 
-    def _enrich(self, batch: DataFrame, batch_id: int, first: int, flushed: int) -> None:
+    def enrich(self, batch: DataFrame, number: int, first: int, flushed: int) -> None:
         def earlier(table: VersionedTable) -> DataFrame:
             """What was known before this batch. Messages of a slow partition can have lower
             numbers than rows already handled; those rows still count as arrived before them."""
-            number = F.least("arrival_seq", F.lit(first - 1))
-            return table.before(batch_id).withColumn("arrival_seq", number)
+            place = F.least("arrival_seq", F.lit(first - 1))
+            return table.before(number).withColumn("arrival_seq", place)
 
         remembered = F.lit(True)
         if self._settings.state_ttl_s is not None:
@@ -95,16 +110,16 @@ class BatchEnricher:
         # The batch has a folder of its own, so writing it again replaces what it wrote before,
         # and the live table is built from the written rows instead of enriching twice.
         day = dt.datetime.fromtimestamp(flushed, dt.timezone.utc)
-        folder = f"{self._places.silver}/{day:year=%Y/month=%m/day=%d}/batch={batch_id}"
+        folder = f"{self._places.silver}/{day:year=%Y/month=%m/day=%d}/batch={number}"
         enriched.write.mode("overwrite").parquet(folder)
 
-        self._delays.write(latest_per_key(updates, ["trip_id"]), batch_id)
-        self._last_seen.write(latest_per_key(seen, ["route_id", "vehicle_id"]), batch_id)
+        self._delays.write(latest_per_key(updates, ["trip_id"]), number)
+        self._last_seen.write(latest_per_key(seen, ["route_id", "vehicle_id"]), number)
         written = self._spark.read.schema(schemas.SILVER).parquet(folder)
         vehicles = earlier(self._live).unionByName(
             written.select("arrival_seq", *schemas.LIVE_COLUMNS)
         )
-        self._live.write(latest_per_key(vehicles, ["vehicle_id"]), batch_id)
+        self._live.write(latest_per_key(vehicles, ["vehicle_id"]), number)
 
 
 def start(

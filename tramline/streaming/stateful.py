@@ -36,7 +36,9 @@ DELAYED = StructType([f for f in schemas.SILVER.fields if f.name != "is_bunching
 
 def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """The rows of a key in arrival order. They come in chunks that are not in order."""
-    return pd.concat(chunks, ignore_index=True).sort_values("arrival_seq", kind="stable")
+    rows = pd.concat(chunks, ignore_index=True)
+    keys = [name for name in ("arrival_seq", "is_position") if name in rows]
+    return rows.sort_values(keys, kind="stable")
 
 
 class AttachDelay(StatefulProcessor):
