@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import ship_package
+from tramline.llm.common import in_slices, ship_package
 
 MARKS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("<<SYS>>", "<</SYS>>")}
 OTHER = ("<<TURN>>", "<<TEXT>>", "<</TURN>>")
@@ -105,7 +105,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     ship_package(conversations.sparkSession)
 
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
             segments = pa.array(map(render, roles, texts), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -164,7 +164,7 @@ def read_back(segments: DataFrame) -> DataFrame:
             columns = zip(*rows) if rows else [[]] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        for batch in batches:
+        for batch in in_slices(batches):
             done = []
             for conv_id, piece in zip(batch.column("conv_id").to_pylist(), batch.column("segment").to_pylist()):
                 if reader is None or conv_id != current:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,13 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into short ones, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def landed(rows: DataFrame, purpose: str) -> DataFrame:
     """The same rows read back from a table in the cluster's shared folder.
 

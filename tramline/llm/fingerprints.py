@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import last_at_most, ship_package
+from tramline.llm.common import in_slices, last_at_most, ship_package
 
 GRAM = 24
 WINDOW = 77
@@ -144,7 +144,7 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = [field.split()[0] for field in _OUT.split(", ")]
     before = None
-    for batch in batches:
+    for batch in in_slices(batches):
         done = []
         columns = [batch.column(name).to_pylist() for name in ("doc_id", "range", "guest", "text")]
         for doc_id, place, guest, text in zip(*columns):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import ship_package
+from tramline.llm.common import in_slices, ship_package
 from tramline.llm.shingles import mixed, run_hashes, word_hashes
 
 WORDS = 3
@@ -157,7 +157,7 @@ def scan_licenses(documents: DataFrame, templates: tuple[tuple[str, str], ...] =
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _prepared(templates)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column("text").to_pylist()
             found, at = [], 0
             while at < len(texts):

@@ -27,14 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import landed, ship_package
+from tramline.llm.common import in_slices, landed, ship_package
 from tramline.llm.shingles import shingle_sets
 
 WORDS = 3
 PERCENT = 90
 # Shingles that count as frequent, at most, and the shingles counted together in memory.
 FREQUENT = 1 << 20
-COUNTED_TOGETHER = 1 << 22
+COUNTED_TOGETHER = 1 << 21
 SLICES = 32
 LEADER_ROUNDS = 2
 # Bits of the filter that finds candidates' texts again; a full filter costs time, not results.
@@ -81,7 +81,7 @@ def frequent_shingles(documents: DataFrame, words: int, most: int = FREQUENT) ->
             )
 
         sets, seen, held = [], set(), 0
-        for batch in batches:
+        for batch in in_slices(batches):
             for values in shingle_sets(batch.column(0).to_pylist(), words):
                 digest = xxhash.xxh3_128_digest(values.tobytes())
                 if digest not in seen:
@@ -127,7 +127,7 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int)
     slice_bits = np.uint64(63 - (SLICES - 1).bit_length())
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column("text").to_pylist()
             sizes, digests, keys, prefixes, slices = [], [], [], [], []
             for text, values in zip(texts, shingle_sets(texts, words)):
@@ -175,7 +175,7 @@ def candidate_sets(documents: DataFrame, nodes: DataFrame, words: int) -> DataFr
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = shared.value
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, keys = [], []
             for text in batch.column(0).to_pylist():
                 key = _text_key(text)

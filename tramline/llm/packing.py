@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import landed, last_at_most, numbered, ship_package
+from tramline.llm.common import in_slices, landed, last_at_most, numbered, ship_package
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
@@ -122,7 +122,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = _parts(tokenizer)
-        for batch in batches:
+        for batch in in_slices(batches):
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             at = 0
             while at < len(texts):

@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import landed, ship_package
+from tramline.llm.common import in_slices, landed, ship_package
 
 # The models are fitted on at most this many labelled rows, those with the smallest hash of doc_id.
 LABELLED_ROWS = 20_000
@@ -163,7 +163,7 @@ def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def worked_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = _Features(lexicon)
-        for batch in batches:
+        for batch in in_slices(batches):
             values = [features.of(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in kept), pa.array(values, pa.list_(pa.float64()))], [*kept, "features"]
