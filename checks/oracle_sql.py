@@ -150,6 +150,21 @@ FIGURES = """
 
 HISTORY = "timestamp, route_id, agency_id, delay_seconds, is_bunching"
 
+KAFKA = """
+  SELECT arrival_seq AS sent, vehicle_id, trip_id, is_update, delay_seconds,
+         row_number() OVER (ORDER BY timestamp,
+           CASE WHEN is_update THEN 'trip-updates-raw' ELSE 'vehicle-positions-raw' END,
+           arrival_seq % 1500, arrival_seq // 1500) - 1 AS arrival_seq
+  FROM feed"""
+
+SPOILED = """
+  SELECT * REPLACE (
+    CASE WHEN agency_id <> '2503' THEN route_id END AS route_id,
+    delay_seconds + CASE agency_id WHEN '2504' THEN 10000 WHEN '2507' THEN -9000 ELSE 0 END AS delay_seconds,
+    CASE WHEN agency_id = '2508' THEN CAST(date_trunc('hour', event_time) AS TIMESTAMP) ELSE event_time END
+      AS event_time)
+  FROM staged"""
+
 _ON_FEED = {
     # sources and decoding
     "feed_fanout": """
@@ -261,9 +276,27 @@ _ON_FEED = {
              CASE WHEN arrival_seq % 3 <> 0 THEN route_short_name END AS route_short_name,
              CASE WHEN arrival_seq % 3 <> 0 THEN bearing END AS bearing
       FROM silver""",
-    "retention_90d": """
-      SELECT arrival_seq, vehicle_id, delay_seconds FROM foldered
-      WHERE ingest_date >= (SELECT max(ingest_date) FROM foldered) - 90""",
+    "retention_90d": "SELECT arrival_seq, vehicle_id, delay_seconds FROM foldered WHERE arrival_seq % 3 <> 0",
+    "compacted_day": """
+      SELECT arrival_seq, vehicle_id, delay_seconds, 'compacted' AS batch FROM foldered
+      WHERE ingest_date = (SELECT max(ingest_date) FROM foldered)""",
+    "operator_performance_csv": "SELECT * FROM operators",
+    "kafka_arrivals": f"SELECT sent, arrival_seq FROM ({KAFKA})",
+    "kafka_attach_delay": f"""
+      SELECT p.arrival_seq, p.sent, p.vehicle_id, p.trip_id, coalesce(u.delay_seconds, 0) AS delay_seconds
+      FROM (SELECT * FROM ({KAFKA}) WHERE NOT is_update) p
+      ASOF LEFT JOIN (SELECT * FROM ({KAFKA}) WHERE is_update) u
+        ON p.trip_id = u.trip_id AND p.arrival_seq >= u.arrival_seq""",
+    "dq_null_violations": f"""
+      SELECT 'vehicle_id' AS checked, count(*) FILTER (vehicle_id IS NULL) AS violations FROM ({SPOILED})
+      UNION ALL
+      SELECT 'route_id', count(*) FILTER (route_id IS NULL) FROM ({SPOILED})""",
+    "dq_range_violations": f"""
+      SELECT vehicle_id, event_time, delay_seconds FROM ({SPOILED})
+      WHERE delay_seconds < -3600 OR delay_seconds > 7200""",
+    "dq_unique_violations": f"""
+      SELECT vehicle_id, event_time, count(*) AS occurrences FROM ({SPOILED})
+      GROUP BY ALL HAVING occurrences > 1""",
     "operator_history": f"""
       SELECT {HISTORY} FROM silver
       WHERE agency_id IN (SELECT agency_id FROM board WHERE operator_name = 'Alpha Lines')""",
@@ -334,6 +367,7 @@ _ON_MESSAGES = {
     "stream_bronze_updates": "SELECT * FROM upd",
     "stream_silver": "SELECT * FROM enriched",
     "stream_live_state": _ON_FEED["live_vehicles"],
+    "stream_live_keyvalue": _ON_FEED["live_vehicles_projected"],
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tramline import schemas
 from tramline.functions import geo, labels
 from tramline.functions.clock import partition_keys
+from tramline.operators.arrival import numbered
 from tramline.operators.last_known import attach_delay
 from tramline.operators.proximity import flag_bunching
 from tramline.plans import dashboard, history, marts, quality
@@ -18,8 +19,9 @@ from tramline.plans.enrich import enrich
 from tramline.plans.staging import stage_events
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.session import scratch_folder
-from tramline.settings import DEFAULTS
+from tramline.settings import DEFAULTS, Settings
 from tramline.sources import feed, sample, tables, topics
+from tramline.sources.folders import compact, drop_expired
 from tramline.streaming import pipeline, stateful
 from tramline.streaming.arrivals import merged
 from tramline.streaming.microbatch import Places
@@ -220,8 +222,60 @@ def schema_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retention_90d(spark: SparkSession, sf: str) -> DataFrame:
-    expired = history.older_than(last_ingest_date(spark, sf), DEFAULTS.retention_days)
-    return foldered(spark, sf).filter(~expired).select("arrival_seq", "vehicle_id", "delay_seconds")
+    """Landed folders, every third reading a hundred days older; the folders past retention go."""
+    path = scratch_folder(spark, "retained")
+    older = F.when(F.col("arrival_seq") % 3 == 0, 100 * 86_400).otherwise(0)
+    rows = silver(spark, sf).withColumn("taken", F.col("timestamp") - older)
+    rows.select("*", *partition_keys(F.col("taken"))).write.partitionBy("year", "month", "day").parquet(path)
+    drop_expired(spark, path, last_ingest_date(spark, sf))
+    return tables.read_silver(spark, path).select("arrival_seq", "vehicle_id", "delay_seconds")
+
+
+def kafka_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """The number that each message gets from its time, topic, partition and offset."""
+    return numbered(sample.kafka_messages(spark, sf)).select("sent", "arrival_seq")
+
+
+def kafka_attach_delay(spark: SparkSession, sf: str) -> DataFrame:
+    """The delay join in the order in which a broker's messages are numbered."""
+    messages = numbered(sample.kafka_messages(spark, sf))
+    positions = messages.filter(~F.col("is_update")).select("arrival_seq", "sent", "vehicle_id", "trip_id")
+    updates = messages.filter("is_update").select("arrival_seq", "trip_id", "delay_seconds")
+    return attach_delay(positions, updates)
+
+
+def compacted_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The last day's silver, landed in several batches and then compacted into one folder."""
+    path, day = scratch_folder(spark, "compacted"), last_ingest_date(spark, sf)
+    rows = foldered(spark, sf).withColumn("batch", F.col("arrival_seq") % 5)
+    rows.write.partitionBy("year", "month", "day", "batch").parquet(path)
+    compact(spark, path, day)
+    found = spark.read.option("basePath", path).parquet(f"{path}/{day:year=%Y/month=%m/day=%d}")
+    return found.select("arrival_seq", "vehicle_id", "delay_seconds", F.col("batch").cast("string").alias("batch"))
+
+
+def operator_performance_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator performance with the dimension landed as CSV and read back."""
+    path = scratch_folder(spark, "agencies")
+    sample.agencies(spark).write.csv(path, header=True)
+    return marts.operator_performance(staged(spark, sf), tables.read_agencies(spark, path))
+
+
+def spoiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged events with faults: one agency without routes, one with absurd delays, one
+    whose clock shows whole hours only."""
+    rows, agency = staged(spark, sf), F.col("agency_id")
+    return rows.withColumns(
+        {
+            "route_id": F.when(agency != "2503", F.col("route_id")),
+            "delay_seconds": F.col("delay_seconds") + F.when(agency == "2504", 10_000).when(agency == "2507", -9_000).otherwise(0),
+            "event_time": F.when(agency == "2508", F.expr("cast(date_trunc('HOUR', event_time) as timestamp_ntz)")).otherwise(F.col("event_time")),
+        }
+    )
+
+
+def dq_range_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.delay_out_of_range(spoiled(spark, sf)).select("vehicle_id", "event_time", "delay_seconds")
 
 
 def operator_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,6 +348,13 @@ QUERIES: dict[str, Query] = {
     "schema_union": schema_union,
     "retention_90d": retention_90d,
     "operator_history": operator_history,
+    "kafka_arrivals": kafka_arrivals,
+    "kafka_attach_delay": kafka_attach_delay,
+    "compacted_day": compacted_day,
+    "operator_performance_csv": operator_performance_csv,
+    "dq_null_violations": _over(spoiled, lambda rows: quality.null_counts(rows, ["vehicle_id", "route_id"])),
+    "dq_range_violations": dq_range_violations,
+    "dq_unique_violations": _over(spoiled, quality.repeated_events),
     "delay_trend_1min": _over(silver, history.delay_trend),
     "route_trend_1min": route_trend,
     "busiest_routes": _over(staged, marts.busiest_routes),
@@ -368,6 +429,11 @@ def stream_live_state(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_live(spark, _streamed(spark, sf).live)
 
 
+def stream_live_keyvalue(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored live table read with the key-value backend's types and projection."""
+    return tables.read_live(spark, _streamed(spark, sf).live, Settings(live_backend="dynamodb"))
+
+
 def stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     """Silver from the two operators that keep their state in Spark's state store."""
     root = scratch_folder(spark, "stateful")
@@ -391,5 +457,6 @@ QUERIES |= {
     "stream_bronze_updates": stream_bronze_updates,
     "stream_silver": stream_silver,
     "stream_live_state": stream_live_state,
+    "stream_live_keyvalue": stream_live_keyvalue,
     "stream_stateful": stream_stateful,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline import schemas
+from tramline.settings import DEFAULTS
 from tramline.functions import labels
 
 # An invented operator dimension. Three of the ten agencies are left out on
@@ -128,6 +129,25 @@ def messages(spark: SparkSession, tables: str) -> DataFrame:
     return arrivals(spark, tables).select("arrival_seq", entity.alias("entity"))
 
 
+def kafka_messages(spark: SparkSession, tables: str) -> DataFrame:
+    """The same messages as a broker holds them: two topics of 1,500 partitions each.
+
+    Messages of one second share their time, offsets pass 4,096, and both topics use the same
+    partitions and offsets.
+    """
+    seq = F.col("arrival_seq")
+    topic = F.when(F.col("is_update"), DEFAULTS.updates_topic).otherwise(DEFAULTS.positions_topic)
+    arrival = F.struct(
+        (F.col("timestamp") * 1000).alias("time"),
+        topic.alias("topic"),
+        (seq % 1500).cast("int").alias("partition"),
+        (F.floor(seq / 1500) + 4094).alias("offset"),
+    )
+    return arrivals(spark, tables).select(
+        arrival.alias("arrival"), seq.alias("sent"), "vehicle_id", "trip_id", "is_update", "delay_seconds"
+    )
+
+
 def messages_with_gaps(spark: SparkSession, tables: str) -> DataFrame:
     """The same messages with the gaps real feeds have.
 
