@@ -1,7 +1,7 @@
 """Sharding by balanced label propagation.
 
-Linked documents start on hashed shards. In each round a group nominates the shard that holds most of its
-documents and still takes some; documents on shards with fewer of their group want to move there.
+Linked documents start on hashed shards. In each round a group nominates the shards that hold most of its
+documents and still take some; documents on shards with fewer of their group want to move there.
 Quotas per pair of shards admit as many moves as swap places or fit free capacity, so sizes stay even while links
 between shards become fewer. At the end documents without links fill what is left, and counts differ by
 one at most.
@@ -28,20 +28,37 @@ def _draw(*columns) -> Column:
 
 
 def nominations(labels: DataFrame, capacity: int) -> DataFrame:
-    """`group, label, here, to, there`: for each shard a group is on, where its documents there want to go."""
+    """`group, label, targets`: for each shard a group should leave, where its documents there may go.
+
+    A group keeps the shards that hold most of it and still take documents, as many as it needs to
+    have room for all; `targets` are those, each with the upper end of its part of [0, 1).
+    """
     counts = labels.groupBy("group", "label").agg(F.count(F.lit(1)).alias("here"))
     loads = counts.groupBy("label").agg((F.lit(capacity) - F.sum("here")).alias("free"))
     # Equal counts are ordered by a hash, so that small groups do not all prefer the same shard.
     rank = F.struct("here", F.xxhash64("group", "label").alias("tie"), "label")
-    ranked = counts.join(F.broadcast(loads), "label").withColumn("rank", rank)
     takes = F.col("free") > OPEN * capacity
-    best = ranked.groupBy("group").agg(
-        F.coalesce(F.max(F.when(takes, F.col("rank"))), F.max("rank")).alias("best")
+    # At most one row per shard in a window.
+    best_first = Window.partitionBy("group").orderBy(F.desc("rank"))
+    before = F.coalesce(
+        F.sum(F.when(takes, F.col("here") + F.col("free"))).over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    total = F.sum(F.when(takes, F.col("here"))).over(Window.partitionBy("group"))
+    ranked = (
+        counts.join(F.broadcast(loads), "label")
+        .withColumn("rank", rank)
+        .withColumn("kept", takes & (before < total))
+        .withColumn("room", F.when(F.col("kept"), F.col("free")))
+        .withColumn("upto", F.sum("room").over(best_first) / F.sum("room").over(Window.partitionBy("group")))
+    )
+    target = F.when(F.col("kept"), F.struct("upto", "label"))
+    targets = ranked.groupBy("group").agg(
+        F.sort_array(F.collect_list(target)).alias("targets"), F.max(F.when(F.col("kept"), F.col("rank"))).alias("best")
     )
     return (
-        ranked.join(best, "group")
-        .filter(F.col("best") > F.col("rank"))
-        .select("group", "label", F.col("best.label").alias("to"))
+        ranked.join(targets, "group")
+        .filter(~F.col("kept") & (F.col("best") > F.col("rank")))
+        .select("group", "label", "targets")
     )
 
 
@@ -68,7 +85,9 @@ def propagate(members: DataFrame, capacity: int, shards: int = SHARDS) -> DataFr
     linked = labels.count()
     for number in range(ROUNDS if linked else 0):
         # A group with a third of all rows is on as many shards as any: the join key is no hot key alone.
-        wishes = landed(labels.join(nominations(labels, capacity), ["group", "label"], "left"), "wishes")
+        chosen = F.filter("targets", lambda t: t["upto"] > _draw("doc_id", F.lit(-1 - number)))
+        wishes = labels.join(nominations(labels, capacity), ["group", "label"], "left")
+        wishes = landed(wishes.withColumn("to", F.get(chosen, F.lit(0))["label"]).drop("targets"), "wishes")
         loads = wishes.groupBy("label").agg(F.count(F.lit(1)).alias("load"))
         granted = _admitted(wishes.filter(F.col("to").isNotNull()), loads, capacity)
         moves = F.col("share").isNotNull() & (_draw("doc_id", F.lit(number)) < F.col("share"))
