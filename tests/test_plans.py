@@ -122,6 +122,22 @@ def test_headways_match_a_hand_count_across_days_and_shared_seconds(spark):
     assert gaps == [None, *gaps_by_hand(starts["busy"])]
 
 
+def test_trips_without_a_time_have_no_headway(spark):
+    """Eight trips without a time give no gap; among timed ones they change nothing."""
+    events = spark.createDataFrame(
+        [("none", f"t{i}", None) for i in range(8)]
+        + [("some", f"u{i}", dt.datetime(2024, 4, 3, 9, 0, 11 * i)) for i in range(5)]
+        + [("some", "lost", None), (None, "odd", None)],
+        "route_short_name string, trip_id string, event_time timestamp_ntz",
+    )
+    gaps = marts.headway_gaps(events)
+    assert gaps.count() == 15
+    listed = [(r.trip_id, r.gap_to_previous_trip) for r in gaps.filter("gap_to_previous_trip IS NOT NULL").collect()]
+    assert sorted(listed) == [(f"u{i}", 11.0) for i in range(1, 5)]
+    kept = marts.headway_adherence(events, Settings(headway_min_gaps=0)).collect()
+    assert [(r.route_short_name, r.trip_count, r.average_gap_seconds) for r in kept] == [("some", 4, 11.0)]
+
+
 def test_headway_counts_a_trip_once_where_it_was_first_seen(spark):
     rows = [("v", "1_x", "t1", 1000, 0, False), ("v", "1_x", "t1", 5000, 0, False), ("v", "1_x", "t2", 1100, 0, False)]
     gaps = {r.trip_id: r.gap_to_previous_trip for r in marts.headway_gaps(staged(spark, rows)).collect()}
