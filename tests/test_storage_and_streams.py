@@ -46,8 +46,8 @@ def messages(spark, entities):
     )
 
 
-def vehicle(trip="trip-1", route="333", place=(-33.87, 151.21, None), timestamp=1700000000):
-    return {"vehicle": {"trip": {"trip_id": trip, "route_id": route}, "vehicle": {"id": "bus-789"}, "position": place, "timestamp": timestamp}}
+def vehicle(trip="north-4", route="58", place=(47.4, 8.55, None), timestamp=1_711_000_000):
+    return {"vehicle": {"trip": {"trip_id": trip, "route_id": route}, "vehicle": {"id": "tram-12"}, "position": place, "timestamp": timestamp}}
 
 
 def test_positions_are_decoded(spark):
@@ -56,13 +56,13 @@ def test_positions_are_decoded(spark):
     ).collect()
     assert [r.arrival_seq for r in rows] == [0, 4]
     first, bare = rows
-    assert (first.vehicle_id, first.route_id, first.agency_id, first.route_short_name) == ("bus-789", "333", "333", "333")
-    assert (first.latitude, first.longitude) == (pytest.approx(-33.87, abs=1e-4), pytest.approx(151.21, abs=1e-4))
+    assert (first.vehicle_id, first.route_id, first.agency_id, first.route_short_name) == ("tram-12", "58", "58", "58")
+    assert (first.latitude, first.longitude) == (pytest.approx(47.4, abs=1e-4), pytest.approx(8.55, abs=1e-4))
     assert (bare.route_id, bare.agency_id, bare.latitude, bare.bearing, bare.timestamp) == ("", "", 0.0, 0.0, 0)
 
 
 def test_updates_take_the_next_stop_and_its_arrival_first(spark):
-    def stops(*pairs, trip="trip-42"):
+    def stops(*pairs, trip="south-9"):
         delays = [{k: {"delay": d} for k, d in pair.items()} for pair in pairs]
         return {"trip_update": {"trip": {"trip_id": trip}, "stop_time_update": delays}}
 
@@ -70,7 +70,7 @@ def test_updates_take_the_next_stop_and_its_arrival_first(spark):
         messages(
             spark,
             [
-                stops({"arrival": 180}),
+                stops({"arrival": 135}),
                 stops({"departure": -5}),
                 stops({"arrival": 0, "departure": 9}),
                 stops({"arrival": None, "departure": 7}),
@@ -82,7 +82,7 @@ def test_updates_take_the_next_stop_and_its_arrival_first(spark):
         )
     ).collect()
     assert [(r.arrival_seq, r.trip_id, r.delay_seconds) for r in rows] == [
-        (0, "trip-42", 180), (1, "trip-42", -5), (2, "trip-42", 0), (3, "trip-42", 7)
+        (0, "south-9", 135), (1, "south-9", -5), (2, "south-9", 0), (3, "south-9", 7)
     ]
 
 
@@ -360,7 +360,7 @@ def test_live_path_from_entities(spark, tmp_path):
     entity = messages(
         spark,
         [
-            {"trip_update": {"trip": {"trip_id": "trip-1"}, "stop_time_update": [{"arrival": {"delay": 90}}]}},
+            {"trip_update": {"trip": {"trip_id": "north-4"}, "stop_time_update": [{"arrival": {"delay": 90}}]}},
             vehicle(),
             vehicle(trip=""),
         ],

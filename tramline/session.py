@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -54,15 +57,24 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    """One temporary folder per process, gone with it."""
+    folder = tempfile.mkdtemp(prefix="tramline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies in the folder the cluster names in `spark.checkpoint.dir`. A temporary folder of
-    this machine is used only in local mode, where there are no other machines.
+    It lies in the folder the cluster names in `spark.checkpoint.dir`, which the cluster empties.
+    A temporary folder of this machine is used only in local mode, where there are no other
+    machines, and removed when the process ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tramline-")
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/tramline/{purpose}-{uuid.uuid4().hex}"
