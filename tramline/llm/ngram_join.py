@@ -35,7 +35,9 @@ PERCENT = 90
 # Shingles that count as frequent, at most, and the shingles counted together in memory.
 FREQUENT = 1 << 20
 COUNTED_TOGETHER = 1 << 21
-SLICES = 32
+# A set below the first size is counted over so many slices of the hash space, and so on. Sets that have nothing
+# in common differ by about the root of size * slices, which must exceed what the threshold allows.
+SLICES = ((1 << 10, 6), (1 << 14, 10), (1 << 62, 14))
 LEADER_ROUNDS = 2
 # Bits of the filter that finds candidates' texts again; a full filter costs time, not results.
 FILTER_BITS = 1 << 26
@@ -114,7 +116,7 @@ def frequent_shingles(documents: DataFrame, words: int, most: int = FREQUENT) ->
     return Order(tokens[by_hash], ranks[by_hash])
 
 
-_SETS = "doc_id long, n long, digest binary, text_key long, prefix array<long>, slices array<int>"
+_SETS = "doc_id long, n long, digest binary, text_key long, prefix array<long>, slices array<short>"
 
 
 def _text_key(text: str) -> int:
@@ -124,7 +126,11 @@ def _text_key(text: str) -> int:
 def document_sets(documents: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
     """Per row its set's size, digest, prefix in the global order and counts over slices of the hash space."""
     shared = documents.sparkSession.sparkContext.broadcast(order)
-    slice_bits = np.uint64(63 - (SLICES - 1).bit_length())
+
+    def sliced(values: np.ndarray) -> np.ndarray:
+        bits = next(bits for size, bits in SLICES if len(values) < size)
+        counts = np.bincount((values >> np.uint64(63 - bits)).astype(np.int64), minlength=1 << bits)
+        return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -137,10 +143,10 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int)
                 keys.append(_text_key(text))
                 prefix = shared.value.arrange(values)[: n - -(-percent * n // 100) + 1]
                 prefixes.append(prefix.astype(np.int64) if n else np.zeros(0, np.int64))
-                slices.append(np.bincount((values >> slice_bits).astype(np.int64), minlength=SLICES).astype(np.int32))
+                slices.append(sliced(values))
             columns = [
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())), pa.array(slices, pa.list_(pa.int32())),
+                pa.array(prefixes, pa.list_(pa.int64())), pa.array(slices, pa.list_(pa.int16())),
             ]
             yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in _SETS.split(", ")])
 
@@ -209,8 +215,11 @@ def _fitting(percent: int, other: str) -> Column:
 def _verified(documents: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs `x, y` whose sets reach the threshold."""
     side = lambda name: named.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("slices").alias(f"s{name}"))
-    # Sets that differ by d elements differ by d at most in the sum over all slices.
-    apart = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.abs(a - b)), F.lit(0), lambda total, d: total + d)
+    # Sets that differ by d elements differ by d at most in the sum over all slices. Where the sizes
+    # lie on both sides of a step of SLICES, the exact overlap decides alone.
+    differences = F.zip_with("sx", "sy", lambda a, b: F.abs(a.cast("int") - b.cast("int")))
+    summed = F.aggregate(differences, F.lit(0), lambda total, d: total + d)
+    apart = F.when(F.size("sx") == F.size("sy"), summed).otherwise(0)
     overlap = F.ceil(percent * (F.col("nx") + F.col("ny")) / F.lit(100 + percent))
     near = landed(
         pairs.distinct().join(side("x"), "x").join(side("y"), "y")
