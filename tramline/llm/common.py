@@ -100,7 +100,8 @@ def numbered(
     """
     hashed = F.xxhash64(*order) if deal is None else deal
     if within:
-        sizes = rows.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
+        # Landed, so that both sides of the join are plain shuffles, of which Spark splits hot keys.
+        sizes = landed(rows.groupBy(*within).agg(F.count(F.lit(1)).alias("_n")), "sizes")
         dealt = rows.join(sizes, within)
     else:
         dealt = rows.withColumn("_n", F.lit(rows.count()))

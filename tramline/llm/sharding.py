@@ -84,9 +84,9 @@ def propagate(members: DataFrame, capacity: int, shards: int = SHARDS) -> DataFr
     labels = landed(members.withColumn("label", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")), "labels")
     linked = labels.count()
     for number in range(ROUNDS if linked else 0):
-        # A group with a third of all rows is on as many shards as any: the join key is no hot key alone.
         chosen = F.filter("targets", lambda t: t["upto"] > _draw("doc_id", F.lit(-1 - number)))
-        wishes = labels.join(nominations(labels, capacity), ["group", "label"], "left")
+        nominated = landed(nominations(labels, capacity), "nominated")
+        wishes = labels.join(nominated, ["group", "label"], "left")
         wishes = landed(wishes.withColumn("to", F.get(chosen, F.lit(0))["label"]).drop("targets"), "wishes")
         loads = wishes.groupBy("label").agg(F.count(F.lit(1)).alias("load"))
         granted = _admitted(wishes.filter(F.col("to").isNotNull()), loads, capacity)
@@ -120,8 +120,9 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         "rows",
     )
     total = rows.count()
-    groups = rows.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    counted = landed(rows.join(groups, "group"), "counted")
+    # Landed, so that both sides of the join are plain shuffles, of which Spark splits hot groups.
+    groups = landed(rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "groups")
+    counted = landed(rows.join(groups, "group", "left").fillna(1, "members"), "counted")
     capacity = max(1, total // shards)
     linked = propagate(counted.filter("members > 1"), capacity, shards)
 
