@@ -101,11 +101,19 @@ class BatchEnricher:
             remembered = F.col("flushed") >= flushed - self._settings.state_ttl_s
         positions = positions_of(batch, "flushed")
         updates = earlier(self._delays).filter(remembered).unionByName(updates_of(batch, "flushed"))
-        seen = earlier(self._last_seen).filter(remembered).unionByName(positions)
-
+        known = earlier(self._last_seen).filter(remembered)
+        seen = known.unionByName(positions)
+
+        # Readings further than the window from every new one can bunch with none of them, so the work follows
+        # the vehicles that are about and not all there ever were.
+        window = self._settings.bunching_window_s
+        first_ts, last_ts = positions.agg(F.min("timestamp"), F.max("timestamp")).first()
+        about = F.lit(False)
+        if first_ts is not None:
+            about = F.col("timestamp").between(first_ts - window, last_ts + window)
         enriched = with_flags(
             attach_delay(positions, updates, self._settings),
-            bunching_arrivals(seen, self._settings),
+            bunching_arrivals(known.filter(about).unionByName(positions), self._settings),
         )
         # The batch has a folder of its own, so writing it again replaces what it wrote before,
         # and the live table is built from the written rows instead of enriching twice.
