@@ -112,8 +112,10 @@ def numbered(
     upto = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_before", F.coalesce(F.sum("_here").over(upto), F.lit(0))).drop("_here")
     inside = Window.partitionBy(*within, "_bucket").orderBy(hashed, *order)
+    # Dealt out by bucket explicitly: after a join on `within` Spark would keep a whole group in one task.
     return (
-        dealt.withColumn("_at", F.row_number().over(inside) - 1)
+        dealt.repartition(*within, "_bucket")
+        .withColumn("_at", F.row_number().over(inside) - 1)
         .join(starts, [*within, "_bucket"])
         .withColumn(into, F.col("_before") + F.col("_at"))
         .drop("_bucket", "_at", "_before")

@@ -186,8 +186,10 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
         .select("key", "size", "bucket", "here", "own")
     )
     rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    # Dealt out by bucket explicitly: after the join Spark would keep all of a source and size in one task.
     each = (
         dealt.select("doc_id", "source", "key", "size", "bucket")
+        .repartition("key", "size", "bucket")
         .withColumn("rank", rank)
         .join(shares, ["key", "size", "bucket"])
         .withColumn("copies", F.expr("(own * rank) div here - (own * (rank - 1)) div here"))
