@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 
 _STEP = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
