@@ -160,6 +160,44 @@ def test_license_scan_agrees_with_sliding_containment(spark):
         assert scanned[doc_id] == want
 
 
+def test_full_license_texts_are_found_whole(spark):
+    rng = random.Random(19)
+    rows, want = [], {}
+    for i, name in enumerate(licenses.FULL_TEXTS):
+        text = licenses.full_text(name)
+        for j, held in enumerate((text, corpus.edited(rng, text, len(text.split()) // 40))):
+            before = corpus.words(rng, rng.randrange(300))
+            rows.append((2 * i + j, f"{before} {held} {corpus.words(rng, rng.randrange(300))}"))
+            want[2 * i + j] = (name, len(before.split()), len(shingles.word_hashes([held], licenses._WORD_BYTES)[0]))
+    for r in licenses.scan_licenses(corpus.documents(spark, rows)).collect():
+        name, start, length = want[r.doc_id]
+        assert {f.license for f in r.found} == {name}
+        longest = max(r.found, key=lambda f: f.end - f.start)
+        assert longest.start <= start + length // 20 and longest.end >= start + length - length // 20
+        assert longest.containment == 1 if r.doc_id % 2 == 0 else longest.containment >= licenses.CONTAINED
+
+
+@pytest.mark.parametrize("length", [145, 363, 1500, 6000])
+def test_long_templates_meet_copies_at_any_place(length):
+    rng = random.Random(length)
+    template = corpus.words(rng, length, 10**6)
+    known = licenses.Templates((("long", template),))
+    for shift in range(0, 40, 3):
+        text = f"{corpus.words(rng, shift)} {template} {corpus.words(rng, 50)} {template}"
+        runs = shingles.run_hashes(shingles.word_hashes([text], licenses._WORD_BYTES)[0], licenses.WORDS)
+        second = shift + length + 50
+        assert known.found(runs) == [("long", shift, shift + length, 1.0), ("long", second, second + length, 1.0)]
+        half = shingles.run_hashes(shingles.word_hashes([template[: len(template) // 2]], licenses._WORD_BYTES)[0], licenses.WORDS)
+        assert known.found(half) == []
+
+
+def test_notices_of_like_wording_name_their_own_license():
+    known = licenses.Templates(licenses.TEMPLATES)
+    for name, notice in licenses.NOTICES:
+        runs = shingles.run_hashes(shingles.word_hashes([notice], licenses._WORD_BYTES)[0], licenses.WORDS)
+        assert {f[0] for f in known.found(runs)} == {name}
+
+
 # --- chat -------------------------------------------------------------------------------
 
 _PIECES = st.sampled_from([*sum(chat.MARKS.values(), ()), *chat.OTHER, "\\", "<", "[", "<<", "]", ">", "s>", "INST]", "/", "a", "é", "\n"])
