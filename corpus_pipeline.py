@@ -17,33 +17,39 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tramline.llm import mixing, ngram_join, packing, secrets, toxicity  # noqa: E402
-from tramline.llm.common import code_point_key, landed, table  # noqa: E402
+from tramline.llm.common import landed, table  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Near copies: shingles of five words, a similarity of 80 in 100 or more.
 COPY_WORDS, COPY_PERCENT = 5, 80
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """The documents with `_row`, a number for every row, so that what is decided by row can be joined back.
+
+    Landed, since a number given while reading need not be the same when read again.
+    """
+    return landed(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents scored 0.7 or more go. The model learns from `labels` and these documents."""
+    """Documents scored 0.7 or more go. The model learns from `labels` and these documents; without one all stay."""
     model = toxicity.fit(docs, table(spark, folder, "labels"))
+    if model.trees is None:
+        return docs.select(COLUMNS)
     scored = model.score(docs.select(*COLUMNS, F.col("text").alias("scored")).withColumnsRenamed({"text": "kept", "scored": "text"}))
     return scored.filter(F.col("score") < toxicity.TOXIC_FROM).withColumnRenamed("kept", "text").select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays.
+    """Of each group of near copies the row with the smallest doc_id stays, null last, and of those the first.
 
-    Documents without words are no copies and stay. Of rows that repeat the smallest doc_id all stay,
-    as do rows without a doc_id that are copies of nothing with one.
+    Documents without words are no copies and stay.
     """
-    classes = ngram_join.near_classes(docs, COPY_WORDS, COPY_PERCENT)
-    gone = (
-        classes.filter(F.col("component_id") != F.col("doc_id"))
-        .select(code_point_key("doc_id").alias("_id"))
-        .distinct()
-    )
-    return docs.withColumn("_id", code_point_key("doc_id")).join(gone, "_id", "left_anti").select(COLUMNS)
+    rows = numbered_rows(docs)
+    classes = ngram_join.near_classes(rows, COPY_WORDS, COPY_PERCENT, row="_row")
+    gone = classes.filter(F.col("row") != F.col("first_row")).select(F.col("row").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -52,20 +58,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Each document is repeated as often as the mix takes it; documents it does not take go.
-
-    Rows that share a doc_id and source are repeated as the first of them is.
-    """
-    taken = (
-        mixing.mix(docs)
-        .groupBy(code_point_key("doc_id").alias("_id"), code_point_key("source").alias("_source"))
-        .agg(F.min("copies").alias("_copies"))
-        .filter("_copies > 0")
-    )
+    """Each document is repeated as often as the mix takes it; documents it does not take go."""
+    rows = numbered_rows(docs)
+    taken = mixing.mix(rows, row="_row").filter("copies > 0").select("_row", F.col("copies").cast("int").alias("_copies"))
     return (
-        docs.withColumns({"_id": code_point_key("doc_id"), "_source": code_point_key("source")})
-        .join(taken, ["_id", "_source"])
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        rows.join(taken, "_row")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(COLUMNS)
     )
 

@@ -150,16 +150,18 @@ def whole_copies(classes: DataFrame, rates: DataFrame, targets: DataFrame) -> Da
     return counts.select("key", "size", "n", "copies")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, row: str | None = None) -> DataFrame:
     """`doc_id, source, size, source_size, target, copies` of every document with `doc_id, source, text`.
 
     `size` is the number of words; a null text has none, and documents without words get no
     copies. A null source is a source of its own. Rows with equal doc_id are documents of their
     own, and a hash of the doc_id decides which documents of one source and size get one copy more
-    than others, so reruns agree. Without documents the result is empty.
+    than others, so reruns agree. Without documents the result is empty. `row` names a column that numbers the rows; it
+    comes too and orders those that repeat a doc_id.
     """
+    also = [row] if row else []
     sizes = landed(
-        documents.select("doc_id", "source", code_point_key("source").alias("key"), words(F.col("text")).alias("size")),
+        documents.select("doc_id", "source", code_point_key("source").alias("key"), words(F.col("text")).alias("size"), *also),
         "sizes",
     )
     counts = landed(sizes.groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n")), "classes")
@@ -185,19 +187,19 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
         .withColumn("own", F.col("share") - F.coalesce(F.lag("share").over(Window.partitionBy("key", "size").orderBy("bucket")), F.lit(0)))
         .select("key", "size", "bucket", "here", "own")
     )
-    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id", *also))
     # Dealt out by bucket explicitly: after the join Spark would keep all of a source and size in one task.
     each = (
-        dealt.select("doc_id", "source", "key", "size", "bucket")
+        dealt.select("doc_id", "source", "key", "size", "bucket", *also)
         .repartition("key", "size", "bucket")
         .withColumn("rank", rank)
         .join(shares, ["key", "size", "bucket"])
         .withColumn("copies", F.expr("(own * rank) div here - (own * (rank - 1)) div here"))
-        .select("doc_id", "source", "key", "size", F.col("copies").cast("long").alias("copies"))
+        .select("doc_id", "source", "key", "size", F.col("copies").cast("long").alias("copies"), *also)
     )
     wordless = sizes.filter("size = 0").withColumn("copies", F.lit(0).cast("long"))
     return (
         each.unionByName(wordless)
         .join(targets.select("key", "source_size", "target"), "key")
-        .select("doc_id", "source", "size", "source_size", "target", "copies")
+        .select("doc_id", "source", "size", "source_size", "target", "copies", *also)
     )

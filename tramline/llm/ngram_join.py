@@ -123,8 +123,11 @@ def _text_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
-def document_sets(documents: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
-    """Per row its set's size, digest, prefix in the global order and counts over slices of the hash space."""
+def document_sets(documents: DataFrame, order: Order, words: int, percent: int, row: str | None = None) -> DataFrame:
+    """Per row its set's size, digest, prefix in the global order and counts over slices of the hash space.
+
+    `row` numbers the rows: the column of that name, or a number given here.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(order)
 
     def sliced(values: np.ndarray) -> np.ndarray:
@@ -148,9 +151,18 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int)
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64()),
                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(slices, pa.list_(pa.int16())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in _SETS.split(", ")])
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+            names = [field.split()[0] for field in _SETS.split(", ")]
+            if row:
+                columns, names = [*columns, batch.column("row")], [*names, "row"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        *([F.col(row).cast("long").alias("row")] if row else []),
+    )
+    if row:
+        return landed(rows.mapInArrow(described, f"{_SETS}, row long"), "sets")
     return landed(rows.mapInArrow(described, _SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -281,19 +293,25 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
-def near_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_classes(
+    documents: DataFrame, words: int = WORDS, percent: int = PERCENT, row: str | None = None
+) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row with `doc_id` and `text`.
 
     A set is the distinct shingles of `words` words, A-Z in lower case; a text with fewer words is one
     shingle, and one without words (or null) is empty and linked with nothing. Sets are linked when their
     similarity is at least `percent` of 100. `component_id` is the smallest doc_id reachable by links;
     rows that repeat a doc_id are texts of their own, and null ids count only where there are no others.
+
+    With `row`, the name of a column that numbers the rows, `row` and `first_row` come too: of the rows that links
+    reach the one with the smallest doc_id, null last, and then the smallest number.
     """
     spark = documents.sparkSession
     order = frequent_shingles(documents, words)
-    rows = document_sets(documents, order, words, percent)
+    rows = document_sets(documents, order, words, percent, row)
+    head = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("head")] if row else []
     classes = landed(
-        rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")), "classes"
+        rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"), *head), "classes"
     )
     members = landed(
         rows.filter("n > 0").select("row", "doc_id", "n", "digest").join(classes, "digest"), "members"
@@ -319,9 +337,14 @@ def near_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCEN
         pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         labels = components(labels, _verified(documents, pairs, named, words, percent))
     joined = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
-    linked = joined.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    heads = [F.min("head").alias("class_head")] if row else []
+    smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"), *heads)
+    own_row = ["row", F.col("class_head.row").alias("first_row")] if row else []
+    linked = joined.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id", *own_row)
+    alone = ["row", F.col("row").alias("first_row")] if row else []
+    empty = rows.filter("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *alone
+    )
     return linked.unionByName(empty)
 
 
