@@ -126,6 +126,17 @@ def test_owners_tell_live_values_from_examples(spark):
     assert rows[3].text == f"text 3 uses {copied} here" and rows[30].text == "[EXAMPLE] end" and rows[31].text is None
 
 
+def test_copies_over_repositories_hide_no_secret(spark):
+    live, copied = "q7Rk2LmPz9XcVb4NtYw8", "Ab3dEf6hIj9kLm2nOp5q"
+    rows = [(i, f"mine {live} only", f"repo{i}") for i in range(12)]
+    rows += [(20 + i, f"text {i} uses {copied} here", f"repo{i % 4}") for i in range(8)]
+    got = {r.doc_id: r for r in secrets.span_report(corpus.documents(spark, rows)).collect()}
+    for i in range(12):
+        assert (got[i].spans, got[i].n_live, got[i].n_example, got[i].examples) == ("opaque:5:25", 1, 0, "")
+    for i in range(20, 28):
+        assert (got[i].spans, got[i].n_live, got[i].n_example, got[i].examples) == ("", 0, 1, "opaque:12:32")
+
+
 # --- licenses ---------------------------------------------------------------------------
 
 

@@ -2,9 +2,9 @@
 
 Patterns find candidates in every whole text. The hash of each candidate's value is counted
 over all documents: by distinct repositories and by distinct owners, where texts that are the
-same count as one owner. A value that many hold is a widely copied example; one that few hold looks
-live. Spans of the fixed patterns are always reported, opaque strings outside of them only if
-their value looks live.
+same count as one owner in one repository. A value that many hold is a widely copied example; one that few
+hold looks live. Spans of the fixed patterns are always reported, opaque strings outside of them apart if
+their value is an example.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def candidates(documents: DataFrame, repository: str = "source") -> DataFrame:
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Reported spans of `candidates()`: `row, doc_id, owner, kind, start, end, value_hash,
+    """All spans of `candidates()`: `row, doc_id, owner, kind, start, end, value_hash,
     repositories, owners, live`. Positions are code points, `end` is exclusive."""
     each = found.filter(F.size("hits") > 0).select(
         "row", "doc_id", "repository", "owner", F.posexplode("hits").alias("at", "h")
@@ -94,12 +94,20 @@ def spans(found: DataFrame) -> DataFrame:
         .select("row", "doc_id", "repository", "owner", "kind", "start", "end", "value_hash")
     )
     kept = landed(kept, "spans")
-    # Distinct counts in two steps: rows of one value are first merged by repository and owner.
-    held = kept.groupBy("value_hash").agg(
-        F.count_distinct("repository").alias("repositories"), F.count_distinct("owner").alias("owners")
+    # Counts in two steps: rows of one value and text are first merged. A text that several repositories hold counts
+    # for the first of them.
+    held = (
+        kept.groupBy("value_hash", "owner").agg(F.min("repository").alias("repository"))
+        .groupBy("value_hash")
+        .agg(F.count_distinct("repository").alias("repositories"), F.count(F.lit(1)).alias("owners"))
     )
     live = (F.col("owners") < EXAMPLE_OWNERS) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
-    return kept.join(held, "value_hash").withColumn("live", live).filter(~opaque | F.col("live")).drop("repository")
+    return kept.join(held, "value_hash").withColumn("live", live).drop("repository")
+
+
+def _reported(kind: Column, live: Column) -> Column:
+    """Base spans, and opaque ones that look live."""
+    return (kind < len(BASE)) | live
 
 
 def _joined(spans_column: Column) -> Column:
@@ -109,22 +117,29 @@ def _joined(spans_column: Column) -> Column:
 
 
 def span_report(documents: DataFrame) -> DataFrame:
-    """Per document its number of spans of each base kind, the digest of those, and all spans."""
+    """Per document its number of spans of each base kind, the digest of those, and the spans reported.
+
+    `n_live` and `n_example` count all spans by what their values look like; `examples` are the opaque spans
+    that `spans` leaves out as widely copied.
+    """
     found = candidates(documents)
     listed = spans(found).groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all")
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("all")
     )
     base = F.filter("all", lambda s: s["kind"] < len(BASE))
     count = lambda n: F.size(F.filter("all", lambda s: s["kind"] == n)).cast("long")
     return (
         found.select("row", "doc_id")
         .join(listed, "row", "left")
-        .withColumn("all", F.coalesce("all", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))
+        .withColumn("all", F.coalesce("all", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean>>")))
         .select(
             "doc_id",
             *[count(n).alias(f"n_{kind[0]}") for n, kind in enumerate(BASE)],
             F.sha2(_joined(base), 256).alias("base_sha256"),
-            _joined(F.col("all")).alias("spans"),
+            _joined(F.filter("all", lambda s: _reported(s["kind"], s["live"]))).alias("spans"),
+            F.size(F.filter("all", lambda s: s["live"])).cast("long").alias("n_live"),
+            F.size(F.filter("all", lambda s: ~s["live"])).cast("long").alias("n_example"),
+            _joined(F.filter("all", lambda s: ~_reported(s["kind"], s["live"]))).alias("examples"),
         )
     )
 
@@ -134,6 +149,7 @@ def masked(documents: DataFrame) -> DataFrame:
     by `[EXAMPLE]`. `n_chars` follows the text; all other columns and all rows stay."""
     listed = (
         spans(candidates(documents))
+        .filter(_reported(F.col("kind"), F.col("live")))
         .select("doc_id", "owner", F.struct("start", "end", "live").alias("span"))
         .distinct()
         .groupBy("doc_id", "owner")
