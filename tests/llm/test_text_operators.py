@@ -281,6 +281,14 @@ def test_edited_texts_and_the_next_document(spark, monkeypatch):
         assert row.near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
 
 
+def test_short_texts_share_fingerprints_with_their_edits():
+    rng = random.Random(14)
+    for length in range(48, 200, 4):
+        text, following = (corpus.words(rng, 60, 10**6)[:length] for _ in range(2))
+        changed = fingerprints.edited(text, following)
+        assert fingerprints.likeness(fingerprints.winnow(text), fingerprints.winnow(changed)) > 0
+
+
 # --- toxicity ---------------------------------------------------------------------------
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import in_slices, last_at_most, ship_package
 
-GRAM = 24
-WINDOW = 77
+GRAM = 8
+WINDOW = 16
 ROWS_PER_TASK = 4096
 # Ranges of doc_id never exceed this number; beyond it tasks grow instead.
 MOST_TASKS = 10_000
