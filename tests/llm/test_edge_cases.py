@@ -23,11 +23,12 @@ CONTRACT = {
     "op8_chat_formatting": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op9_document_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_exact_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op13_language_id": ["doc_id", "held_out", "lang_pred", "score"],
 }
 PER_DOCUMENT = [name for name in CONTRACT if name not in ("op5_best_fit_packing", "op8_chat_formatting", "op10_exact_top_k")]
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert sorted(QUERIES) == sorted(CONTRACT)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, fingerprints, licenses, mixing, ngram_join, packing, secrets, sharding, topk, toxicity
+from tramline.llm import chat, fingerprints, languages, licenses, mixing, ngram_join, packing, secrets, sharding, topk, toxicity
 from tramline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,13 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(vectors.filter("vec_id % 50 = 0"), vectors)
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return languages.fit(documents).predict(documents).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_exact_top_k": op10_exact_top_k,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE: dict[str, str] = {}
