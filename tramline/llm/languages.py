@@ -22,7 +22,7 @@ from tramline.llm.common import in_slices, ship_package
 from tramline.llm.toxicity import held_out
 
 # Of the rows that labels are learned from: the most languages, the most rows of all and of one language, and
-# the windows of each row that the network is trained on. Rows are those with the smallest hash.
+# the windows of each row that the network is trained on. Equal texts of a language are one row.
 LANGUAGES = 200
 TRAINED_ROWS = 12_000
 ROWS_OF_LANGUAGE = 2_000
@@ -42,6 +42,8 @@ RATE = 0.004
 SEED = 11
 UNDETERMINED = "und"
 
+# Hashes are cut down by their remainder of this.
+_PARTS = 1 << 30
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -165,39 +167,25 @@ class LanguageModel:
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language and its probability for whole texts; `und` and 0 for null and for texts without a letter."""
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        if self.network is None:
-            return names, scores
-        numbers = [n for n, text in enumerate(texts) if text and _LETTER.search(text)]
-        for n, summed in zip(numbers, self._summed(texts[n].encode() for n in numbers)):
-            summed = np.exp(_log_softmax(summed[None])[0])
-            names[n], scores[n] = self.languages[int(summed.argmax())], float(summed.max())
+        for n, text in enumerate(texts):
+            if self.network is not None and text and _LETTER.search(text):
+                names[n], scores[n] = self._language(text.encode())
         return names, scores
 
-    def _summed(self, texts: Iterator[bytes]) -> Iterator[np.ndarray]:
-        """Mean log probabilities of each text, from batches that join the windows of several texts."""
-        held, sizes, bytes_of = [], [], []
-
-        def flush() -> Iterator[np.ndarray]:
-            windows = np.concatenate(held)
-            scores = np.concatenate(
-                [self.network.scores(windows[at : at + WINDOWS_AT_ONCE]) for at in range(0, len(windows), WINDOWS_AT_ONCE)]
-            )
-            begins = np.cumsum([0, *sizes])
-            for first, last, length in zip(begins[:-1], begins[1:], bytes_of):
-                weights = np.full(last - first, float(WINDOW))
-                weights[-1] = length - (last - first - 1) * STEP
-                yield (scores[first:last] * (weights / weights.sum())[:, None]).sum(axis=0)
-
-        for text in texts:
-            windows = windows_of(text)
-            held.append(windows)
-            sizes.append(len(windows))
-            bytes_of.append(len(text))
-            if sum(sizes) >= WINDOWS_AT_ONCE:
-                yield from flush()
-                held, sizes, bytes_of = [], [], []
-        if held:
-            yield from flush()
+    def _language(self, text: bytes) -> tuple[str, float]:
+        # Text by text, so that a result does not depend on what else is in a batch.
+        windows = windows_of(text)
+        summed = np.zeros(len(self.languages))
+        for at in range(0, len(windows), WINDOWS_AT_ONCE):
+            scores = self.network.scores(windows[at : at + WINDOWS_AT_ONCE])
+            weights = np.full(len(scores), float(WINDOW))
+            if at + len(scores) == len(windows):
+                weights[-1] = len(text) - (len(windows) - 1) * STEP
+            summed += weights @ scores
+        mean = summed / (len(text) + (len(windows) - 1) * (WINDOW - STEP))
+        probabilities = np.exp(_log_softmax(mean[None])[0])
+        best = int(probabilities.argmax())
+        return self.languages[best], min(1.0, float(probabilities[best]))
 
     def predict(self, documents: DataFrame) -> DataFrame:
         """`doc_id, lang_pred, score` for every row; only the text matters."""
@@ -222,41 +210,57 @@ def fit(
 ) -> LanguageModel:
     """Learns from `text` and `lang` of rows that are not held out and have a doc_id, a lang and a letter in the text.
 
-    The `languages` most frequent values of lang are learned, from at most `rows_of_language` rows each and `rows`
-    in all, those with the smallest hash. With one value, or none, there is nothing to tell apart: one value is
+    The `languages` most frequent values of lang are learned, from at most `rows_of_language` texts each and `rows`
+    in all, chosen by hash. With one value, or none, there is nothing to tell apart: one value is
     always given, and without any every text is undetermined.
     """
-    ship_package(documents.sparkSession)
-    known = documents.select("doc_id", "lang", "text").filter(
+    spark = documents.sparkSession
+    ship_package(spark)
+    known = documents.select("lang", "text", F.xxhash64("text").alias("hash")).filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))
     )
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    names.sort()
+    # Chosen by hashes alone, so that texts are only read again; texts that are equal count once.
+    hashes = known.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("rows"))
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(languages).collect()
+    names = sorted(r["lang"] for r in sizes)
     if not names:
         return LanguageModel([], None)
     each = max(1, min(rows_of_language, rows // len(names)))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
+    # Of a language's texts about twice as many as needed are put in order.
+    limits = spark.createDataFrame(
+        [(r["lang"], min(_PARTS, -(-2 * each * _PARTS // r["texts"]) + 1)) for r in sizes], "lang string, limit long"
+    )
+    by_hash = Window.partitionBy("lang").orderBy("hash")
+    chosen = (
+        hashes.join(F.broadcast(limits), "lang")
+        .filter(F.pmod("hash", F.lit(_PARTS)) < F.col("limit"))
+        .withColumn("rank", F.row_number().over(by_hash))
+        .filter(F.col("rank") <= each)
+        .select("lang", "hash")
+    )
     numbers = {name: n for n, name in enumerate(names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A few windows of each text, spread over it."""
         for batch in in_slices(batches):
-            windows, classes = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            rows = []
+            for lang, key, text in zip(*(batch.column(name).to_pylist() for name in ("lang", "hash", "text"))):
                 of_text = windows_of(text.encode())
-                for n in np.unique(np.linspace(0, len(of_text) - 1, WINDOWS_OF_ROW).astype(int)):
-                    windows.append(of_text[n].tobytes())
-                    classes.append(numbers[lang])
-            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), pa.array(classes, pa.int32())], ["bytes", "class"])
+                for n in np.unique(np.linspace(0, len(of_text) - 1, WINDOWS_OF_ROW).astype(int)).tolist():
+                    rows.append((key, n, numbers[lang], of_text[n].tobytes()))
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+                ["hash", "number", "class", "bytes"],
+            )
 
+    windows = known.join(F.broadcast(chosen), ["lang", "hash"]).select("lang", "hash", "text").mapInArrow(
+        cut, "hash long, number int, class int, bytes binary"
+    )
     sample = (
-        known.filter(F.col("lang").isin(names))
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .filter(F.col("_rank") <= each)
-        .select("lang", "text")
-        .mapInArrow(cut, "bytes binary, class int")
-        .toArrow()
-        .sort_by([("class", "ascending"), ("bytes", "ascending")])
+        windows.groupBy("class", "hash", "number").agg(F.min("bytes").alias("bytes")).toArrow()
+        .sort_by([("class", "ascending"), ("hash", "ascending"), ("number", "ascending")])
     )
     windows = np.frombuffer(b"".join(sample.column("bytes").to_pylist()), np.uint8).reshape(-1, WINDOW)
     return LanguageModel(names, train(windows, sample.column("class").to_numpy(), len(names)))
