@@ -23,9 +23,11 @@ CONTRACT = {
     "op8_chat_formatting": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op9_document_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_exact_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_phrase_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
     "op13_language_id": ["doc_id", "held_out", "lang_pred", "score"],
 }
-PER_DOCUMENT = [name for name in CONTRACT if name not in ("op5_best_fit_packing", "op8_chat_formatting", "op10_exact_top_k")]
+PER_DOCUMENT = [name for name in CONTRACT if name not in ("op5_best_fit_packing", "op8_chat_formatting", "op10_exact_top_k", "op12_phrase_collocations")]
 
 
 def test_all_are_registered():

@@ -8,11 +8,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
 import corpus  # noqa: E402
+from checks.compare import differences, duckdb_tables  # noqa: E402
 from tramline.llm import mixing, ngram_join, sharding, topk  # noqa: E402
+from tramline.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 
 # --- mixing -----------------------------------------------------------------------------
@@ -168,11 +171,48 @@ def test_best_scores_equal_those_of_all_pairs(spark, monkeypatch, scale):
     frame = spark.createDataFrame(rows, corpus.EMBEDDINGS)
     monkeypatch.setattr(topk, "QUERIES_PER_CELL", 3)
     monkeypatch.setattr(topk, "CANDIDATES_PER_CELL", 64)
-    held = topk.whole_vectors(frame)
-    got = sorted(tuple(r) for r in topk.search(held.filter("vec_id % 50 = 0"), held).collect())
+    got = sorted(tuple(r) for r in topk.search(topk.whole_vectors(frame), F.col("vec_id") % 50 == 0).collect())
     whole = np.floor(256 * vectors.astype(np.float64)).astype(np.int64).tolist()
     want = []
     for q in range(0, 400, 50):
         scores = sorted((-sum(a * b for a, b in zip(whole[q], c)), i) for i, c in enumerate(whole) if i != q)[:5]
         want += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
     assert got == sorted(want)
+
+
+def plain_best(rows, k=5):
+    """Every row but the query's own, by row number."""
+    whole = [(n, i, [int(np.floor(256 * float(x))) for x in v]) for n, (i, v) in enumerate(rows)]
+    out = []
+    for n, query_id, query in whole:
+        if query_id is not None and query_id % 50 == 0:
+            scores = [(-sum(a * b for a, b in zip(query, c)), i is None, i or 0) for m, i, c in whole if m != n]
+            out += [(query_id, at, None if none else i, -s) for at, (s, none, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def test_rows_that_share_an_id_are_queries_and_candidates_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES_PER_CELL", 16)
+    monkeypatch.setattr(topk, "CANDIDATES_PER_CELL", 64)
+    rng = np.random.default_rng(6)
+    # A third of all rows under one id, which is a query; ids and vectors that repeat; null ids.
+    ids = [50] * 150 + [int(i) for i in rng.integers(0, 120, 300)] + [None, None]
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 4) / 8]) for i in ids]
+    rows += [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, -1.0])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], corpus.EMBEDDINGS)
+    got = topk.search(topk.whole_vectors(frame), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, got.collect()), key=repr) == plain_best(rows)
+    few = spark.createDataFrame([(i, v, 0) for i, v in rows[-4:]], corpus.EMBEDDINGS)
+    assert len(topk.search(topk.whole_vectors(few), F.col("vec_id") % 50 == 0).collect()) == 6
+
+
+def test_cells_are_even_under_one_id(spark):
+    frame = spark.range(90_000).selectExpr("if(id < 30000, 50, id) as vec_id", "array(1L) as components")
+    rows = frame.select(F.monotonically_increasing_id().alias("row"))
+    counts = [r["count"] for r in rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(6))).count().collect()]
+    assert len(counts) == 6 and max(counts) < 1.1 * min(counts)
+
+
+def test_search_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    assert differences(QUERIES["op10_exact_top_k"](spark, folder), duckdb_tables(folder), ORACLE["op10_exact_top_k"]) is None

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Most rows of one key that a numbering window sees at once.
 ROWS_PER_WINDOW = 4096
 
+# A filter is gathered in pieces of so many bits.
+_FILTER_CHUNK = 1 << 15
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -55,6 +59,30 @@ def landed(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each long of the only column: `bits` in all, packed, however many keys there are."""
+    (name,) = keys.columns
+    bit = F.pmod(name, F.lit(bits))
+    places = keys.select((bit / _FILTER_CHUNK).cast("int").alias("chunk"), F.pmod(bit, F.lit(_FILTER_CHUNK)).cast("int").alias("bit"))
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        flags = np.zeros(_FILTER_CHUNK, np.uint8)
+        flags[table.column("bit").to_numpy()] = 1
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+    out = np.zeros(bits // 8, np.uint8)
+    size = _FILTER_CHUNK // 8
+    for row in places.distinct().groupBy("chunk").applyInArrow(packed, "chunk int, flags binary").collect():
+        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["flags"], np.uint8)
+    return out
+
+
+def in_filter(flags: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the int64 keys may be in a filter made by `bit_filter`."""
+    bit = np.mod(keys, np.int64(len(flags) * 8))
+    return (flags[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
+
+
 def code_point_key(column: str) -> Column:
     """A join key that never is null: nulls equal each other and differ from any string."""
     value = F.col(column).cast("string")
