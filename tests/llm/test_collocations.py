@@ -98,23 +98,31 @@ def test_products_beyond_64_bits_and_floored_ties(spark, monkeypatch):
 
 def test_transducers_against_dictionaries():
     rng = random.Random(2)
-    dictionaries, parts = [], []
-    for _ in range(4):
-        counted = Counter((rng.choice(["x", "y"]), " ".join(rng.choices("abcd", k=rng.randrange(1, 4)))) for _ in range(80))
-        dictionaries.append(counted)
-        parts.append(c.CountTransducer.of_phrases([k[0] for k in counted], [k[1] for k in counted], np.array(list(counted.values())), 3))
+    lang_of = dict(zip(c._hash_of(["x", "y", "z"]).tolist(), "xyz"))
+
+    def entries(t, weights=None):
+        paths = t.paths().tolist()
+        weights = t.weights if weights is None else weights
+        return {(lang_of[p[0]], tuple(w for w in p[1:] if w)): n for p, n in zip(paths, weights.tolist())}
+
+    def transducer(counted):
+        return c.CountTransducer.of_phrases([k[0] for k in counted], [k[1] for k in counted], np.array(list(counted.values())), 3)
+
+    # Labels as far apart as hashes are.
+    words = [-(1 << 63), -5, 7, (1 << 63) - 1]
+    dictionaries = [Counter((rng.choice("xy"), tuple(rng.choices(words, k=rng.randrange(1, 4)))) for _ in range(80)) for _ in range(4)]
+    parts = [transducer(counted) for counted in dictionaries]
     for part, counted in zip(parts, dictionaries):
-        assert dict(zip(zip(*part.phrases()), part.weights.tolist())) == counted
+        assert entries(part) == counted
         # States are shared by prefixes.
-        assert len(part.labels[1]) == len({(lang, phrase.split()[0]) for lang, phrase in counted})
+        assert len(part.labels[1]) == len({(lang, phrase[0]) for lang, phrase in counted})
     whole, summed = c.CountTransducer.union(parts), sum(dictionaries, Counter())
-    assert dict(zip(zip(*whole.phrases()), whole.weights.tolist())) == summed
-    often = whole.at_least(5)
-    assert dict(zip(zip(*often.phrases()), often.weights.tolist())) == {k: n for k, n in summed.items() if n >= 5}
-    asked = [("x", "a b"), ("y", "d d d"), ("z", "a"), ("x", "q"), ("x", "a"), ("y", "a q b")]
-    ask = c.CountTransducer.of_phrases([a[0] for a in asked], [a[1] for a in asked], np.ones(len(asked), np.int64), 3)
-    found = dict(zip(zip(*ask.phrases()), whole.compose(ask).tolist()))
-    assert found == {key: summed.get(key, 0) for key in asked}
+    assert entries(whole) == summed
+    assert entries(whole.at_least(5)) == {k: n for k, n in summed.items() if n >= 5}
+    asked = [("x", (-5, 7)), ("y", (7, 7, 7)), ("z", (7,)), ("x", (9,)), ("x", (7,)), ("y", (7, 9, 7)), ("y", (words[0], words[3]))]
+    ask = transducer(dict.fromkeys(asked, 1))
+    assert entries(ask, whole.compose(ask)) == {key: summed.get(key, 0) for key in asked}
+    assert not transducer({("x", (1,)): 1}).at_least(2).compose(ask).any()
 
 
 def test_query_equals_its_sql(spark):

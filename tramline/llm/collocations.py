@@ -8,23 +8,23 @@ are united, their weights summed, whichever shard they come from. The counts are
 Phrases grow word by word: an n-gram is counted only if its first and last n - 1 words were both found frequent, which a
 filter of fixed size tells (a full filter costs time, not results). So rare n-grams are not shuffled. In
 the end the transducer of the parts of all candidates is composed with that of all frequent phrases, range by range,
-which looks up how often the parts occur.
+which looks up how often the parts occur. Labels are 64-bit hashes of words; only the phrases that are kept are spelled out.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.llm.common import bit_filter, in_filter, in_slices, landed, ship_package
-from tramline.llm.shingles import mixed
+from tramline.llm.shingles import mixed, raw_word_hashes
 
 FEWEST = 100
 LONGEST = 5
@@ -33,8 +33,8 @@ UNKNOWN = "und"
 
 # Words counted together in memory, words whose n-grams share a range on average, and phrases looked up together.
 WORDS_AT_ONCE = 1 << 21
-WORDS_OF_RANGE = 1 << 20
-PHRASES_OF_RANGE = 1 << 16
+WORDS_OF_RANGE = 1 << 21
+PHRASES_OF_RANGE = 1 << 17
 # A range holds phrases by a hash of this many first words.
 PREFIX = 3
 FILTER_BITS = 1 << 26
@@ -45,36 +45,38 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 # A byte that UTF-8 never holds marks the end of a piece.
 _MARK = b"\xff"
 _SPLIT = bytes.maketrans(bytes(range(65, 91)) + _ENDS, bytes(range(97, 123)) + _MARK * len(_ENDS))
+_END = 0
 
-_TRANSDUCER = "range int, langs array<string>, words array<string>, labels array<array<int>>, parents array<array<int>>, weights array<long>"
-_PHRASE = "lang string, phrase string, size int, n long, hash long"
+_TRANSDUCER = "range int, langs array<string>, names array<string>, labels array<array<long>>, parents array<array<int>>, weights array<long>"
+_PHRASE = "lang string, words array<long>, size int, n long, hash long, name string"
+
+
+def _hash_of(names: list[str]) -> np.ndarray:
+    """64-bit hashes that stand for words and languages as labels."""
+    return np.array([xxhash.xxh3_64_intdigest(name.encode()) for name in names], np.uint64).view(np.int64)
 
 
 @dataclass
 class CountTransducer:
     """Arcs by depth. State `s` of depth d is entered from state `parents[d][s]` by `labels[d][s]`, a language at depth 0
     and a word below; states are in the order of what they have read. The last arcs lead to the one final
-    state and put out `weights`. Label 0 below depth 0 ends a phrase shorter than the transducer is deep; words begin at 1.
+    state and put out `weights`. Label 0 ends a phrase shorter than the transducer is deep.
     """
 
-    langs: list[str]
-    words: list[str]
     labels: list[np.ndarray]
     parents: list[np.ndarray]
     weights: np.ndarray
 
     @classmethod
-    def of(cls, langs: list[str], words: list[str], paths: np.ndarray, weights: np.ndarray) -> CountTransducer:
-        """From paths (rows of labels) in any order, with repeats; `langs` and `words` are sorted. Weights of one path are summed."""
+    def of(cls, paths: np.ndarray, weights: np.ndarray) -> CountTransducer:
+        """From paths (rows of labels) in any order, with repeats, whose weights are summed."""
         order = np.lexsort(paths.T[::-1])
         paths, weights = paths[order], weights[order]
-        fresh = np.append(True, (paths[1:] != paths[:-1]).any(axis=1))[: len(paths)]
-        starts = np.flatnonzero(fresh)
-        summed = np.add.reduceat(weights, starts) if len(starts) else weights
-        return cls.of_sorted(langs, words, paths[starts], summed)
+        starts = np.flatnonzero(np.append(True, (paths[1:] != paths[:-1]).any(axis=1))[: len(paths)])
+        return cls.of_sorted(paths[starts], np.add.reduceat(weights, starts) if len(starts) else weights)
 
     @classmethod
-    def of_sorted(cls, langs: list[str], words: list[str], paths: np.ndarray, weights: np.ndarray) -> CountTransducer:
+    def of_sorted(cls, paths: np.ndarray, weights: np.ndarray) -> CountTransducer:
         """From sorted different paths: each adds states behind the prefix it shares with the one before."""
         labels, parents = [], []
         adds = np.zeros(len(paths), bool)
@@ -82,10 +84,10 @@ class CountTransducer:
         above = np.zeros(len(paths), np.int64)
         for depth in range(paths.shape[1]):
             adds[1:] |= paths[1:, depth] != paths[:-1, depth]
-            labels.append(paths[adds, depth].astype(np.int32))
+            labels.append(paths[adds, depth])
             parents.append(above[adds].astype(np.int32))
             above = np.cumsum(adds) - 1
-        return cls(langs, words, labels, parents, weights)
+        return cls(labels, parents, weights)
 
     def paths(self) -> np.ndarray:
         """All paths, a row each, in order."""
@@ -99,219 +101,195 @@ class CountTransducer:
     @classmethod
     def union(cls, parts: list[CountTransducer]) -> CountTransducer:
         """All paths of transducers of one depth; weights of equal paths are summed."""
-        langs = sorted({lang for part in parts for lang in part.langs})
-        words = sorted({word for part in parts for word in part.words})
-        lang_at, word_at = {lang: n for n, lang in enumerate(langs)}, {word: n for n, word in enumerate(words, 1)}
-        rows = []
-        for part in parts:
-            paths = part.paths()
-            paths[:, 0] = np.array([lang_at[lang] for lang in part.langs], np.int64)[paths[:, 0]]
-            paths[:, 1:] = np.array([0, *(word_at[word] for word in part.words)], np.int64)[paths[:, 1:]]
-            rows.append(paths)
-        return cls.of(langs, words, np.concatenate(rows), np.concatenate([part.weights for part in parts]))
+        return cls.of(np.concatenate([part.paths() for part in parts]), np.concatenate([part.weights for part in parts]))
 
     def at_least(self, fewest: int) -> CountTransducer:
         often = self.weights >= fewest
-        return self.of_sorted(self.langs, self.words, self.paths()[often], self.weights[often])
+        return self.of_sorted(self.paths()[often], self.weights[often])
 
     def compose(self, asked: CountTransducer) -> np.ndarray:
         """The weight this one puts out for each path of `asked`, 0 for paths it does not read. Both are as deep."""
-        lang_at, word_at = {lang: n for n, lang in enumerate(self.langs)}, {word: n for n, word in enumerate(self.words, 1)}
-        lang_of = np.array([lang_at.get(lang, -1) for lang in asked.langs], np.int64)
-        word_of = np.array([0, *(word_at.get(word, -1) for word in asked.words)], np.int64)
+        if not len(self.weights):
+            return np.zeros(len(asked.weights), np.int64)
         # The states of this one that the states of `asked` are paired with, depth by depth; -1 for none.
         paired = np.zeros(1, np.int64)
-        for depth, (labels, parents) in enumerate(zip(self.labels, self.parents)):
-            wide = len(self.words) + len(self.langs) + 1
-            own = parents.astype(np.int64) * wide + labels
-            label = (word_of if depth else lang_of)[asked.labels[depth]]
-            above = paired[asked.parents[depth]]
-            wanted = above * wide + label
-            at = np.minimum(np.searchsorted(own, wanted), max(0, len(own) - 1))
-            known = (label >= 0) & (above >= 0) & (own[at] == wanted if len(own) else False)
-            paired = np.where(known, at, -1)
-        return np.where(paired >= 0, self.weights[np.maximum(paired, 0)], 0) if len(self.weights) else np.zeros(len(paired), np.int64)
-
-    def phrases(self) -> tuple[list[str], list[str]]:
-        """The language and the words, joined by blanks, of all paths."""
-        words = ["", *self.words]
-        paths = self.paths()
-        texts = [" ".join(words[label] for label in path if label) for path in paths[:, 1:].tolist()]
-        return [self.langs[n] for n in paths[:, 0].tolist()], texts
+        for labels, parents, wanted, above in zip(self.labels, self.parents, asked.labels, asked.parents):
+            kinds = np.unique(labels)
+            of = lambda some: np.minimum(np.searchsorted(kinds, some), len(kinds) - 1)
+            own = parents.astype(np.int64) * len(kinds) + of(labels)
+            from_state = paired[above]
+            key = from_state * len(kinds) + of(wanted)
+            at = np.minimum(np.searchsorted(own, key), len(own) - 1)
+            paired = np.where((from_state >= 0) & (kinds[of(wanted)] == wanted) & (own[at] == key), at, -1)
+        return np.where(paired >= 0, self.weights[np.maximum(paired, 0)], 0)
 
     @classmethod
-    def of_phrases(cls, langs: list[str], phrases: list[str], weights: np.ndarray, depth: int) -> CountTransducer:
-        split = [phrase.split(" ") for phrase in phrases]
-        all_langs, all_words = sorted(set(langs)), sorted({word for words in split for word in words})
-        lang_at, word_at = {lang: n for n, lang in enumerate(all_langs)}, {word: n for n, word in enumerate(all_words, 1)}
-        paths = np.zeros((len(split), depth + 1), np.int64)
-        for row, lang, words in zip(paths, langs, split):
-            row[0] = lang_at[lang]
-            row[1 : len(words) + 1] = [word_at[word] for word in words]
-        return cls.of(all_langs, all_words, paths, weights)
-
-
-def _hash_of(value: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(value)
-
-
-def _hashes(langs: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """Of phrases, from the hashes of their languages and of their words, column by column; int64."""
-    out = langs
-    for column in words:
-        out = mixed(out * _STEP + column)
+    def of_phrases(cls, langs: list[str], phrases: list[list[int]], weights: np.ndarray, depth: int) -> CountTransducer:
+        paths = np.full((len(phrases), depth + 1), _END, np.int64)
+        paths[:, 0] = _hash_of(langs)
+        for row, words in zip(paths, phrases):
+            row[1 : len(words) + 1] = words
+        return cls.of(paths, weights)
+
+
+def _phrase_hashes(paths: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes of paths given column by column."""
+    out = paths[0].view(np.uint64)
+    for column in paths[1:]:
+        out = mixed(out * _STEP + column.view(np.uint64))
     return out.view(np.int64)
 
 
+_MARK_HASH = raw_word_hashes([_MARK])[0].view(np.int64)[0]
+
+
 class _Shard:
-    """Words of some texts as numbers, with the ends of pieces between them."""
-
-    def __init__(self) -> None:
-        self.known: defaultdict[bytes, int] = defaultdict()
-        self.known.default_factory = self.known.__len__
-        self.known[_MARK]
-        self.langs: defaultdict[str, int] = defaultdict()
-        self.langs.default_factory = self.langs.__len__
-        self.numbers: list[np.ndarray] = []
-        self.lang_of: list[tuple[int, int]] = []
+    """The words of some texts, as hashes, with the ends of pieces between them."""
+
+    def __init__(self, named: bool) -> None:
+        self.words: list[np.ndarray] = []
+        self.langs: list[np.ndarray] = []
+        self.lang_names: dict[str, int] = {}
+        self.names: set[bytes] | None = set() if named else None
         self.held = 0
 
-    def add(self, lang: str, text: bytes) -> None:
-        words = (text.translate(_SPLIT) + _MARK).replace(_MARK, b" \xff ").split()
-        known = self.known
-        self.numbers.append(np.fromiter((known[word] for word in words), np.int64, len(words)))
-        self.lang_of.append((self.langs[lang], len(words)))
-        self.held += len(words)
-
-    def grams(self, size: int, frequent: np.ndarray | None, ranges: int) -> Iterator[tuple[int, CountTransducer]]:
-        """Per range of prefixes the n-grams of `size` words whose parts may be frequent."""
-        numbers = np.concatenate(self.numbers)
-        lang = np.repeat(*map(np.array, zip(*self.lang_of)))
-        word_hashes = np.fromiter((_hash_of(word) for word in self.known), np.uint64, len(self.known))
-        lang_names = sorted(self.langs)
-        lang_hashes = np.array([_hash_of(name.encode()) for name in lang_names], np.uint64)
-        lang_rank = {name: n for n, name in enumerate(lang_names)}
-        lang = np.array([lang_rank[name] for name in self.langs], np.int64)[lang]
+    def add(self, langs: list[str], texts: list[bytes]) -> None:
+        raw = [(text.translate(_SPLIT) + _MARK).replace(_MARK, b" \xff ") for text in texts]
+        hashes, begins = raw_word_hashes(raw)
+        for lang in set(langs) - self.lang_names.keys():
+            self.lang_names[lang] = int(_hash_of([lang])[0])
+        of_text = np.array([self.lang_names[lang] for lang in langs], np.int64)
+        self.words.append(hashes.view(np.int64))
+        self.langs.append(np.repeat(of_text, np.diff(begins)))
+        if self.names is not None:
+            for text in raw:
+                self.names.update(text.split())
+        self.held += len(hashes)
+
+    def grams(self, size: int, frequent: np.ndarray | None, ranges: int) -> Iterator[dict]:
+        """A row per range of prefixes: the n-grams of `size` words whose parts may be frequent."""
+        words, langs = np.concatenate(self.words), np.concatenate(self.langs)
         # Where size words follow before the piece ends.
-        ends = np.flatnonzero(numbers == 0)
-        left = ends[np.searchsorted(ends, np.arange(len(numbers)))] - np.arange(len(numbers))
+        ends = np.flatnonzero(words == _MARK_HASH)
+        left = ends[np.searchsorted(ends, np.arange(len(words)))] - np.arange(len(words))
         at = np.flatnonzero(left >= size)
-        of = lambda n, i: word_hashes[numbers[i + n]]
         if size > 1:
             for first in (0, 1):
-                keys = _hashes(lang_hashes[lang[at]], [of(first + n, at) for n in range(size - 1)])
-                at = at[in_filter(frequent, keys)]
+                at = at[in_filter(frequent, _phrase_hashes([langs[at], *(words[at + first + n] for n in range(size - 1))]))]
         if not len(at):
             return
-        used = np.unique(np.concatenate([numbers[at + n] for n in range(size)]))
-        names = list(self.known)
-        by_name = sorted(used.tolist(), key=names.__getitem__)
-        rank = np.zeros(len(names), np.int64)
-        rank[by_name] = np.arange(1, len(by_name) + 1)
-        key = lang[at]
-        for n in range(size):
-            if n:
-                key = np.unique(key, return_inverse=True)[1]
-            key = key * (len(by_name) + 1) + rank[numbers[at + n]]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        at = at[first]
-        paths = np.stack([lang[at], *(rank[numbers[at + n]] for n in range(size))], axis=1)
-        prefixes = _hashes(lang_hashes[lang[at]], [of(n, at) for n in range(min(size, PREFIX))])
-        range_of = np.mod(prefixes, np.int64(ranges))
-        words = [names[n].decode() for n in by_name]
+        paths = np.stack([langs[at], *(words[at + n] for n in range(size))], axis=1)
+        range_of = np.mod(_phrase_hashes([paths[:, n] for n in range(min(size, PREFIX) + 1)]), np.int64(ranges))
         order = np.argsort(range_of, kind="stable")
-        cuts = np.flatnonzero(np.diff(range_of[order])) + 1
-        for part in np.split(order, cuts):
-            kept = np.unique(paths[part, 1:])
-            narrow = paths[part]
-            narrow[:, 1:] = np.searchsorted(kept, narrow[:, 1:]) + 1
-            own = [words[n - 1] for n in kept.tolist()]
-            yield int(range_of[part[0]]), CountTransducer.of_sorted(lang_names, own, narrow, counts[part])
-
-
-def _as_row(number: int, t: CountTransducer) -> dict:
-    return {"range": number, "langs": t.langs, "words": t.words, "labels": t.labels, "parents": t.parents, "weights": t.weights}
+        names = None
+        if self.names is not None:
+            names = sorted(self.names - {_MARK})
+            hashes = raw_word_hashes(names)[0].view(np.int64) if names else np.zeros(0, np.int64)
+            by_hash = np.argsort(hashes)
+            names, hashes = [names[n].decode() for n in by_hash.tolist()], hashes[by_hash]
+        for part in np.split(order, np.flatnonzero(np.diff(range_of[order])) + 1):
+            transducer = CountTransducer.of(paths[part], np.ones(len(part), np.int64))
+            own = [names[n] for n in np.searchsorted(hashes, np.unique(transducer.labels[1])).tolist()] if names is not None else None
+            yield {
+                "range": int(range_of[part[0]]), "langs": list(self.lang_names), "names": own,
+                "labels": transducer.labels, "parents": transducer.parents, "weights": transducer.weights,
+            }
 
 
 _ARROW = pa.schema([
-    ("range", pa.int32()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())),
-    ("labels", pa.list_(pa.list_(pa.int32()))), ("parents", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.int64())),
+    ("range", pa.int32()), ("langs", pa.list_(pa.string())), ("names", pa.list_(pa.string())),
+    ("labels", pa.list_(pa.list_(pa.int64()))), ("parents", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.int64())),
 ])
 
 
 def shard_transducers(texts: DataFrame, size: int, frequent: np.ndarray | None, ranges: int) -> DataFrame:
-    """The n-grams of `size` words of `texts` (`lang, text`), one transducer for each shard and range of prefixes."""
+    """The n-grams of `size` words of `texts` (`lang, text`), one transducer for each shard and range of prefixes.
+
+    Labels are hashes; single words have their names beside them, in the order of the hashes.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(shard: _Shard) -> Iterator[pa.RecordBatch]:
-            for number, transducer in shard.grams(size, shared.value, ranges):
-                yield pa.RecordBatch.from_pylist([_as_row(number, transducer)], _ARROW)
-
-        shard = _Shard()
-        for batch in in_slices(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                shard.add(lang, text)
-                if shard.held >= WORDS_AT_ONCE:
-                    yield from flush(shard)
-                    shard = _Shard()
+            for row in shard.grams(size, shared.value, ranges):
+                yield pa.RecordBatch.from_pylist([row], _ARROW)
+
+        shard = _Shard(named=size == 1)
+        for batch in in_slices(batches, 128):
+            shard.add(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
+            if shard.held >= WORDS_AT_ONCE:
+                yield from flush(shard)
+                shard = _Shard(named=size == 1)
         if shard.held:
             yield from flush(shard)
 
     return texts.mapInArrow(counted, _TRANSDUCER)
 
 
+def _transducers(pieces: pa.Table) -> list[CountTransducer]:
+    inner = lambda lists: [part.values.to_numpy(zero_copy_only=False) for part in lists.values]
+    columns = [pieces.column(name) for name in ("labels", "parents", "weights")]
+    return [
+        CountTransducer(inner(labels), inner(parents), weights.values.to_numpy(zero_copy_only=False))
+        for labels, parents, weights in zip(*columns)
+    ]
+
+
 def frequent_phrases(shards: DataFrame, fewest: int) -> DataFrame:
-    """`lang, phrase, size, n, hash` of the phrases that occur at least `fewest` times in all shards. A row with a null phrase has
-    the sum over all phrases of a language and range."""
+    """`lang, words, size, n, hash, name` of the phrases that occur at least `fewest` times in all shards; words are hashes,
+    and single words have their name. A row with null words has the sum over all phrases of a language and range."""
 
     def united(_: tuple, pieces: pa.Table) -> pa.Table:
-        parts = [
-            CountTransducer(
-                row["langs"], row["words"], [np.array(x, np.int32) for x in row["labels"]],
-                [np.array(x, np.int32) for x in row["parents"]], np.array(row["weights"], np.int64),
-            )
-            for row in pieces.to_pylist()
-        ]
+        lang_names = sorted({lang for langs in pieces.column("langs").to_pylist() for lang in langs})
+        lang_of = dict(zip(_hash_of(lang_names).tolist(), lang_names))
+        parts = _transducers(pieces)
         whole = CountTransducer.union(parts)
-        totals = np.bincount(whole.paths()[:, 0], whole.weights, len(whole.langs)).astype(np.int64)
-        often = whole.at_least(fewest)
-        langs, phrases = often.phrases()
         size = len(whole.labels) - 1
-        lang_hashes = np.array([_hash_of(lang.encode()) for lang in langs], np.uint64)
-        columns = list(zip(*([_hash_of(word.encode()) for word in phrase.split(" ")] for phrase in phrases)))
-        hashes = _hashes(lang_hashes, [np.array(c, np.uint64) for c in columns])
+        paths = whole.paths()
+        langs, lang_at = np.unique(paths[:, 0], return_inverse=True)
+        totals = np.bincount(lang_at, whole.weights, len(langs)).astype(np.int64)
+        often = whole.at_least(fewest)
+        paths = often.paths()
+        name_of: dict[int, str] = {}
+        if size == 1:
+            wanted = pa.array(np.unique(paths[:, 1]))
+            for part, names in zip(parts, pieces.column("names")):
+                known = pa.table({"hash": np.unique(part.labels[1]), "name": names.values})
+                known = known.filter(pc.is_in(known.column("hash"), wanted))
+                name_of.update(zip(known.column("hash").to_pylist(), known.column("name").to_pylist()))
+        none = [None] * len(totals)
         return pa.table({
-            "lang": pa.array([*langs, *whole.langs], pa.string()), "phrase": pa.array([*phrases, *[None] * len(totals)], pa.string()),
-            "size": pa.array([size] * (len(langs) + len(totals)), pa.int32()),
+            "lang": pa.array([lang_of[n] for n in [*paths[:, 0].tolist(), *langs.tolist()]], pa.string()),
+            "words": pa.array([*paths[:, 1:].tolist(), *none], pa.list_(pa.int64())),
+            "size": pa.array([size] * (len(paths) + len(totals)), pa.int32()),
             "n": pa.array([*often.weights.tolist(), *totals.tolist()], pa.int64()),
-            "hash": pa.array([*hashes.tolist(), *[None] * len(totals)], pa.int64()),
+            "hash": pa.array([*_phrase_hashes([np.ascontiguousarray(c) for c in paths.T]).tolist(), *none], pa.int64()),
+            "name": pa.array([*(name_of.get(n) for n in paths[:, 1].tolist()), *none], pa.string()),
         })
 
     return shards.groupBy("range").applyInArrow(united, _PHRASE)
 
 
 def _prefix_range(ranges: int) -> Column:
-    return F.pmod(F.xxhash64("lang", F.slice(F.split("phrase", " "), 1, PREFIX)), F.lit(ranges)).cast("int").alias("range")
+    return F.pmod(F.xxhash64("lang", F.slice("words", 1, PREFIX)), F.lit(ranges)).cast("int").alias("range")
 
 
 def _looked_up(asked: DataFrame, phrases: DataFrame, ranges: int, depth: int) -> DataFrame:
-    """`lang, phrase, n` of the phrases asked for, range by range."""
+    """`lang, words, n` of the phrases asked for, range by range."""
 
     def composed(_: tuple, wanted: pa.Table, held: pa.Table) -> pa.Table:
-        ask = CountTransducer.of_phrases(
-            wanted.column("lang").to_pylist(), wanted.column("phrase").to_pylist(), np.ones(len(wanted), np.int64), depth
-        )
+        langs, words = wanted.column("lang").to_pylist(), wanted.column("words").to_pylist()
+        # The weight of a phrase asked for is its row.
+        ask = CountTransducer.of_phrases(langs, words, np.arange(len(wanted)), depth)
         counts = CountTransducer.of_phrases(
-            held.column("lang").to_pylist(), held.column("phrase").to_pylist(), held.column("n").to_numpy().astype(np.int64), depth
+            held.column("lang").to_pylist(), held.column("words").to_pylist(), held.column("n").to_numpy().astype(np.int64), depth
         )
-        langs, phrases = ask.phrases()
-        return pa.table({
-            "lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "n": pa.array(counts.compose(ask), pa.int64()),
-        })
+        n = np.zeros(len(wanted), np.int64)
+        n[ask.weights] = counts.compose(ask)
+        return pa.table({"lang": pa.array(langs, pa.string()), "words": pa.array(words, pa.list_(pa.int64())), "n": pa.array(n)})
 
     in_range = lambda rows: rows.withColumn("range", _prefix_range(ranges)).groupBy("range")
-    return in_range(asked).cogroup(in_range(phrases)).applyInArrow(composed, "lang string, phrase string, n long")
+    return in_range(asked).cogroup(in_range(phrases)).applyInArrow(composed, "lang string, words array<long>, n long")
 
 
 def collocations(
@@ -330,45 +308,50 @@ def collocations(
     held = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     # A word takes about six bytes.
     ranges = max(1, -(-held // (6 * WORDS_OF_RANGE)))
-    levels, filters, totals = [], None, None
+    levels, filters = [], None
     for size in range(1, longest + 1):
-        level = landed(frequent_phrases(shard_transducers(texts, size, filters, ranges), fewest), f"phrases-{size}")
-        if size == 1:
-            totals = landed(level.filter("phrase is null").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-        levels.append(level.filter("phrase is not null"))
+        level = frequent_phrases(shard_transducers(texts, size, filters, ranges), fewest)
+        levels.append(landed(level, f"phrases-{size}"))
         if size < longest:
-            filters = bit_filter(levels[-1].select("hash"), FILTER_BITS)
+            filters = bit_filter(levels[-1].filter("hash is not null").select("hash"), FILTER_BITS)
             if not filters.any():
                 break
+    totals = landed(levels[0].filter("words is null").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    names = levels[0].filter("words is not null").select("lang", F.get("words", F.lit(0)).alias("word"), "name")
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.unionByName(level)
-    phrases = phrases.select("lang", "phrase", "size", "n")
+    phrases = phrases.filter("words is not null").select("lang", "words", "size", "n")
     candidates = phrases.filter("size > 1")
-    words = F.split("phrase", " ")
-    joined = lambda start, length: F.array_join(F.slice(words, start, length), " ")
+    part = lambda start, length: F.slice("words", start, length)
     # A phrase inside a longer one that occurs as often is also inside one with a single word more.
     inside = candidates.filter("size > 2").select(
-        "lang", "n", F.explode(F.array(joined(1, F.col("size") - 1), joined(2, F.col("size") - 1))).alias("phrase")
+        "lang", "n", F.explode(F.array(part(1, F.col("size") - 1), part(2, F.col("size") - 1))).alias("words")
     )
-    kept = landed(candidates.join(inside, ["lang", "phrase", "n"], "left_anti"), "candidates")
+    kept = landed(candidates.join(inside, ["lang", "words", "n"], "left_anti"), "candidates")
     cuts = kept.select(
-        "lang", "phrase", F.col("n").alias("a"), "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut")
+        "lang", "words", F.col("n").alias("a"), "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut")
     ).select(
-        "lang", "phrase", "a", "cut", joined(1, F.col("cut")).alias("head"), joined(F.col("cut") + 1, F.col("size") - F.col("cut")).alias("rest")
+        "lang", "words", "a", "cut", part(1, F.col("cut")).alias("head"), part(F.col("cut") + 1, F.col("size") - F.col("cut")).alias("rest")
     )
-    parts = cuts.select("lang", F.explode(F.array("head", "rest")).alias("phrase")).distinct()
-    found = landed(_looked_up(parts, phrases, max(1, -(-phrases.count() // PHRASES_OF_RANGE)), longest), "parts")
-    part = lambda name, into: found.select("lang", F.col("phrase").alias(name), F.col("n").alias(into))
+    asked = cuts.select("lang", F.explode(F.array("head", "rest")).alias("words")).distinct()
+    found = landed(_looked_up(asked, phrases, max(1, -(-phrases.count() // PHRASES_OF_RANGE)), longest), "parts")
+    of = lambda name, into: found.select("lang", F.col("words").alias(name), F.col("n").alias(into))
     score = F.expr("(1000 * cast(a as decimal(16,0)) * cast(total as decimal(16,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     weakest = (
-        cuts.join(part("head", "l"), ["lang", "head"]).join(part("rest", "r"), ["lang", "rest"]).join(totals, "lang")
+        cuts.join(of("head", "l"), ["lang", "head"]).join(of("rest", "r"), ["lang", "rest"]).join(totals, "lang")
         .withColumn("score", score)
-        .groupBy("lang", "phrase")
+        .groupBy("lang", "words")
         .agg(F.min(F.struct("score", "cut", "a", "l", "r", F.col("total").alias("n"))).alias("weakest"))
     )
+    spelled = (
+        weakest.select("lang", "words", "weakest", F.posexplode("words").alias("at", "word")).join(names, ["lang", "word"])
+        .groupBy("lang", "words")
+        .agg(F.first("weakest").alias("weakest"), F.array_sort(F.collect_list(F.struct("at", "name"))).alias("spelled"))
+        .select("lang", "weakest", F.array_join(F.transform("spelled", lambda s: s["name"]), " ").alias("phrase"))
+    )
     best = Window.partitionBy("lang").orderBy(F.desc("weakest.score"), F.desc("weakest.a"), "phrase")
     return (
-        weakest.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
+        spelled.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *[f"weakest.{name}" for name in ("a", "l", "r", "n", "score")])
     )

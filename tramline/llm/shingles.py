@@ -36,8 +36,11 @@ def word_hashes(texts: list[str], replaced: bytes | None = None) -> tuple[np.nda
     `replaced` is a table of 256 bytes for bytes.translate, applied to the lower-cased UTF-8.
     """
     raw = [text.encode().lower() for text in texts]
-    if replaced:
-        raw = [text.translate(replaced) for text in raw]
+    return raw_word_hashes([text.translate(replaced) for text in raw] if replaced else raw)
+
+
+def raw_word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As `word_hashes`, of bytes as they are."""
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(blank, prepend=True))
@@ -59,26 +62,33 @@ def run_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
     return mixed(runs) >> np.uint64(1)
 
 
-def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text: runs of `words` words, or the whole
-    sequence as one where there are fewer; none without words. Hashes have 63 bits."""
+def texts_at_once(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in turn, several at once: together about CHARS_AT_ONCE code points, or one longer text."""
     at = 0
     while at < len(texts):
         upto, chars = at + 1, len(texts[at])
         while upto < len(texts) and chars + len(texts[upto]) <= CHARS_AT_ONCE:
             chars += len(texts[upto])
             upto += 1
-        hashes, begins = word_hashes(texts[at:upto])
+        yield texts[at:upto]
+        at = upto
+
+
+def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text: runs of `words` words, or the whole
+    sequence as one where there are fewer; none without words. Hashes have 63 bits."""
+    for some in texts_at_once(texts):
+        hashes, begins = word_hashes(some)
         runs = run_hashes(hashes, words)
         for first, last in zip(begins[:-1], begins[1:]):
             if last - first >= words:
                 yield np.unique(runs[first : last - words + 1])
             else:
-                yield _short(hashes[first:last])
-        at = upto
+                yield whole_sequence(hashes[first:last])
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
+def whole_sequence(hashes: np.ndarray) -> np.ndarray:
+    """All words as one shingle; nothing without words."""
     if not len(hashes):
         return hashes
     whole = np.full(1, np.uint64(len(hashes)))
