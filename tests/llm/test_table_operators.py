@@ -144,8 +144,8 @@ def test_components_equal_those_of_all_pairs(spark, words, percent, seed):
 def test_frequent_order_does_not_change_the_join(spark, monkeypatch):
     rows = copies(7)
     monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 1)
-    few = lambda docs, words, most=4: ngram_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    monkeypatch.setattr(ngram_join, "frequent_shingles", few)
+    none = lambda docs, words: ngram_join.Order(np.zeros(8, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    monkeypatch.setattr(ngram_join, "global_order", none)
     got = ngram_join.near_classes(corpus.documents(spark, rows), 3, 90)
     assert sorted(tuple(r) for r in got.collect()) == plain_components(rows, 3, 90)
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.session import scratch_folder
+from tramline.sources.folders import Folder
 
 # Fixed value: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,6 +60,13 @@ def landed(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Removes landed tables once what was made from them is landed itself, so that no recovery reads them again."""
+    for rows in tables:
+        for folder in {os.path.dirname(file) for file in rows.inputFiles()}:
+            Folder(rows.sparkSession, folder).remove(folder)
+
+
 def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
     """A bit for each long of the only column: `bits` in all, packed, however many keys there are."""
     (name,) = keys.columns

@@ -27,102 +27,165 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import in_slices, landed, ship_package
-from tramline.llm.shingles import shingle_sets
+from tramline.llm.common import bit_filter, in_filter, in_slices, landed, removed, ship_package
+from tramline.llm.shingles import run_hashes, shingle_sets, texts_at_once, whole_sequence, word_hashes
 
 WORDS = 3
 PERCENT = 90
 # Shingles that count as frequent, at most, and the shingles counted together in memory.
 FREQUENT = 1 << 20
 COUNTED_TOGETHER = 1 << 21
-# A set below the first size is counted over so many slices of the hash space, and so on. Sets that have nothing
-# in common differ by about the root of size * slices, which must exceed what the threshold allows.
-SLICES = ((1 << 10, 6), (1 << 14, 10), (1 << 62, 14))
+# Words are counted in a table of fixed size, by their hash.
+WORD_CELLS = 1 << 19
+_CELLS_OF_ROW = 1 << 13
+# Counts of a task beyond this are cut off, so that they fit four bytes.
+_MOST_COUNT = (1 << 31) - 1
+# All sets are counted over so many slices of the hash space; those that pass and are larger than SMALL are counted once more:
+# a set below the first size over so many bits' slices, and so on. Sets that have nothing in common
+# differ by about the root of size * slices, which must exceed what the threshold allows.
+COARSE_BITS = 5
+SMALL = 256
+SLICES = ((1 << 11, 8), (1 << 14, 10), (1 << 62, 14))
 LEADER_ROUNDS = 2
 # Bits of the filter that finds candidates' texts again; a full filter costs time, not results.
 FILTER_BITS = 1 << 26
-_FILTER_CHUNK = 1 << 15
 
 
 @dataclass(frozen=True)
 class Order:
-    """The global order: hashes ascending, but the frequent ones last, the most frequent at the end."""
+    """The global order. A shingle comes the earlier the rarer its words are, by the sum of the logarithms of their
+    counts, ties by hash. Shingles that are known to be frequent themselves come last, the most frequent at the end.
+    Any order gives the same join; this one keeps its lists short."""
 
+    words: np.ndarray
     hashes: np.ndarray
     ranks: np.ndarray
 
-    def arrange(self, values: np.ndarray) -> np.ndarray:
-        if not len(self.hashes) or not len(values):
-            return values
-        at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
-        frequent = self.hashes[at] == values
-        keys = np.where(frequent, self.ranks[at] + np.uint64(1 << 63), values)
-        return values[np.argsort(keys, kind="stable")]
+    def rarity(self, hashes: np.ndarray, words: int) -> np.ndarray:
+        """Of every run of `words` words, from the words' hashes."""
+        logs = self.words[(hashes >> np.uint64(32)).astype(np.int64) % len(self.words)]
+        out = np.zeros(max(0, len(hashes) - words + 1), np.int64)
+        for n in range(words):
+            out += logs[n : n + len(out)]
+        return out
+
+    def prefix(self, values: np.ndarray, rarity: np.ndarray, length: int) -> np.ndarray:
+        """The first `length` of the sorted different values."""
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
+            rarity = np.where(self.hashes[at] == values, self.ranks[at] + (1 << 40), rarity)
+        if length < len(values):
+            # Only what may be among the first is put in order.
+            may = np.flatnonzero(rarity <= np.partition(rarity, length - 1)[length - 1])
+            values, rarity = values[may], rarity[may]
+        return values[np.lexsort((values, rarity))][:length]
 
 
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.coalesce("text", F.lit("")).alias("text"))
 
 
-def frequent_shingles(documents: DataFrame, words: int, most: int = FREQUENT) -> Order:
+def global_order(documents: DataFrame, words: int, most: int = FREQUENT) -> Order:
     """The order, from counts over all documents.
 
-    A task counts the shingles of the different sets it sees, some millions at a time, and passes on those that
-    occur at least twice there. Over t such counts a shingle of frequency f is noticed once f
-    is about the root of t, and one that is not noticed makes at most f * f < t candidate pairs.
-    Any order gives the same join; this one keeps its lists short. At most `most` shingles are returned.
+    Words are counted in a table of fixed size, so that its sums over all tasks hold for the whole corpus. In the same
+    pass a task counts the shingles of the different sets it sees, some millions at a time, and passes on those that
+    occur at least twice there, which finds passages that many texts share. The `most` frequent of these are returned.
     """
     ship_package(documents.sparkSession)
+    names = ["word", "token", "n", "cells"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(sets: list[np.ndarray]) -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts > 1
+            tokens = values[often].astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(values[often].astype(np.int64)), pa.array(counts[often].astype(np.int64))], ["token", "n"]
+                [pa.array(np.zeros(len(tokens), bool)), pa.array(tokens), pa.array(counts[often].astype(np.int64)), pa.nulls(len(tokens), pa.binary())],
+                names,
             )
 
+        cells = np.zeros(WORD_CELLS, np.int64)
         sets, seen, held = [], set(), 0
         for batch in in_slices(batches):
-            for values in shingle_sets(batch.column(0).to_pylist(), words):
-                digest = xxhash.xxh3_128_digest(values.tobytes())
-                if digest not in seen:
-                    seen.add(digest)
-                    sets.append(values)
-                    held += len(values)
-                if held >= COUNTED_TOGETHER:
-                    yield flush(sets)
-                    sets, seen, held = [], set(), 0
+            for texts in texts_at_once(batch.column(0).to_pylist()):
+                hashes, begins = word_hashes(texts)
+                np.add.at(cells, (hashes >> np.uint64(32)).astype(np.int64) % WORD_CELLS, 1)
+                runs = run_hashes(hashes, words)
+                for first, last in zip(begins[:-1], begins[1:]):
+                    if last - first < words:
+                        continue
+                    values = np.unique(runs[first : last - words + 1])
+                    digest = xxhash.xxh3_128_digest(values.tobytes())
+                    if digest not in seen:
+                        seen.add(digest)
+                        sets.append(values)
+                        held += len(values)
+                    if held >= COUNTED_TOGETHER:
+                        yield flush(sets)
+                        sets, seen, held = [], set(), 0
         if sets:
             yield flush(sets)
-
-    counts = landed(
-        _texts(documents).mapInArrow(counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "counts"
-    )
-    # From the most frequent on, as many whole frequencies as fit.
-    sizes = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.desc("n")).collect()
-    least, total = 1 << 62, 0
-    for row in sizes:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["n"]
-    rows = counts.filter(F.col("n") >= least).toArrow()
-    tokens, n = rows.column("token").to_numpy().astype(np.uint64), rows.column("n").to_numpy()
+        parts = [(n, part) for n, part in enumerate(cells.reshape(-1, _CELLS_OF_ROW)) if part.any()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([True] * len(parts), pa.bool_()), pa.array([n for n, _ in parts], pa.int64()), pa.nulls(len(parts), pa.int64()),
+                pa.array([np.minimum(part, _MOST_COUNT).astype(np.int32).tobytes() for _, part in parts], pa.binary()),
+            ],
+            names,
+        )
+
+    counts = landed(_texts(documents).mapInArrow(counted, "word boolean, token long, n long, cells binary"), "counts")
+
+    def summed(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(_CELLS_OF_ROW, np.int64)
+        for cells in rows.column("cells"):
+            total += np.frombuffer(cells.as_buffer(), np.int32)
+        logs = np.round(np.log2(total + 1) * 64).astype(np.int16)
+        return pa.table({"token": pa.array([key[0].as_py()], pa.int64()), "cells": pa.array([logs.tobytes()], pa.binary())})
+
+    logs = np.zeros(WORD_CELLS, np.int16)
+    for row in counts.filter("word").groupBy("token").applyInArrow(summed, "token long, cells binary").collect():
+        at = row["token"] * _CELLS_OF_ROW
+        logs[at : at + _CELLS_OF_ROW] = np.frombuffer(row["cells"], np.int16)
+    tokens, n = _most_frequent(counts.filter("not word").groupBy("token").agg(F.sum("n").alias("n")), most)
+    removed(counts)
     by_count = np.lexsort((tokens, n))
-    ranks = np.empty(len(tokens), np.uint64)
-    ranks[by_count] = np.arange(len(tokens), dtype=np.uint64)
+    ranks = np.empty(len(tokens), np.int64)
+    ranks[by_count] = np.arange(len(tokens))
     by_hash = np.argsort(tokens)
-    return Order(tokens[by_hash], ranks[by_hash])
+    return Order(logs, tokens[by_hash], ranks[by_hash])
+
+
+def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and counts of about the `most` most frequent, never more: whole classes of like counts, and a part of the last by hash."""
+    counts = landed(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "frequent")
+    least, parts, total = 1 << 30, 1, 0
+    for row in counts.groupBy("class").count().orderBy(F.desc("class")).collect():
+        if total + row["count"] > most:
+            # Hashes are even, so twice the share leaves room.
+            parts = -(-2 * row["count"] // max(1, most - total))
+            least = row["class"]
+            break
+        least, total = row["class"], total + row["count"]
+    chosen = (F.col("class") > least) | ((F.col("class") == least) & (F.pmod("token", F.lit(parts)) == 0))
+    rows = counts.filter(chosen).limit(most).toArrow()
+    removed(counts)
+    return rows.column("token").to_numpy().astype(np.uint64), rows.column("n").to_numpy()
 
 
-_SETS = "doc_id long, n long, digest binary, text_key long, prefix array<long>, slices array<short>"
+_SETS = "doc_id long, n long, digest binary, text_key long, prefix array<long>, coarse array<byte>, slices array<short>"
 
 
 def _text_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
+def _sliced(values: np.ndarray, bits: int, kind: type) -> np.ndarray:
+    counts = np.bincount((values >> np.uint64(63 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, np.iinfo(kind).max).astype(kind)
+
+
 def document_sets(documents: DataFrame, order: Order, words: int, percent: int, row: str | None = None) -> DataFrame:
     """Per row its set's size, digest, prefix in the global order and counts over slices of the hash space.
 
@@ -130,26 +193,31 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int,
     """
     shared = documents.sparkSession.sparkContext.broadcast(order)
 
-    def sliced(values: np.ndarray) -> np.ndarray:
-        bits = next(bits for size, bits in SLICES if len(values) < size)
-        counts = np.bincount((values >> np.uint64(63 - bits)).astype(np.int64), minlength=1 << bits)
-        return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
-
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
+            sizes, digests, keys, prefixes, coarse, slices = [], [], [], [], [], []
             texts = batch.column("text").to_pylist()
-            sizes, digests, keys, prefixes, slices = [], [], [], [], []
-            for text, values in zip(texts, shingle_sets(texts, words)):
-                n = len(values)
-                sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(values.tobytes()))
-                keys.append(_text_key(text))
-                prefix = shared.value.arrange(values)[: n - -(-percent * n // 100) + 1]
-                prefixes.append(prefix.astype(np.int64) if n else np.zeros(0, np.int64))
-                slices.append(sliced(values))
+            for some in texts_at_once(texts):
+                hashes, begins = word_hashes(some)
+                runs, rarity = run_hashes(hashes, words), shared.value.rarity(hashes, words)
+                for text, first, last, short in zip(some, begins[:-1], begins[1:], _short_sets(hashes, begins, words)):
+                    if last - first >= words:
+                        values, at = np.unique(runs[first : last - words + 1], return_index=True)
+                        rare = rarity[first : last - words + 1][at]
+                    else:
+                        values, rare = short, np.zeros(len(short), np.int64)
+                    n = len(values)
+                    sizes.append(n)
+                    digests.append(xxhash.xxh3_128_digest(values.tobytes()))
+                    keys.append(_text_key(text))
+                    length = n - -(-percent * n // 100) + 1
+                    prefixes.append(shared.value.prefix(values, rare, length).astype(np.int64) if n else np.zeros(0, np.int64))
+                    coarse.append(_sliced(values, COARSE_BITS, np.int8))
+                    bits = next(bits for size, bits in SLICES if n < size)
+                    slices.append(_sliced(values, bits, np.int16) if n > SMALL else np.zeros(0, np.int16))
             columns = [
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())), pa.array(slices, pa.list_(pa.int16())),
+                pa.array(prefixes, pa.list_(pa.int64())), pa.array(coarse, pa.list_(pa.int8())), pa.array(slices, pa.list_(pa.int16())),
             ]
             names = [field.split()[0] for field in _SETS.split(", ")]
             if row:
@@ -166,53 +234,35 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int,
     return landed(rows.mapInArrow(described, _SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def _filter_of(keys: DataFrame) -> np.ndarray:
-    """A bit for each key: FILTER_BITS in all, packed, however many keys there are."""
-    bit = F.pmod("text_key", F.lit(FILTER_BITS))
-    bits = keys.select((bit / _FILTER_CHUNK).cast("int").alias("chunk"), F.pmod(bit, F.lit(_FILTER_CHUNK)).cast("int").alias("bit"))
-
-    def packed(key: tuple, table: pa.Table) -> pa.Table:
-        flags = np.zeros(_FILTER_CHUNK, np.uint8)
-        flags[table.column("bit").to_numpy()] = 1
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    size = _FILTER_CHUNK // 8
-    for row in bits.distinct().groupBy("chunk").applyInArrow(packed, "chunk int, flags binary").collect():
-        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["flags"], np.uint8)
-    return out
+def _short_sets(hashes: np.ndarray, begins: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """The sets of texts with fewer words than a shingle has: the whole sequence as one; nothing for others."""
+    for first, last in zip(begins[:-1], begins[1:]):
+        yield whole_sequence(hashes[first:last]) if last - first < words else hashes[:0]
 
 
 def candidate_sets(documents: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """`node, n, shingles` of the texts named by `nodes` (`node, text_key, digest`).
+    """`node, shingles` of the texts named by `nodes` (`node, text_key, digest`).
 
     The texts are read again; those that no candidate has are passed over by a filter of fixed size, so
     they are neither cut into shingles nor shuffled.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(_filter_of(nodes.select("text_key")))
+    shared = documents.sparkSession.sparkContext.broadcast(bit_filter(nodes.select("text_key"), FILTER_BITS))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = shared.value
         for batch in in_slices(batches):
-            texts, keys = [], []
-            for text in batch.column(0).to_pylist():
-                key = _text_key(text)
-                bit = key % FILTER_BITS
-                if flags[bit >> 3] >> (7 - (bit & 7)) & 1:
-                    texts.append(text)
-                    keys.append(key)
-            sets = list(shingle_sets(texts, words))
+            texts = batch.column(0).to_pylist()
+            keys = np.array([_text_key(text) for text in texts], np.int64)
+            may = np.flatnonzero(in_filter(shared.value, keys))
+            sets = list(shingle_sets([texts[n] for n in may], words))
             digests = [xxhash.xxh3_128_digest(values.tobytes()) for values in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
+                [pa.array(keys[may]), pa.array(digests, pa.binary()), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
                 ["text_key", "digest", "shingles"],
             )
 
     texts = _texts(documents).mapInArrow(found, "text_key long, digest binary, shingles array<long>")
     # Rows that repeat a text repeat its key; the first of them is enough.
-    return landed(
-        nodes.join(texts, ["text_key", "digest"]).dropDuplicates(["node"]).select("node", "shingles"), "candidates"
-    )
+    return nodes.join(texts, ["text_key", "digest"]).dropDuplicates(["node"]).select("node", "shingles")
 
 
 def _fitting(percent: int, other: str) -> Column:
@@ -224,29 +274,57 @@ def _fitting(percent: int, other: str) -> Column:
     return (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n)) & enough
 
 
-def _verified(documents: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs `x, y` whose sets reach the threshold."""
-    side = lambda name: named.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("slices").alias(f"s{name}"))
-    # Sets that differ by d elements differ by d at most in the sum over all slices. Where the sizes
-    # lie on both sides of a step of SLICES, the exact overlap decides alone.
-    differences = F.zip_with("sx", "sy", lambda a, b: F.abs(a.cast("int") - b.cast("int")))
-    summed = F.aggregate(differences, F.lit(0), lambda total, d: total + d)
-    apart = F.when(F.size("sx") == F.size("sy"), summed).otherwise(0)
-    overlap = F.ceil(percent * (F.col("nx") + F.col("ny")) / F.lit(100 + percent))
-    near = landed(
-        pairs.distinct().join(side("x"), "x").join(side("y"), "y")
-        .filter(apart <= F.col("nx") + F.col("ny") - 2 * overlap)
-        .select("x", "y"),
-        "near",
-    )
-    ends = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    sets = candidate_sets(documents, landed(named.join(ends, "node").select("node", "text_key", "digest"), "ends"), words)
-    both = F.size(F.array_intersect("sx", "sy"))
-    of = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
-    union = F.size("sx") + F.size("sy") - both
-    return landed(
-        near.join(of("x"), "x").join(of("y"), "y").filter(100 * both >= percent * union).select("x", "y"), "links"
-    )
+class _Verifier:
+    """Tells which pairs of texts reach the threshold; the sets of a text are read from the documents once, however many rounds need them."""
+
+    def __init__(self, documents: DataFrame, rows: DataFrame, named: DataFrame, words: int, percent: int) -> None:
+        self.documents, self.rows, self.named, self.words, self.percent = documents, rows, named, words, percent
+        self.sets = documents.sparkSession.createDataFrame([], "node long, shingles array<long>")
+
+    def _apart(self, pairs: DataFrame, slices: DataFrame) -> DataFrame:
+        """Pairs without those whose counts over slices differ by more than the threshold allows.
+
+        Sets that differ by d elements differ by d at most in the sum over all slices. Where sizes lie
+        on both sides of a step of SLICES, or one is small, the exact overlap decides.
+        """
+        side = lambda name: slices.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("slices").alias(f"s{name}"))
+        differences = F.zip_with("sx", "sy", lambda a, b: F.abs(a.cast("int") - b.cast("int")))
+        summed = F.aggregate(differences, F.lit(0), lambda total, d: total + d)
+        apart = F.when(F.size("sx") == F.size("sy"), summed).otherwise(0)
+        overlap = F.ceil(self.percent * (F.col("nx") + F.col("ny")) / F.lit(100 + self.percent))
+        near = pairs.join(side("x"), "x").join(side("y"), "y").filter(apart <= F.col("nx") + F.col("ny") - 2 * overlap)
+        return near.select("x", "y", F.greatest("nx", "ny").alias("larger"))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs `x, y` whose sets reach the threshold. Few bytes a set go with every pair, more with those that pass."""
+        coarse = landed(self._apart(pairs.distinct(), self.named.withColumnRenamed("coarse", "slices")), "coarse")
+        large = coarse.filter(F.col("larger") > SMALL).select("x", "y")
+        wide = self.rows.filter(F.col("n") > SMALL).select(F.col("row").alias("node"), "n", "slices")
+        both_large = self.named.filter(F.col("n") > SMALL).select("node")
+        wide = wide.join(both_large, "node", "left_semi")
+        small_one = self.named.filter(F.col("n") <= SMALL).select("node", "n", F.array().cast("array<short>").alias("slices"))
+        near = landed(
+            coarse.filter(F.col("larger") <= SMALL).select("x", "y")
+            .unionByName(self._apart(large, wide.unionByName(small_one)).select("x", "y")),
+            "near",
+        )
+        removed(coarse)
+        ends = near.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        missing = landed(
+            self.named.join(ends.join(self.sets.select("node"), "node", "left_anti"), "node").select("node", "text_key", "digest"), "ends"
+        )
+        if not missing.isEmpty():
+            more = candidate_sets(self.documents, missing, self.words)
+            self.sets = self.sets.unionByName(landed(more, "candidates"))
+        sets = self.sets
+        both = F.size(F.array_intersect("sx", "sy"))
+        of = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
+        union = F.size("sx") + F.size("sy") - both
+        links = landed(
+            near.join(of("x"), "x").join(of("y"), "y").filter(100 * both >= self.percent * union).select("x", "y"), "links"
+        )
+        removed(near, missing)
+        return links
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -279,6 +357,7 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
         # Two steps at once: what the taken neighbour took.
         twice = taken.alias("t").join(taken.alias("u"), F.col("t.new") == F.col("u.old")).select("t.old", "u.new")
         twice = landed(twice, "taken")
+        before = labels, left
         labels = landed(
             labels.join(twice, labels["label"] == twice["old"], "left").select("node", F.coalesce("new", "label").alias("label")),
             "labels",
@@ -289,7 +368,9 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
             .filter("p != q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct(),
             "edges",
         )
+        removed(taken, twice, *before)
         number += 1
+    removed(left)
     return labels
 
 
@@ -307,35 +388,41 @@ def near_classes(
     reach the one with the smallest doc_id, null last, and then the smallest number.
     """
     spark = documents.sparkSession
-    order = frequent_shingles(documents, words)
+    order = global_order(documents, words)
     rows = document_sets(documents, order, words, percent, row)
     head = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("head")] if row else []
     classes = landed(
         rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first"), *head), "classes"
     )
     members = landed(
-        rows.filter("n > 0").select("row", "doc_id", "n", "digest").join(classes, "digest"), "members"
+        rows.filter("n > 0").select("row", "doc_id", "n", "digest").join(classes, "digest").drop("digest"), "members"
     )
     own = rows.join(classes.select("node"), rows["row"] == classes["node"], "left_semi").withColumnRenamed("row", "node")
-    named = landed(own.select("node", "n", "text_key", "digest", "slices"), "named")
-    postings = own.select("node", "n", F.posexplode("prefix").alias("at", "token"))
-    # The text with the fewest rare shingles leads its list.
-    lists = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("held"), F.min(F.struct("at", "node", "n")).alias("leader")
-    ).filter("held > 1")
-    met = postings.join(landed(lists, "lists"), "token")
+    named = landed(own.select("node", "n", "text_key", "digest", "coarse"), "named")
+    postings = own.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "token"))
+    # The text with the fewest rare shingles leads its list. One shuffle gives each text its leader.
+    in_list = Window.partitionBy("token")
+    met = postings.select(
+        "token", "node", "n", "at",
+        F.count(F.lit(1)).over(in_list).alias("held"), F.min(F.struct("at", "node", "n")).over(in_list).alias("leader"),
+    ).filter("held > 1")
     first = (F.col("node") != F.col("leader.node")) & _fitting(percent, "leader.")
     met = landed(met.withColumn("first", first).filter("first or held > 2"), "postings")
+    removed(classes)
     shared = met.filter("held > 2").select("token", "node", "n", "at", F.col("leader.node").alias("met"))
 
+    verifier = _Verifier(documents, rows, named, words, percent)
     labels = spark.createDataFrame([], "node long, label long")
     for number in range(LEADER_ROUNDS + 1):
         if not number:
-            pairs = met.filter("first").select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
+            pairs, used = met.filter("first").select(F.col("node").alias("a"), F.col("leader.node").alias("b")), []
         else:
-            pairs = _pairs(shared, labels, percent, leaders=number < LEADER_ROUNDS, number=number)
-        pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        labels = components(labels, _verified(documents, pairs, named, words, percent))
+            pairs, used = _pairs(shared, labels, percent, leaders=number < LEADER_ROUNDS, number=number)
+        links = verifier.links(pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")))
+        removed(*used)
+        before, labels = labels, components(labels, links)
+        removed(before, links)
+    removed(met, named, verifier.sets)
     joined = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = [F.min("head").alias("class_head")] if row else []
     smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"), *heads)
@@ -348,11 +435,11 @@ def near_classes(
     return linked.unionByName(empty)
 
 
-def _pairs(shared: DataFrame, labels: DataFrame, percent: int, leaders: bool, number: int) -> DataFrame:
-    """Candidate pairs `a, b` of texts that share a list but no component yet and did not meet there.
+def _pairs(shared: DataFrame, labels: DataFrame, percent: int, leaders: bool, number: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Candidate pairs `a, b` of texts that share a list but no component yet and did not meet there, and the landed tables behind them.
 
     With `leaders`, each text of a list meets one of the list's largest component. Without, all that are left
-    meet: texts outside of the largest component meet every text of the list.
+    meet: texts outside of the largest component meet those texts of the list whose length fits theirs.
     """
     labelled = landed(
         shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled"
@@ -370,9 +457,12 @@ def _pairs(shared: DataFrame, labels: DataFrame, percent: int, leaders: bool, nu
     if leaders:
         return outside.filter((F.col("met") != F.col("leader.node")) & _fitting(percent, "leader.")).select(
             F.col("node").alias("a"), F.col("leader.node").alias("b")
-        )
-    other = inside.select("token", *[F.col(name).alias(f"b_{name}") for name in ("node", "n", "at", "label")])
+        ), [labelled, open_lists]
+    # Sizes that fit lie in the same class or in neighbouring ones.
+    scale = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / min(percent, 99)))).cast("int")
+    other = inside.select("token", scale.alias("class"), *[F.col(name).alias(f"b_{name}") for name in ("node", "n", "at", "label")])
+    reaching = outside.withColumn("class", F.explode(F.array(scale - 1, scale, scale + 1)))
     strangers = (F.col("label") != F.col("b_label")) & ~F.col("met").isin(F.col("node"), F.col("b_node"))
-    return outside.join(other, "token").filter(strangers & _fitting(percent, "b_")).select(
+    return reaching.join(other, ["token", "class"]).filter(strangers & _fitting(percent, "b_")).select(
         F.col("node").alias("a"), F.col("b_node").alias("b")
-    )
+    ), [labelled, open_lists]
