@@ -3,8 +3,7 @@
 Patterns find candidates in every whole text. The hash of each candidate's value is counted
 over all documents: by distinct repositories and by distinct owners, where texts that are the
 same count as one owner in one repository. A value that many hold is a widely copied example; one that few
-hold looks live. Spans of the fixed patterns are always reported, opaque strings outside of them apart if
-their value is an example.
+hold looks live. All spans are reported, with that verdict beside them.
 """
 
 from __future__ import annotations
@@ -105,11 +104,6 @@ def spans(found: DataFrame) -> DataFrame:
     return kept.join(held, "value_hash").withColumn("live", live).drop("repository")
 
 
-def _reported(kind: Column, live: Column) -> Column:
-    """Base spans, and opaque ones that look live."""
-    return (kind < len(BASE)) | live
-
-
 def _joined(spans_column: Column) -> Column:
     names = F.array(*[F.lit(k[0]) for k in KINDS])
     one = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])
@@ -117,10 +111,10 @@ def _joined(spans_column: Column) -> Column:
 
 
 def span_report(documents: DataFrame) -> DataFrame:
-    """Per document its number of spans of each base kind, the digest of those, and the spans reported.
+    """Per document its number of spans of each base kind, the digest of those, and all spans by start, then kind.
 
-    `n_live` and `n_example` count all spans by what their values look like; `examples` are the opaque spans
-    that `spans` leaves out as widely copied.
+    `verdicts` says of each of `spans`, in the same order, whether its value is `live` or an `example`; `n_live` and
+    `n_example` count them.
     """
     found = candidates(documents)
     listed = spans(found).groupBy("row").agg(
@@ -136,20 +130,20 @@ def span_report(documents: DataFrame) -> DataFrame:
             "doc_id",
             *[count(n).alias(f"n_{kind[0]}") for n, kind in enumerate(BASE)],
             F.sha2(_joined(base), 256).alias("base_sha256"),
-            _joined(F.filter("all", lambda s: _reported(s["kind"], s["live"]))).alias("spans"),
+            _joined(F.col("all")).alias("spans"),
             F.size(F.filter("all", lambda s: s["live"])).cast("long").alias("n_live"),
             F.size(F.filter("all", lambda s: ~s["live"])).cast("long").alias("n_example"),
-            _joined(F.filter("all", lambda s: ~_reported(s["kind"], s["live"]))).alias("examples"),
+            F.array_join(F.transform("all", lambda s: F.when(s["live"], "live").otherwise("example")), ",").alias("verdicts"),
         )
     )
 
 
 def masked(documents: DataFrame) -> DataFrame:
-    """`documents` with every reported span replaced: live-looking ones by `[SECRET]`, examples
-    by `[EXAMPLE]`. `n_chars` follows the text; all other columns and all rows stay."""
+    """`documents` with base spans and live-looking opaque ones replaced: live-looking ones by `[SECRET]`, examples
+    by `[EXAMPLE]`. Opaque strings that are widely copied stay. `n_chars` follows the text; all other columns and all rows stay."""
     listed = (
         spans(candidates(documents))
-        .filter(_reported(F.col("kind"), F.col("live")))
+        .filter((F.col("kind") < len(BASE)) | F.col("live"))
         .select("doc_id", "owner", F.struct("start", "end", "live").alias("span"))
         .distinct()
         .groupBy("doc_id", "owner")

@@ -2,7 +2,8 @@
 
 The lexicon is learned, not given: words and word beginnings that labelled toxic texts hold far
 more often than clean ones. Three disjoint folds of the training rows serve the lexicon, the
-trees and the calibration, so that no step sees its own errors. Texts that are equal share a fold.
+trees and the calibration, so that no step sees its own errors. Texts that are equal share a fold. Where labels are so
+few that a fold lacks a class, all steps learn from all of them.
 """
 
 from __future__ import annotations
@@ -79,8 +80,10 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     """From rows with `text` and `toxic`: entries by the number of documents of each label that hold them."""
     totals = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     clean, toxic = totals["n"] - totals["toxic"], totals["toxic"]
-    words = labelled.select(
-        "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"), F.monotonically_increasing_id().alias("row")
+    # Numbered before the words are listed, so that a document counts once however many words begin alike.
+    rows = landed(labelled.select("text", "toxic", F.monotonically_increasing_id().alias("row")), "lexicon")
+    words = rows.select(
+        "row", "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")
     ).filter(F.length("word") >= 2)
 
     def counted(entries: DataFrame) -> DataFrame:
@@ -180,7 +183,7 @@ def _vectors(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """What was learned; `trees` is None where the labels hold one class only, or none at all."""
+    """What was learned; `trees` is None exactly where the labelled rows hold one class only, or none at all."""
 
     lexicon: Lexicon
     trees: GBTClassificationModel | None
@@ -214,10 +217,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> ToxicityModel:
-    """Learns from labelled rows that are not held out, at most `rows` of them.
+    """Learns from labelled rows that are not held out, at most `rows` of them, those with the smallest hashes.
 
     A doc_id labelled more than once is toxic if any label says so; null ids and labels are left
-    out. Documents that repeat an id each count.
+    out. Documents that repeat an id each count, but rows that repeat id and text count once. Where one of the three folds
+    lacks a class that others have, all three steps learn from all rows. With one class only, every score is
+    that class; without labels, 0.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -226,32 +231,32 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> T
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("doc_id", "text"))
+    # The limit holds for rows, and they are chosen before any text is moved.
+    chosen = texts.join(F.broadcast(known), "doc_id").select("doc_id", "hash", "toxic").distinct().orderBy("hash", "doc_id").limit(rows)
     fold = F.pmod(F.xxhash64("text"), F.lit(10))
     labelled = landed(
-        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(known), "doc_id")
-        .withColumn("fold", fold),
+        texts.join(F.broadcast(landed(chosen, "chosen")), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
+        .select("doc_id", "text", "toxic", fold.alias("fold")),
         "labelled",
     )
-    per_fold = {
-        (r["part"], r["toxic"])
-        for r in labelled.select(
-            F.when(F.col("fold") < LEXICON_FOLDS, 0).when(F.col("fold") < TREE_FOLDS, 1).otherwise(2).alias("part"), "toxic"
-        ).distinct().collect()
-    }
-    if len(per_fold) < 6:
-        share = labelled.agg(F.avg("toxic")).first()[0]
-        return ToxicityModel(Lexicon({}, {}), None, None, float(share or 0.0))
-    lexicon = learn_lexicon(labelled.filter(F.col("fold") < LEXICON_FOLDS).select("text", "toxic"))
-    rest = labelled.filter(F.col("fold") >= LEXICON_FOLDS).select("doc_id", "fold", F.col("toxic").cast("double").alias("toxic"), "text")
+    part = F.when(F.col("fold") < LEXICON_FOLDS, 0).when(F.col("fold") < TREE_FOLDS, 1).otherwise(2)
+    per_fold = {(r["part"], r["toxic"]) for r in labelled.select(part.alias("part"), "toxic").distinct().collect()}
+    classes = {toxic for _, toxic in per_fold}
+    if len(classes) < 2:
+        return ToxicityModel(Lexicon({}, {}), None, None, float(max(classes, default=0)))
+    shared = len(per_fold) < 6
+    of_fold = lambda rows, only: rows if shared else rows.filter(only)
+    lexicon = learn_lexicon(of_fold(labelled, F.col("fold") < LEXICON_FOLDS).select("text", "toxic"))
+    rest = of_fold(labelled, F.col("fold") >= LEXICON_FOLDS).select("doc_id", "fold", F.col("toxic").cast("double").alias("toxic"), "text")
     dense = landed(with_features(rest, lexicon), "features")
     examples = _vectors(dense)
     # In a fixed order, so that reruns grow the same trees.
-    growing = examples.filter(F.col("fold") < TREE_FOLDS).orderBy("doc_id").coalesce(4)
+    growing = of_fold(examples, F.col("fold") < TREE_FOLDS).orderBy("doc_id", *FEATURES).coalesce(4)
     trees = GBTClassifier(
         featuresCol="vector", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=5, seed=7
     ).fit(growing)
     calibration = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="step").fit(
-        _raw(trees, examples.filter(F.col("fold") >= TREE_FOLDS))
+        _raw(trees, of_fold(examples, F.col("fold") >= TREE_FOLDS))
     )
     return ToxicityModel(lexicon, trees, calibration)
