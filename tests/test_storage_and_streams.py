@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import random
+import re
+import time
 import uuid
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from test_enrichment import TIGHT, position, random_feed, replay, update
+from test_enrichment import TIGHT, metres, position, random_feed, replay, update
 from tramline import schemas
 from tramline.functions.clock import partition_keys
 from tramline.operators import arrival
@@ -15,9 +19,9 @@ from tramline.plans import build
 from tramline.plans.dashboard import live_state
 from tramline.settings import Settings
 from tramline.sources import feed, tables, topics
-from tramline.sources.folders import BatchNumbers, Folder, VersionedTable, compact, drop_expired
+from tramline.sources.folders import BatchNumbers, Folder, KeyedTable, VersionedTable, compact, drop_expired
 from tramline.session import cluster_conf, scratch_folder
-from tramline.streaming import microbatch, pipeline, sinks, stateful
+from tramline.streaming import buffered, microbatch, pipeline, sinks, stateful
 from tramline.streaming.arrivals import ARRIVAL_COLUMNS
 from tramline.streaming.microbatch import BatchEnricher, Places
 
@@ -256,6 +260,57 @@ def test_batch_numbers_grow_over_runs_and_stay_for_retries(spark, tmp_path):
     assert [numbers.of("b", 0), numbers.of("b", 0), numbers.of("a", 2, above=9)] == [2, 2, 10]
 
 
+def keyed(spark, tmp_path, **knobs):
+    return KeyedTable(spark, str(tmp_path / "k"), "id bigint, value bigint, flushed bigint", ["id"], grace_s=0, **knobs)
+
+
+def news(spark, ids, value):
+    return spark.createDataFrame([(i, value, value) for i in ids], "id bigint, value bigint, flushed bigint")
+
+
+def test_a_keyed_table_holds_the_newest_row_of_every_key(spark, tmp_path):
+    table, rng, want = keyed(spark, tmp_path, buckets=4, segments=3), random.Random(3), {}
+    history = []
+    for version in range(14):
+        ids = rng.sample(range(60), rng.choice([0, 1, 5, 40]))
+        # A try that failed half way wrote something else before.
+        table.write(news(spark, ids[:2], -1), version)
+        table.write(news(spark, ids, version), version)
+        history.append(dict(want))
+        want |= dict.fromkeys(ids, version)
+        assert {r.id: r.value for r in table.before().collect()} == want
+        assert {r.id: r.value for r in table.before(version).collect()} == history[-1]
+    some = spark.createDataFrame([(7,), (8,), (99,)], "id bigint")
+    assert {r.id for r in table.before(None, some).filter("id in (7, 8, 99)").collect()} == {7, 8, 99} & want.keys()
+    # Segments that a whole bucket has replaced are gone, but for those a retry of the last version needs.
+    assert len(Folder(spark, str(tmp_path / "k")).matching("version=*/whole=*/bucket=*")) <= 4 * (3 + KeyedTable.KEPT + 1)
+
+
+def test_bytes_written_follow_the_keys_with_news(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=64)
+    table.write(news(spark, range(200_000), 0), 0)
+    folder = Folder(spark, str(tmp_path / "k"))
+    whole = folder.bytes(f"{folder.path}/version=0")
+    for version in range(1, 6):
+        table.write(news(spark, range(version * 3), version), version)
+        parts = folder.matching(f"version={version}/whole=*/bucket=*")
+        assert folder.bytes(f"{folder.path}/version={version}") < whole / 20 and len(parts) <= 3 * version
+    assert table.before().filter("value > 0").count() == 15
+    # Only buckets that can hold the keys asked for are read.
+    asked = table.before(None, spark.createDataFrame([(1,)], "id bigint"))
+    assert len({re.search("bucket=([0-9]+)", f)[1] for f in asked.inputFiles()}) == 1
+    assert [r.value for r in asked.filter("id = 1").collect()] == [5]
+
+
+def test_a_version_that_is_not_complete_is_invisible(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2)
+    table.write(news(spark, [1, 2, 3], 0), 0)
+    table.write(news(spark, [1], 1), 1)
+    folder = Folder(spark, str(tmp_path / "k"))
+    folder.remove(f"{folder.path}/version=1/_SUCCESS")
+    assert {r.id: r.value for r in table.before().collect()} == {1: 0, 2: 0, 3: 0}
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -348,6 +403,146 @@ def test_stateful_operators_equal_a_replay(spark, tmp_path, settings):
     assert summary(tables.read_silver(spark, str(tmp_path / "out"))) == replay(rows)
 
 
+def test_a_hot_route_is_spread_over_tasks(spark):
+    """A third of all rows on one route: its positions meet in many cells, none of which holds much of the route."""
+    rows = spark.range(60_000).selectExpr(
+        "id as arrival_seq", "concat('v', id % 3000) as vehicle_id", "if(id % 3 = 0, 'hot', concat('r', id % 200)) as route_id",
+        "'a' as agency_id", "'s' as route_short_name", "'t' as trip_id",
+        "47.0 + (xxhash64(id) % 1000) / 2000.0D as latitude", "8.0 + (xxhash64(id, 1) % 1000) / 2000.0D as longitude",
+        "0.0D as bearing", "1000 + id div 10 as timestamp", "0L as delay_seconds",
+        "double(null) as was_latitude", "double(null) as was_longitude", "double(null) as was_timestamp",
+    )
+    told = stateful.cell_messages(rows, Settings()).filter("route_id = 'hot'").cache()
+    asked = told.filter("asks")
+    assert asked.count() == 20_000 and asked.select("arrival_seq").distinct().count() == 20_000
+    assert told.count() < 3 * 20_000 and told.filter("not stays").isEmpty()
+    cells = [r["count"] for r in asked.groupBy("t", "y", "x").count().collect()]
+    assert len(cells) > 1000 and max(cells) < 0.01 * 20_000
+    tasks = told.repartition(32, "route_id", "t", "y", "x").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == 32 and max(r["count"] for r in tasks) < 2 * told.count() / 32
+
+
+@pytest.mark.parametrize("place", [(-33.87, 151.2), (0.0, 0.0), (47.0, 179.9999), (59.5, 10.0), (60.2, -180.0), (89.99, 3.0)])
+def test_cells_hear_of_everything_in_reach(spark, place):
+    """Any two positions within the limits: the copies of one are in the other's own cell."""
+    rng = random.Random(str(place))
+    rows = []
+    for n in range(300):
+        lat, lon = place[0] + rng.uniform(-0.01, 0.01), place[1] + rng.uniform(-0.02, 0.02)
+        lon = lon - 360 if lon > 180 else lon + 360 if lon < -180 else lon
+        rows.append((*position(n, f"v{n}", lat, lon, 0, 1000 + rng.randrange(400)).values(), 0, None, None, None))
+    told = stateful.cell_messages(spark.createDataFrame(rows, stateful.TRACKED), Settings()).collect()
+    own = {r.arrival_seq: (r.t, r.y, r.x) for r in told if r.asks}
+    copies = {}
+    for r in told:
+        copies.setdefault((r.t, r.y, r.x), set()).add(r.arrival_seq)
+    at = {r[0]: (r[6], r[7], r[9]) for r in rows}
+    near = [
+        (a, b) for a in at for b in at
+        if a != b and abs(at[a][2] - at[b][2]) <= 120 and metres(at[a][:2], at[b][:2]) <= 500
+    ]
+    assert len(own) == 300 and near
+    assert all(b in copies[own[a]] for a, b in near)
+
+
+def test_vehicles_leave_the_cells_they_no_longer_reach(spark):
+    moved = [(*position(1, lat=10.0).values(), 0, -33.87, 151.2, 1000.0), (*position(2).values(), 0, -33.87, 151.2, 1000.0)]
+    told = stateful.cell_messages(spark.createDataFrame(moved, stateful.TRACKED), Settings()).collect()
+    assert {r.arrival_seq for r in told if not r.stays} == {1}
+    assert {(r.t, r.y, r.x) for r in told if not r.stays} == {(r.t, r.y, r.x) for r in told if r.arrival_seq == 2}
+    unknown = [(1, "v", "r", "a", "s", "t", None, None, None, None, 0, None, None, None)]
+    assert [r.asks for r in stateful.cell_messages(spark.createDataFrame(unknown, stateful.TRACKED), Settings()).collect()].count(True) == 1
+
+
+# --- buffers flushed by timers ----------------------------------------------------------
+
+
+class Timers:
+    """Stands in for Spark's handle: one list of rows, and the timers that were set."""
+
+    def __init__(self):
+        self.rows, self.set = [], []
+
+    def getListState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.set.append(at)
+
+    def exists(self):
+        return bool(self.rows)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def get(self):
+        return iter(self.rows)
+
+    def clear(self):
+        self.rows = []
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_the_first_row_of_a_buffer_sets_its_only_timer():
+    timers = Timers()
+    buffer = buffered.Buffer(schemas.TRIP_UPDATE, 60_000)
+    buffer.init(timers)
+    chunk = lambda *seqs: pd.DataFrame({"arrival_seq": seqs, "trip_id": ["t"] * len(seqs), "delay_seconds": [None] * len(seqs)})
+
+    def rows_in(now, *chunks):
+        timers.now = now
+        assert list(buffer.handleInputRows((0,), iter(chunks), timers)) == []
+
+    rows_in(1_000)
+    rows_in(1_500, chunk())
+    assert timers.set == []
+    rows_in(2_000, chunk(1, 2), chunk(3))
+    rows_in(40_000, chunk(4))
+    assert timers.set == [62_000]
+    timers.now = 62_001
+    (flushed,) = buffer.handleExpiredTimer((0,), timers, None)
+    assert flushed["arrival_seq"].tolist() == [1, 2, 3, 4] and not timers.rows
+    # Nothing is set until a row comes again, however long that takes.
+    rows_in(500_000)
+    assert timers.set == [62_000]
+    rows_in(600_000, chunk(5))
+    assert timers.set == [62_000, 660_000]
+
+
+def test_buffered_rows_come_through_once_by_timer(spark, tmp_path):
+    rows = spark.createDataFrame([(n, f"t{n % 3}", None if n % 5 == 0 else n) for n in range(200)], schemas.TRIP_UPDATE)
+    rows.filter("arrival_seq < 120").write.mode("append").parquet(str(tmp_path / "in"))
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    quick = Settings(flush_interval="200 milliseconds")
+    setting, provider = stateful.STATE_STORE
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, provider)
+
+    def run(done):
+        stream = topics.landed_files(spark, str(tmp_path / "in"), rows.schema)
+        query = buffered.append_buffered(stream, out, check, wait_s=15, settings=quick)
+        deadline = time.time() + 120
+        while not done() and query.isActive and time.time() < deadline:
+            time.sleep(0.3)
+        query.stop()
+        assert done()
+
+    flushes = lambda: Folder(spark, out).matching("year=*/month=*/day=*/batch=*/*.parquet")
+    try:
+        # Stopped once the rows are taken in and before their timer: what waits is in the checkpoint.
+        run(lambda: Folder(spark, check).matching("commits/0"))
+        assert not flushes()
+        run(lambda: len(flushes()) == 1)
+        rows.filter("arrival_seq >= 120").write.mode("append").parquet(str(tmp_path / "in"))
+        run(lambda: len(flushes()) == 2)
+    finally:
+        spark.conf.set(setting, before)
+    got = spark.read.schema(schemas.TRIP_UPDATE).parquet(out).select(schemas.TRIP_UPDATE.names)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_rows_can_be_watched_on_the_console(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "in"))
     query = sinks.print_rows(topics.landed_files(spark, str(tmp_path / "in"), spark.range(1).schema), once=True)

@@ -131,7 +131,7 @@ def _crowded(valid: DataFrame, settings: Settings) -> DataFrame:
 def _heavy_cells(seen: DataFrame, settings: Settings) -> DataFrame:
     """Wide cells with too many positions to hold every row against every other."""
     return (
-        seen.groupBy(_Grid(settings).home().alias("cell"))
+        seen.groupBy(Grid(settings).home().alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > settings.positions_per_cell)
         .select("cell", F.lit(True).alias("heavy"))
@@ -146,7 +146,7 @@ def _near_neighbours(
     Route, cell and slot are hashed into one long: rows stay narrow and sort fast, and where
     two keys collide the residual condition still tells their rows apart.
     """
-    grid = _Grid(settings)
+    grid = Grid(settings)
     heavy_cell = F.coalesce("heavy", F.lit(False))
 
     span = F.col("moved_until") - F.col("arrival_seq")
@@ -213,7 +213,7 @@ def _slot_key() -> Column:
     )
 
 
-class _Grid:
+class Grid:
     """Wide cells: a position lives in one, a probe visits every cell its reach overlaps.
 
     Cells are several reaches wide, so a probe visits two of them on average and eight at most.
@@ -258,6 +258,31 @@ class _Grid:
             .drop("t", "y", "x")
         )
 
+    def place(self, latitude: Column, longitude: Column, timestamp: Column) -> Column:
+        """The cell a position lives in, as (time, latitude, longitude) numbers."""
+        lon = F.pmod(F.floor(longitude / self.lon_width), F.lit(self.lon_cells).cast("long"))
+        return F.struct(
+            F.floor(timestamp / self.time_width).alias("t"),
+            F.floor(latitude / self.lat_width).alias("y"),
+            F.when(F.abs(latitude) <= _LAT_LIMIT, lon).otherwise(F.lit(_POLAR).cast("long")).alias("x"),
+        )
+
+    def places_in_reach(self, latitude: Column, longitude: Column, timestamp: Column) -> Column:
+        """Every cell that holds positions in reach of this one: its own among them, eight at most, a ninth near the poles."""
+        lons = F.transform(
+            self._overlapped(longitude, self.lon_reach, self.lon_width),
+            lambda cell: F.pmod(cell, F.lit(self.lon_cells).cast("long")),
+        )
+        polar = F.array(F.lit(_POLAR).cast("long"))
+        lons = F.when(F.abs(latitude) <= _LAT_LIMIT - 1, lons).otherwise(F.concat(lons, polar))
+        times = self._overlapped(timestamp, self.time_reach, self.time_width)
+        lats = self._overlapped(latitude, self.lat_reach, self.lat_width)
+
+        def row(t: Column) -> Column:
+            return F.flatten(F.transform(lats, lambda y: F.transform(lons, lambda x: F.struct(t.alias("t"), y.alias("y"), x.alias("x")))))
+
+        return F.array_distinct(F.flatten(F.transform(times, row)))
+
     @staticmethod
     def _overlapped(value: Column, reach: float, width: float) -> Column:
         return F.sequence(F.floor((value - reach) / width), F.floor((value + reach) / width))

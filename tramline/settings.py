@@ -44,6 +44,10 @@ class Settings:
     # plenty for trips, and bunching looks back two minutes.
     state_ttl_s: int | None = None
 
+    # Stored state by key: into how many buckets, and after how many changes a bucket is written whole.
+    state_buckets: int = 64
+    state_segments: int = 8
+
     # How long an old version of the live table or the state stays for readers that began with it.
     version_grace_s: int = 900
 

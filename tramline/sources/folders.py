@@ -1,4 +1,4 @@
-"""Folders on whatever file system the path names, and tables kept as numbered versions."""
+"""Folders on whatever file system the path names, and tables kept as numbered versions or as changes by key."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ import json
 import re
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tramline.operators.latest import first_per_key
 from tramline.settings import DEFAULTS, Settings
 
 
@@ -85,6 +87,86 @@ class VersionedTable:
         return f"{self._folder.path}/version={version}"
 
 
+class KeyedTable:
+    """One row per key, of which a version holds only what changed: bytes written follow the keys with news.
+
+    Keys are hashed into buckets. A version adds a segment of new rows to the buckets it touches; a bucket that
+    has gathered `segments` of them is written whole again. A key's newest row is that of the newest
+    version, so a version that is written again after a failure leaves the same table. Buckets that hold
+    none of the keys asked for are not read.
+    """
+
+    KEPT = 3
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str, keys: list[str], buckets: int = DEFAULTS.state_buckets,
+        segments: int = DEFAULTS.state_segments, grace_s: int = DEFAULTS.version_grace_s,
+    ) -> None:
+        self._spark, self._folder, self._schema, self._keys = spark, Folder(spark, path), schema, keys
+        self._buckets, self._segments, self._grace_s = buckets, segments, grace_s
+
+    def versions(self) -> list[int]:
+        done = self._folder.matching("version=*/_SUCCESS")
+        return sorted(int(re.search(r"version=(\d+)/_SUCCESS$", path)[1]) for path in done)
+
+    def before(self, version: int | None = None, asked: DataFrame | None = None) -> DataFrame:
+        """The newest row of every key, of versions older than `version`. With `asked`, a frame with the key columns, rows of
+        other buckets than theirs are left out."""
+        only = None if asked is None else {r["bucket"] for r in asked.select(self._bucket()).distinct().collect()}
+        return self._newest(self._listed(version), only)
+
+    def write(self, news: DataFrame, version: int) -> None:
+        """New rows of some keys, one per key."""
+        held = self._listed(version)
+        due = [bucket for bucket, parts in held.items() if len(parts) >= self._segments]
+        rows = news.select("*", self._bucket()).withColumn("whole", F.col("bucket").isin(due))
+        if due:
+            old = self._newest({bucket: held[bucket] for bucket in due}).join(news, self._keys, "left_anti")
+            touched = F.broadcast(rows.filter("whole").select("bucket").distinct())
+            old = old.select("*", self._bucket()).join(touched, "bucket", "left_semi").withColumn("whole", F.lit(True))
+            rows = rows.unionByName(old)
+        path = f"{self._folder.path}/version={version}"
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("whole", "bucket").parquet(path)
+        self._remove_replaced(version)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self._keys), F.lit(self._buckets)).cast("int").alias("bucket")
+
+    def _listed(self, version: int | None) -> dict[int, list[tuple[int, bool, str]]]:
+        """Per bucket its last whole segment and those after it, as (version, whole, path)."""
+        done = {v for v in self.versions() if version is None or v < version}
+        held: dict[int, list[tuple[int, bool, str]]] = {}
+        for path in self._folder.matching("version=*/whole=*/bucket=*"):
+            number, whole, bucket = re.search(r"version=(\d+)/whole=(\w+)/bucket=(\d+)$", path).groups()
+            if int(number) in done:
+                held.setdefault(int(bucket), []).append((int(number), whole == "true", path))
+        for bucket, parts in held.items():
+            parts.sort()
+            last = max((n for n, part in enumerate(parts) if part[1]), default=0)
+            held[bucket] = parts[last:]
+        return held
+
+    def _newest(self, held: dict[int, list[tuple[int, bool, str]]], only: set[int] | None = None) -> DataFrame:
+        paths = [path for bucket, parts in held.items() if only is None or bucket in only for *_, path in parts]
+        if not paths:
+            return self._spark.createDataFrame([], self._schema)
+        rows = (
+            self._spark.read.schema(f"{self._schema}, version bigint, whole boolean, bucket int")
+            .option("basePath", self._folder.path)
+            .parquet(*paths)
+        )
+        newest = first_per_key(rows, self._keys, [F.desc("version")])
+        return newest.drop("version", "whole", "bucket")
+
+    def _remove_replaced(self, version: int) -> None:
+        """Segments behind a whole one that itself is out of the newest few, once a reader had time to finish."""
+        needed = {part[2] for parts in self._listed(version - self.KEPT + 1).values() for part in parts}
+        for path in self._folder.matching("version=*/whole=*/bucket=*"):
+            number = int(re.search(r"version=(\d+)/", path)[1])
+            if number <= version - self.KEPT and path not in needed and self._folder.age_s(path) >= self._grace_s:
+                self._folder.remove(path)
+
+
 class BatchNumbers:
     """A number for every micro-batch, larger than those of all batches before it.
 

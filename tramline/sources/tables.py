@@ -11,7 +11,7 @@ from tramline import schemas
 from tramline.plans import dashboard
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.settings import DEFAULTS, Settings
-from tramline.sources.folders import Folder, VersionedTable
+from tramline.sources.folders import Folder, KeyedTable
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -57,10 +57,12 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schemas.AGENCY)
 
 
-def live_table(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> VersionedTable:
+def live_table(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> KeyedTable:
     """The latest row per vehicle, with the arrival number that decides which row is latest."""
     columns = f"arrival_seq bigint, {schemas.ddl(schemas.LIVE)}"
-    return VersionedTable(spark, path, columns, settings.version_grace_s)
+    return KeyedTable(
+        spark, path, columns, ["vehicle_id"], settings.state_buckets, settings.state_segments, settings.version_grace_s
+    )
 
 
 def read_live(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> DataFrame:

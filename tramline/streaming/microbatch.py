@@ -2,9 +2,9 @@
 
 Each micro-batch is enriched by the same plans as a batch job, with what earlier batches left
 behind added as rows: the last delay of every trip and the last position of every vehicle on
-every route. A hot trip or route is therefore split over tasks here as it is in batch. State
-is rewritten once per batch, which suits a fleet-sized state and a flush interval of a
-minute; `streaming.stateful` keeps it in a state store instead.
+every route. A hot trip or route is therefore split over tasks here as it is in batch. Of stored state a batch
+writes the rows of keys with news, and reads the buckets that may hold what it needs;
+`streaming.stateful` keeps state in a state store instead.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tramline.operators.latest import latest_per_key
 from tramline.operators.proximity import bunching_arrivals
 from tramline.plans.enrich import with_flags
 from tramline.settings import DEFAULTS, Settings
-from tramline.sources.folders import BatchNumbers, VersionedTable, run_of
+from tramline.sources.folders import BatchNumbers, KeyedTable, run_of
 from tramline.sources.tables import live_table
 from tramline.streaming.arrivals import positions_of, updates_of
 from tramline.streaming.sinks import flush_time, triggered
@@ -64,15 +64,16 @@ class BatchEnricher:
         self._spark, self._places, self._settings = spark, places, settings
         self._checkpoint = checkpoint or f"{places.checkpoints}/enrich"
         self._numbers = BatchNumbers(spark, f"{places.state}/batches")
-        self._delays = self._state("delays", schemas.TRIP_UPDATE)
-        self._last_seen = self._state("positions", schemas.POSITION)
+        self._delays = self._state("delays", schemas.TRIP_UPDATE, ["trip_id"])
+        self._last_seen = self._state("last-positions", schemas.POSITION, ["route_id", "vehicle_id"])
         self._live = live_table(spark, places.live, settings)
 
-    def _state(self, name: str, schema: schemas.T.StructType) -> VersionedTable:
-        columns = f"{schemas.ddl(schema)}, flushed bigint"
-        return VersionedTable(
-            self._spark, f"{self._places.state}/{name}", columns, self._settings.version_grace_s
-        )
+    def _state(self, name: str, schema: schemas.T.StructType, keys: list[str]) -> KeyedTable:
+        settings, columns = self._settings, f"{schemas.ddl(schema)}, flushed bigint"
+        return KeyedTable(
+            self._spark, f"{self._places.state}/{name}", columns, keys,
+            settings.state_buckets, settings.state_segments, settings.version_grace_s,
+        )
 
     def number_of(self, batch_id: int) -> int:
         taken = max([-1, *self._live.versions(), *self._delays.versions(), *self._last_seen.versions()])
@@ -90,19 +91,19 @@ class BatchEnricher:
             batch.unpersist()
 
     def enrich(self, batch: DataFrame, number: int, first: int, flushed: int) -> None:
-        def earlier(table: VersionedTable) -> DataFrame:
+        def earlier(table: KeyedTable, asked: DataFrame | None = None) -> DataFrame:
             """What was known before this batch. Messages of a slow partition can have lower
             numbers than rows already handled; those rows still count as arrived before them."""
             place = F.least("arrival_seq", F.lit(first - 1))
-            return table.before(number).withColumn("arrival_seq", place)
+            return table.before(number, asked).withColumn("arrival_seq", place)
 
         remembered = F.lit(True)
         if self._settings.state_ttl_s is not None:
             remembered = F.col("flushed") >= flushed - self._settings.state_ttl_s
-        positions = positions_of(batch, "flushed")
-        updates = earlier(self._delays).filter(remembered).unionByName(updates_of(batch, "flushed"))
+        positions, news = positions_of(batch, "flushed"), updates_of(batch, "flushed")
+        # Delays of the trips that positions ask for; the last positions of all, since any may be near.
+        updates = earlier(self._delays, positions).filter(remembered).unionByName(news)
         known = earlier(self._last_seen).filter(remembered)
-        seen = known.unionByName(positions)
 
         # Readings further than the window from every new one can bunch with none of them, so the work follows
         # the vehicles that are about and not all there ever were.
@@ -121,12 +122,11 @@ class BatchEnricher:
         folder = f"{self._places.silver}/{day:year=%Y/month=%m/day=%d}/batch={number}"
         enriched.write.mode("overwrite").parquet(folder)
 
-        self._delays.write(latest_per_key(updates, ["trip_id"]), number)
-        self._last_seen.write(latest_per_key(seen, ["route_id", "vehicle_id"]), number)
+        # Rows of this batch are newer than all that is stored, whatever their numbers.
+        self._delays.write(latest_per_key(news, ["trip_id"]), number)
+        self._last_seen.write(latest_per_key(positions, ["route_id", "vehicle_id"]), number)
         written = self._spark.read.schema(schemas.SILVER).parquet(folder)
-        vehicles = earlier(self._live).unionByName(
-            written.select("arrival_seq", *schemas.LIVE_COLUMNS)
-        )
+        vehicles = written.select("arrival_seq", *schemas.LIVE_COLUMNS)
         self._live.write(latest_per_key(vehicles, ["vehicle_id"]), number)
 
 

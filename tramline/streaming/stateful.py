@@ -1,9 +1,17 @@
 """Enrichment with keyed state in Spark's state store.
 
-Two stateful operators in one query: delays by trip, then bunching by route. Only keys with
-new messages are touched, however many trips and vehicles there have ever been. A key's rows
-of one micro-batch meet in one task, so bound the batch at the source (`maxOffsetsPerTrigger`,
-`maxFilesPerTrigger`); where single routes are still too heavy use `streaming.microbatch`.
+Three stateful operators in one query, and only keys with new messages are touched, however many trips and
+vehicles there have ever been:
+
+* `AttachDelay`, by trip, puts the last delay on every position;
+* `TrackVehicle`, by route and vehicle, puts the vehicle's position before beside it;
+* `FlagInCell`, by route and cell of place and time, remembers who is in reach of the cell.
+
+No task holds a whole route. A position is sent to its own cell, where it is compared, and as a copy to the cells
+around that it reaches into; a vehicle that has moved is taken out of the cells it no longer reaches. So
+a cell knows the last position of every vehicle that anything in it can bunch with, and work
+and state follow the vehicles in one place at one time. A key's rows of one micro-batch meet in one task,
+so bound the batch at the source (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`).
 
 The RocksDB state store has to be on: `STATE_STORE` names the setting. With `state_ttl_s` Spark
 keeps making empty batches to expire state, so a run with `once` then ends only if
@@ -18,11 +26,13 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 import tramline
 from tramline import schemas
+from tramline.operators.proximity import Grid
 from tramline.settings import DEFAULTS, Settings
 from tramline.streaming.sinks import append_parquet
 
@@ -32,12 +42,15 @@ STATE_STORE = (
 )
 
 DELAYED = StructType([f for f in schemas.SILVER.fields if f.name != "is_bunching"])
+_BEFORE = ["was_latitude", "was_longitude", "was_timestamp"]
+TRACKED = StructType([*DELAYED.fields, *[StructField(name, DoubleType()) for name in _BEFORE]])
+_PLACE = ["latitude", "longitude", "bearing", "timestamp"]
 
 
 def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """The rows of a key in arrival order. They come in chunks that are not in order."""
     rows = pd.concat(chunks, ignore_index=True)
-    keys = [name for name in ("arrival_seq", "is_position") if name in rows]
+    keys = [name for name in ("arrival_seq", "is_position", "stays") if name in rows]
     return rows.sort_values(keys, kind="stable")
 
 
@@ -65,8 +78,51 @@ class AttachDelay(StatefulProcessor):
         pass
 
 
-class FlagBunching(StatefulProcessor):
-    """Keyed by route: remembers every vehicle's last position and compares new ones to them."""
+class TrackVehicle(StatefulProcessor):
+    """Keyed by route and vehicle: puts the position before beside each, null for the first."""
+
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self._ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("place", "latitude double, longitude double, timestamp double", self._ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrivals = _in_order(rows)
+        here = arrivals[["latitude", "longitude", "timestamp"]].to_numpy("float64")
+        first = self._last.get() if self._last.exists() else (np.nan,) * 3
+        before = np.vstack([np.array([first], "float64"), here[:-1]])
+        self._last.update(tuple(float(x) for x in here[-1]))
+        yield arrivals.assign(**dict(zip(_BEFORE, before.T)))[TRACKED.names]
+
+    def close(self) -> None:
+        pass
+
+
+def cell_messages(tracked: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """What each position tells the cells: `t, y, x, stays, asks` and the position's columns.
+
+    It `stays` in the cells in its reach, and `asks` in its own who else is near; the cells that only the
+    position before had reached hear that the vehicle left. Without coordinates it counts as at 0, 0, where nothing
+    is close to it.
+    """
+    grid = Grid(settings)
+    at = lambda prefix: [F.nanvl(F.coalesce(f"{prefix}{name}", F.lit(0)).cast("double"), F.lit(0.0)) for name in ("latitude", "longitude")]
+    here = (*at(""), F.coalesce("timestamp", F.lit(0)))
+    was = (*at("was_"), F.col("was_timestamp").cast("long"))
+    reached = grid.places_in_reach(*here)
+    known = F.col("was_timestamp").isNotNull() & ~F.isnan("was_timestamp")
+    left = F.when(known, F.array_except(grid.places_in_reach(*was), reached)).otherwise(F.array_except(reached, reached))
+    home = grid.place(*here)
+    told = F.concat(
+        F.transform(reached, lambda cell: F.struct(cell.alias("cell"), F.lit(True).alias("stays"), (cell == home).alias("asks"))),
+        F.transform(left, lambda cell: F.struct(cell.alias("cell"), F.lit(False).alias("stays"), F.lit(False).alias("asks"))),
+    )
+    return tracked.select(*DELAYED.names, F.explode(told).alias("told")).select("told.cell.*", "told.stays", "told.asks", *DELAYED.names)
+
+
+class FlagInCell(StatefulProcessor):
+    """Keyed by route and cell: remembers the last position of every vehicle in reach, and compares those that ask."""
 
     def __init__(self, settings: Settings, ttl_ms: int | None = None) -> None:
         self._settings, self._ttl_ms = settings, ttl_ms
@@ -75,7 +131,7 @@ class FlagBunching(StatefulProcessor):
         self._seen = handle.getMapState(
             "last_position",
             "vehicle_id string",
-            "latitude double, longitude double, bearing double, timestamp long",
+            "latitude double, longitude double, bearing double, timestamp double",
             self._ttl_ms,
         )
 
@@ -83,25 +139,32 @@ class FlagBunching(StatefulProcessor):
         arrivals = _in_order(rows)
         row_of = {vehicle: i for i, (vehicle,) in enumerate(self._seen.keys())}
         places = np.array([tuple(p) for p in self._seen.values()], dtype="float64").reshape(-1, 4)
+        known = len(places)
         for vehicle in arrivals["vehicle_id"].unique():
             row_of.setdefault(vehicle, len(row_of))
-        # Vehicles without a position yet are far in the past, where nothing is close to them.
-        unseen = np.full((len(row_of) - len(places), 4), -np.inf)
-        places = np.concatenate([places, unseen])
+        # Vehicles that are not here are far in the past, where nothing is close to them.
+        away = np.full(4, -np.inf)
+        places = np.concatenate([places, np.tile(away, (len(row_of) - known, 1))])
 
         flags = np.zeros(len(arrivals), dtype=bool)
-        new = arrivals[["latitude", "longitude", "bearing", "timestamp"]].to_numpy("float64")
+        asks, stays = arrivals["asks"].to_numpy(bool), arrivals["stays"].to_numpy(bool)
+        new = arrivals[_PLACE].to_numpy("float64")
         for i, vehicle in enumerate(arrivals["vehicle_id"]):
             own = row_of[vehicle]
-            recent = np.abs(places[:, 3] - new[i, 3]) <= self._settings.bunching_window_s
-            recent[own] = False
-            flags[i] = self._any_close(new[i], places[recent])
-            places[own] = new[i]
+            if asks[i]:
+                recent = np.abs(places[:, 3] - new[i, 3]) <= self._settings.bunching_window_s
+                recent[own] = False
+                flags[i] = self._any_close(new[i], places[recent])
+            places[own] = new[i] if stays[i] else away
 
         for vehicle in arrivals["vehicle_id"].unique():
-            lat, lon, bearing, timestamp = places[row_of[vehicle]]
-            self._seen.updateValue((vehicle,), (lat, lon, bearing, int(timestamp)))
-        yield arrivals.assign(is_bunching=flags)[schemas.SILVER.names]
+            place = places[row_of[vehicle]]
+            if place[3] != -np.inf:
+                self._seen.updateValue((vehicle,), tuple(float(x) for x in place))
+            elif row_of[vehicle] < known:
+                self._seen.removeKey((vehicle,))
+        if asks.any():
+            yield arrivals.assign(is_bunching=flags)[asks][schemas.SILVER.names].astype({"timestamp": "int64"})
 
     def _any_close(self, here: np.ndarray, others: np.ndarray) -> bool:
         turn = np.abs(others[:, 2] - here[2]) % 360
@@ -137,8 +200,14 @@ def enrich(arrivals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         outputMode="Append",
         timeMode=_time_mode(settings),
     )
-    return delayed.groupBy("route_id").transformWithStateInPandas(
-        FlagBunching(settings, _ttl_ms(settings)),
+    tracked = delayed.groupBy("route_id", "vehicle_id").transformWithStateInPandas(
+        TrackVehicle(_ttl_ms(settings)),
+        outputStructType=TRACKED,
+        outputMode="Append",
+        timeMode=_time_mode(settings),
+    )
+    return cell_messages(tracked, settings).groupBy("route_id", "t", "y", "x").transformWithStateInPandas(
+        FlagInCell(settings, _ttl_ms(settings)),
         outputStructType=schemas.SILVER,
         outputMode="Append",
         timeMode=_time_mode(settings),
