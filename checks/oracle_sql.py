@@ -365,16 +365,39 @@ _ON_MESSAGES = {
       WHERE arrival_seq % 13 <> 0""",
     "stream_bronze_positions": "SELECT * FROM pos",
     "stream_bronze_updates": "SELECT * FROM upd",
+    "stream_buffered_updates": "SELECT * FROM upd",
+    "topic_published": """
+      SELECT 'vehicle-positions-raw' AS topic, count(*) OVER () AS sent, true AS gapless,
+             to_base64(encode(vehicle_id || '|' || trip_id || '|' || timestamp)) AS value
+      FROM pos""",
     "stream_silver": "SELECT * FROM enriched",
     "stream_live_state": _ON_FEED["live_vehicles"],
     "stream_live_keyvalue": _ON_FEED["live_vehicles_projected"],
 }
 
 
+# What is published after the first third of the arrivals, numbered as it arrives.
+_AFTER_BACKLOG = """every AS (
+  SELECT * FROM ({feed})
+),
+feed AS (
+  SELECT * REPLACE (row_number() OVER (ORDER BY arrival_seq) - 1 AS arrival_seq)
+  FROM every
+  WHERE arrival_seq >= (SELECT min(arrival_seq) + (max(arrival_seq) - min(arrival_seq) + 1) // 3 FROM every)
+)"""
+
+
+def _after_backlog(sql: str) -> str:
+    start, end = sql.index("feed AS ("), sql.index("),\npos AS")
+    whole = sql[start + len("feed AS (") : end]
+    return sql[:start] + _AFTER_BACKLOG.replace("{feed}", whole) + sql[end + 1 :]
+
+
 def statements() -> dict[str, str]:
     doubles, singles = (FEED.replace("{precision}", p) for p in ("DOUBLE", "FLOAT"))
     sql = {name: doubles + select for name, select in _ON_FEED.items()}
     sql |= {name: singles + select for name, select in _ON_MESSAGES.items()}
+    sql["stream_from_latest"] = _after_backlog(singles) + "SELECT * FROM enriched"
     for name, chosen in _TRENDS.items():
         sql[name] = doubles + f", chosen AS ({chosen})" + TREND
     return sql

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,9 @@ from tramline.plans.staging import stage_events
 from tramline.schemas import HISTORY_COLUMNS
 from tramline.session import scratch_folder
 from tramline.settings import DEFAULTS, Settings
-from tramline.sources import feed, sample, tables, topics
-from tramline.sources.folders import compact, drop_expired
-from tramline.streaming import pipeline, stateful
+from tramline.sources import feed, sample, segments, tables, topics
+from tramline.sources.folders import Folder, compact, drop_expired
+from tramline.streaming import buffered, pipeline, stateful
 from tramline.streaming.arrivals import merged
 from tramline.streaming.microbatch import Places
 
@@ -387,6 +388,18 @@ def _waves(spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame], obje
             query.awaitTermination()
 
 
+@contextmanager
+def _state_store(spark: SparkSession) -> Iterator[None]:
+    """The store that operators with state need, while a query starts."""
+    setting, provider = stateful.STATE_STORE
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _streamed(spark: SparkSession, sf: str) -> Places:
     """The whole live path, from entities to bronze, silver and the live table."""
     places = Places.under(scratch_folder(spark, "stream"))
@@ -438,21 +451,85 @@ def stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     """Silver from the two operators that keep their state in Spark's state store."""
     root = scratch_folder(spark, "stateful")
     arrived = merged(sample.positions(spark, sf), sample.trip_updates(spark, sf))
-    setting, provider = stateful.STATE_STORE
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, provider)
-    try:
+    with _state_store(spark):
         _waves(
             spark,
             arrived,
             lambda stream: stateful.start(stream, f"{root}/silver", f"{root}/checkpoint", once=True),
         )
-    finally:
-        spark.conf.set(setting, before)
     return tables.read_silver(spark, f"{root}/silver").select(schemas.SILVER.names)
 
 
+def stream_buffered_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Trip updates that wait in state until the timers of their buffers hand them on."""
+    root = scratch_folder(spark, "buffered")
+    rows = sample.trip_updates(spark, sf)
+    rows.write.parquet(f"{root}/landing")
+    stored = spark.read.schema(rows.schema).parquet(f"{root}/landing").count()
+    path = f"{root}/bronze"
+
+    def written() -> DataFrame:
+        parts = Folder(spark, path).matching("year=*/month=*/day=*/batch=*")
+        if not parts:
+            return spark.createDataFrame([], schemas.TRIP_UPDATE)
+        return spark.read.schema(schemas.TRIP_UPDATE).parquet(*parts)
+
+    with _state_store(spark):
+        quick = Settings(flush_interval="1 second")
+        stream = topics.landed_files(spark, f"{root}/landing", rows.schema)
+        query = buffered.append_buffered(stream, path, f"{root}/checkpoint", wait_s=2, shards=4, settings=quick)
+        try:
+            # The query looks for timers until it is stopped.
+            while query.isActive and written().count() < stored:
+                query.awaitTermination(1)
+        finally:
+            query.stop()
+    return written()
+
+
+def _outgoing(rows: DataFrame) -> DataFrame:
+    """The sample feed's messages as text: entities in JSON, sent at their arrival number's second."""
+    topic = F.when(F.col("entity.vehicle").isNotNull(), DEFAULTS.positions_topic).otherwise(DEFAULTS.updates_topic)
+    return rows.select(topic.alias("topic"), F.to_json("entity").alias("value"), F.timestamp_seconds("arrival_seq").alias("timestamp"))
+
+
+def topic_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Fanned-out feed messages through the publishing sink and back, with the count that publishing returned."""
+    path = scratch_folder(spark, "topics")
+    sent = segments.publish(feed.fan_out(sample.snapshots(spark, sf), DEFAULTS.positions_topic), path, partitions=3)
+    messages = segments.all_messages(spark, path, [DEFAULTS.positions_topic])
+    places = messages.groupBy("arrival.topic", "arrival.partition").agg(
+        F.count(F.lit(1)).alias("n"), F.max("arrival.offset").alias("last"), F.count_distinct("arrival.offset").alias("offsets")
+    )
+    gapless = F.bool_and((F.col("last") == F.col("n") - 1) & (F.col("offsets") == F.col("n")))
+    return messages.select(
+        F.col("arrival.topic").alias("topic"), "value", F.lit(sent).cast("long").alias("sent"), F.lit(places.agg(gapless).first()[0]).alias("gapless")
+    )
+
+
+def stream_from_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The wired job over published topics: started at the newest messages after a backlog, stopped, and started again.
+
+    Only what was published after its first start counts, though some of it was published while the job was down.
+    """
+    path, places = scratch_folder(spark, "topics"), Places.under(scratch_folder(spark, "live"))
+    rows = sample.messages(spark, sf)
+    low, high = rows.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
+    third = (high - low + 1) // 3
+    both = [DEFAULTS.positions_topic, DEFAULTS.updates_topic]
+    checkpoint = f"{places.checkpoints}/live"
+    for first, last in ((low, low + third), (low + third, low + 2 * third), (low + 2 * third, high + 1)):
+        segments.publish(_outgoing(rows.filter(F.col("arrival_seq").between(first, last - 1))), path, partitions=2)
+        messages = segments.new_messages(spark, path, both, checkpoint)
+        entity = F.from_json("value", schemas.ENTITY).alias("entity")
+        pipeline.start_live(spark, messages.select("arrival", "ingest_time", entity), places, once=True).awaitTermination()
+    return tables.read_silver(spark, places.silver).select(schemas.SILVER.names)
+
+
 QUERIES |= {
+    "stream_buffered_updates": stream_buffered_updates,
+    "topic_published": topic_published,
+    "stream_from_latest": stream_from_latest,
     "stream_bronze_positions": stream_bronze_positions,
     "stream_bronze_updates": stream_bronze_updates,
     "stream_silver": stream_silver,
