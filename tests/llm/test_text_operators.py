@@ -317,7 +317,7 @@ def test_shared_passages_leave_common_fingerprints():
 def test_edited_texts_and_the_next_document(spark, monkeypatch):
     rng = random.Random(6)
     rows = [(i, corpus.words(rng, rng.randrange(0, 60))) for i in rng.sample(range(-500, 500), 90)] + [(600, None)]
-    monkeypatch.setattr(fingerprints, "ROWS_PER_TASK", 8)
+    monkeypatch.setattr(fingerprints, "BYTES_PER_TASK", 3000)
     got = {r.doc_id: r for r in fingerprints.fingerprint_pairs(corpus.documents(spark, rows)).collect()}
     order = sorted(rows, reverse=True)
     for (doc_id, text), (_, following) in zip(order, order[1:] + order[:1]):
@@ -448,7 +448,7 @@ def test_features_equal_plain_ones(spark):
 def test_lexicon_equals_plain_counts(spark):
     rng = random.Random(8)
     pool = ["vile", "vileness", "foul", "kind", "kindly", "word", "text", "ok", "x"]
-    rows = [(" ".join(rng.choices(pool[:4] if toxic else pool[2:], k=6)), toxic) for toxic in (1, 0) for _ in range(40)]
+    rows = [(" ".join(rng.choices(pool[:4] if toxic else pool[2:], k=6)), toxic) for toxic in (1, 0) for _ in range(200)]
     lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     for entries, of in ((lexicon.words, lambda w: {w}), (lexicon.stems, lambda w: {w[:n] for n in range(3, 9) if len(w) > n})):
         counts = {}
@@ -457,7 +457,7 @@ def test_lexicon_equals_plain_counts(spark):
                 counts.setdefault(entry, [0, 0])[toxic] += 1
         want = {}
         for entry, (clean, toxic) in counts.items():
-            odds = np.log((toxic + 0.5) / 41) - np.log((clean + 0.5) / 41)
+            odds = np.log((toxic + 0.5) / 201) - np.log((clean + 0.5) / 201)
             if toxic >= 3 and odds / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)) >= toxicity.LEAST_SURE:
                 want[entry] = pytest.approx(odds)
         assert entries == want and want

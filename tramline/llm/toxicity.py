@@ -3,7 +3,7 @@
 The lexicon is learned, not given: words and word beginnings that labelled toxic texts hold far
 more often than clean ones. Three disjoint folds of the training rows serve the lexicon, the
 trees and the calibration, so that no step sees its own errors. Texts that are equal share a fold. Where labels are so
-few that a fold lacks a class, all steps learn from all of them.
+few that a fold would have next to nothing of a class, all steps learn from all of them.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ DEPTH = 4
 TOXIC_FROM = 0.7
 # Of ten hash values of a text: up to which it serves the lexicon, and the trees; the rest calibrate.
 LEXICON_FOLDS, TREE_FOLDS = 5, 8
+# Folds are for themselves if each has so many rows of either class.
+FOLD_ROWS = 50
 
 # Addressing words of the languages at hand, and look-alikes of letters.
 SECOND_PERSON = frozenset(
@@ -221,7 +223,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> T
 
     A doc_id labelled more than once is toxic if any label says so; null ids and labels are left
     out. Documents that repeat an id each count, but rows that repeat id and text count once. Where one of the three folds
-    lacks a class that others have, all three steps learn from all rows. With one class only, every score is
+    has fewer than `FOLD_ROWS` rows of a class, all three steps learn from all rows. With one class only, every score is
     that class; without labels, 0.
     """
     known = (
@@ -241,11 +243,11 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> T
         "labelled",
     )
     part = F.when(F.col("fold") < LEXICON_FOLDS, 0).when(F.col("fold") < TREE_FOLDS, 1).otherwise(2)
-    per_fold = {(r["part"], r["toxic"]) for r in labelled.select(part.alias("part"), "toxic").distinct().collect()}
+    per_fold = {(r["part"], r["toxic"]): r["count"] for r in labelled.groupBy(part.alias("part"), "toxic").count().collect()}
     classes = {toxic for _, toxic in per_fold}
     if len(classes) < 2:
         return ToxicityModel(Lexicon({}, {}), None, None, float(max(classes, default=0)))
-    shared = len(per_fold) < 6
+    shared = len(per_fold) < 6 or min(per_fold.values()) < FOLD_ROWS
     of_fold = lambda rows, only: rows if shared else rows.filter(only)
     lexicon = learn_lexicon(of_fold(labelled, F.col("fold") < LEXICON_FOLDS).select("text", "toxic"))
     rest = of_fold(labelled, F.col("fold") >= LEXICON_FOLDS).select("doc_id", "fold", F.col("toxic").cast("double").alias("toxic"), "text")
