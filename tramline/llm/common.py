@@ -119,22 +119,45 @@ def last_at_most(
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), whole, halve, lambda at: at["lo"])
 
 
+def with_parts(rows: DataFrame, keys: list[str], row: str, into: str, per_part: int | None = None) -> DataFrame:
+    """Adds `into`: 0 for rows whose `keys` few others share, else a part of about `per_part` of the rows that share them.
+
+    `row` numbers the landed rows and deals them into parts, so that one key with any share of all rows is spread. Few
+    keys can have so many rows, and only these are joined.
+    """
+    per_part = per_part or ROWS_PER_WINDOW
+    key = F.xxhash64(*keys)
+    heavy = landed(
+        rows.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_held")).filter(F.col("_held") > per_part), "heavy"
+    )
+    part = F.pmod(F.xxhash64(F.col(row)), F.ceil(F.col("_held") / F.lit(per_part)))
+    return (
+        rows.withColumn("_key", key).join(heavy, "_key", "left").withColumn(into, F.coalesce(part, F.lit(0).cast("long"))).drop("_key", "_held")
+    )
+
+
 def numbered(
     rows: DataFrame,
     within: list[str],
     order: list[str],
     into: str,
-    per_window: int = ROWS_PER_WINDOW,
+    per_window: int | None = None,
     deal: Column | None = None,
+    row: str | None = None,
 ) -> DataFrame:
     """Rows with a gapless number from 0 within the columns `within`, which are never null.
 
     No window holds a whole group: rows are dealt into buckets by `deal`, a hash of `order`, about
     `per_window` to a bucket, the buckets' counts are summed up, and rows are numbered inside
-    their bucket. Rows that agree in every column of `order` may swap numbers. `rows` is read
+    their bucket. Rows that agree in every column of `order` may swap numbers; where more of them agree
+    than a window holds, `row`, a number for every row, deals them. `rows` is read
     twice, so it should be a landed table.
     """
+    per_window = per_window or ROWS_PER_WINDOW
     hashed = F.xxhash64(*order) if deal is None else deal
+    if row:
+        rows = with_parts(rows, [*within, *order], row, "_part", per_window)
+        hashed = F.xxhash64(hashed, "_part")
     if within:
         # Landed, so that both sides of the join are plain shuffles, of which Spark splits hot keys.
         sizes = landed(rows.groupBy(*within).agg(F.count(F.lit(1)).alias("_n")), "sizes")
@@ -154,5 +177,5 @@ def numbered(
         .withColumn("_at", F.row_number().over(inside) - 1)
         .join(starts, [*within, "_bucket"])
         .withColumn(into, F.col("_before") + F.col("_at"))
-        .drop("_bucket", "_at", "_before")
+        .drop("_bucket", "_at", "_before", *(["_part"] if row else []))
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import ROWS_PER_WINDOW, WORD, code_point_key, landed
+from tramline.llm.common import ROWS_PER_WINDOW, WORD, code_point_key, landed, with_parts
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -160,8 +160,9 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, row: str | Non
     comes too and orders those that repeat a doc_id.
     """
     also = [row] if row else []
+    number = (F.col(row) if row else F.monotonically_increasing_id()).alias("_number")
     sizes = landed(
-        documents.select("doc_id", "source", code_point_key("source").alias("key"), words(F.col("text")).alias("size"), *also),
+        documents.select("doc_id", "source", code_point_key("source").alias("key"), words(F.col("text")).alias("size"), number, *also),
         "sizes",
     )
     counts = landed(sizes.groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n")), "classes")
@@ -174,8 +175,9 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, row: str | Non
     copies = landed(whole_copies(classes, rates, targets), "copies")
 
     # Copies of a source and size go to buckets of its documents in proportion, then to documents.
-    bucket = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / F.lit(ROWS_PER_WINDOW)))
-    dealt = sizes.filter("size > 0").join(copies, ["key", "size"]).withColumn("bucket", bucket)
+    bucket = F.pmod(F.xxhash64("doc_id", "part"), F.ceil(F.col("n") / F.lit(ROWS_PER_WINDOW)))
+    spread = with_parts(sizes.filter("size > 0"), ["doc_id", "key", "size"], "_number", "part").drop("_number")
+    dealt = landed(spread, "spread").join(copies, ["key", "size"]).withColumn("bucket", bucket)
     buckets = dealt.groupBy("key", "size", "bucket").agg(
         F.count(F.lit(1)).alias("here"), F.first("n").alias("n"), F.first("copies").alias("copies")
     )
@@ -197,7 +199,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, row: str | Non
         .withColumn("copies", F.expr("(own * rank) div here - (own * (rank - 1)) div here"))
         .select("doc_id", "source", "key", "size", F.col("copies").cast("long").alias("copies"), *also)
     )
-    wordless = sizes.filter("size = 0").withColumn("copies", F.lit(0).cast("long"))
+    wordless = sizes.filter("size = 0").drop("_number").withColumn("copies", F.lit(0).cast("long"))
     return (
         each.unionByName(wordless)
         .join(targets.select("key", "source_size", "target"), "key")

@@ -226,22 +226,23 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Every piece gets a place, sequences are gapless from offset 0, and no sequence is longer
     than `capacity`. Pieces of equal length are interchangeable; a hash of doc_id and piece
-    decides among them. `pieces` is read several times, so it should be a landed table. Empty
-    input gives no rows.
+    decides among them, and where many rows share these a column `row` that numbers the rows, if there is one; it is dropped. `pieces` is read several times, so it should
+    be a landed table. Empty input gives no rows.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     bins = plan_bins(histogram, capacity)
     if not bins:
-        return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+        return pieces.drop("row").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     # At most a few times `capacity` rows: every kind of bin uses up a length or halves a count.
     per_length = (
         _places(spark, bins)
         .groupBy("length")
         .agg(F.sort_array(F.collect_list(F.struct("first", "per_bin", "sequence", "base"))).alias("places"))
     )
-    ranked = numbered(pieces, ["length"], ["doc_id", "piece", "start"], "rank")
-    return _placed(ranked.join(F.broadcast(per_length), "length"), pieces.columns)
+    columns = [name for name in pieces.columns if name != "row"]
+    ranked = numbered(pieces, ["length"], ["doc_id", "piece", "start"], "rank", row="row" if "row" in pieces.columns else None)
+    return _placed(ranked.join(F.broadcast(per_length), "length"), columns)
 
 
 def _placed(ranked: DataFrame, columns: list[str]) -> DataFrame:
@@ -267,5 +268,5 @@ def sequences(packed: DataFrame) -> DataFrame:
 def packed_documents(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of `documents` with its place: `doc_id, piece, start, length, ids_crc32, sequence_id, offset`."""
     pieces = token_pieces(documents, tokenizer or public_tokenizer(), capacity)
-    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), F.monotonically_increasing_id().alias("row"))
     return pack(landed(digests, "pieces"), capacity)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import ROWS_PER_WINDOW, landed, last_at_most, numbered
+from tramline.llm.common import ROWS_PER_WINDOW, landed, last_at_most, numbered, with_parts
 
 SHARDS = 16
 ROUNDS = 10
@@ -80,17 +80,17 @@ def _admitted(wishes: DataFrame, loads: DataFrame, capacity: int) -> DataFrame:
 
 
 def propagate(members: DataFrame, capacity: int, shards: int = SHARDS) -> DataFrame:
-    """Adds `label` to linked rows with `doc_id` and `group`: labels few groups are split over."""
-    labels = landed(members.withColumn("label", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")), "labels")
+    """Adds `label` to linked rows with `who` and `group`: labels few groups are split over. `who` is a hash that few rows share."""
+    labels = landed(members.withColumn("label", F.pmod("who", F.lit(shards)).cast("int")), "labels")
     linked = labels.count()
     for number in range(ROUNDS if linked else 0):
-        chosen = F.filter("targets", lambda t: t["upto"] > _draw("doc_id", F.lit(-1 - number)))
+        chosen = F.filter("targets", lambda t: t["upto"] > _draw("who", F.lit(-1 - number)))
         nominated = landed(nominations(labels, capacity), "nominated")
         wishes = labels.join(nominated, ["group", "label"], "left")
         wishes = landed(wishes.withColumn("to", F.get(chosen, F.lit(0))["label"]).drop("targets"), "wishes")
         loads = wishes.groupBy("label").agg(F.count(F.lit(1)).alias("load"))
         granted = _admitted(wishes.filter(F.col("to").isNotNull()), loads, capacity)
-        moves = F.col("share").isNotNull() & (_draw("doc_id", F.lit(number)) < F.col("share"))
+        moves = F.col("share").isNotNull() & (_draw("who", F.lit(number)) < F.col("share"))
         stepped = wishes.join(F.broadcast(granted), ["label", "to"], "left").withColumn("moves", moves)
         labels = landed(
             stepped.withColumn("label", F.when(F.col("moves"), F.col("to")).otherwise(F.col("label"))).drop("to", "share"),
@@ -116,18 +116,20 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.unhex(F.sha2(text, 256)).alias("group"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "rows",
     )
     total = rows.count()
     # Landed, so that both sides of the join are plain shuffles, of which Spark splits hot groups.
     groups = landed(rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "groups")
-    counted = landed(rows.join(groups, "group", "left").fillna(1, "members"), "counted")
+    counted = with_parts(rows.join(groups, "group", "left").fillna(1, "members"), ["doc_id"], "row", "part")
+    counted = landed(counted.withColumn("who", F.xxhash64("doc_id", "part")).drop("part"), "counted")
     capacity = max(1, total // shards)
     linked = propagate(counted.filter("members > 1"), capacity, shards)
 
     # Rows of one group are numbered one after the other, so a full shard gives up whole groups.
-    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / F.lit(ROWS_PER_WINDOW)))
+    part = F.pmod(F.xxhash64("row"), F.ceil(F.col("members") / F.lit(ROWS_PER_WINDOW)))
     order = ["group", "doc_id", "size"]
     placed = landed(
         numbered(linked, ["label"], order, "slot", deal=F.xxhash64("group", part)).withColumn(
@@ -138,9 +140,8 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     kept = placed.filter("slot < limit").withColumn("shard", F.col("label"))
     columns = ["doc_id", "size", "text_crc32", "group", "shard", "slot"]
     pool = landed(
-        counted.filter("members = 1").select("doc_id", "size", "text_crc32", "group").unionByName(
-            placed.filter("slot >= limit").select("doc_id", "size", "text_crc32", "group")
-        ),
+        counted.filter("members = 1").unionByName(placed.filter("slot >= limit"), allowMissingColumns=True)
+        .select("doc_id", "size", "text_crc32", "group", part.alias("part")),
         "pool",
     )
     held = {r["shard"]: r["count"] for r in kept.groupBy("shard").count().collect()}
@@ -150,7 +151,7 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         upto += total // shards + (shard < total % shards) - held.get(shard, 0)
     shard = last_at_most(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("rank"))
     filled = (
-        numbered(pool, [], order, "rank", deal=F.xxhash64("group", F.lit(1)))
+        numbered(pool, [], order, "rank", deal=F.xxhash64("group", "part"))
         .withColumn("shard", shard)
         .withColumn("slot", F.col("rank") - F.get(F.array(*[F.lit(s - held.get(n, 0)).cast("long") for n, s in enumerate(starts)]), "shard"))
     )
