@@ -8,20 +8,23 @@ smallest is kept, the rightmost of equals, with its position. Any passage of
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import in_slices, last_at_most, ship_package
+from tramline.llm.common import in_slices, ship_package
 
 GRAM = 8
 WINDOW = 16
-ROWS_PER_TASK = 4096
-# Ranges of doc_id never exceed this number; beyond it tasks grow instead.
-MOST_TASKS = 10_000
+# Ranges of doc_id are put together, until they hold so many bytes, from finer ones that hold equally many rows.
+BYTES_PER_TASK = 16 << 20
+FINE = 8
+# Ranges never exceed this number; beyond it tasks grow instead.
+MOST_TASKS = 20_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -103,43 +106,64 @@ def fingerprint_pairs(documents: DataFrame) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness.
 
     The following document is the one with the next smaller doc_id, after the last the first.
-    Documents are dealt into ranges of doc_id and streamed in order; the first document of each
-    range is sent to the range before it too, so one shuffle of the texts is enough. Null texts
-    are empty. Equal doc_ids go by text, and a null doc_id comes last.
+    Documents are dealt into ranges of doc_id, one a task and of about as many bytes each, and streamed in order; the first
+    document of each range is sent to the range before it too, so one shuffle of the texts is enough. Null texts
+    are empty. Equal doc_ids go by text and stay in one range, and a null doc_id comes last.
     """
-    ship_package(documents.sparkSession)
+    spark = documents.sparkSession
+    ship_package(spark)
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    keys = rows.select("key")
-    number = keys.count()
-    tasks = max(1, min(MOST_TASKS, -(-number // ROWS_PER_TASK)))
-    cuts = keys.agg(F.percentile_approx("key", [i / tasks for i in range(1, tasks)] or [1.0], 20 * tasks)).first()[0]
-    ranged = F.lit(0) if tasks == 1 or not cuts else last_at_most(F.array(*map(F.lit, sorted(set(cuts)))), F.col("key")) + 1
-    firsts = {r["range"]: r["first"] for r in keys.groupBy(ranged.alias("range")).agg(F.max("key").alias("first")).collect()}
-    order = sorted(firsts)
-    # At most MOST_TASKS rows: who is sent where besides its own range.
-    sent = [(firsts[here], order[(at + 1) % len(order)]) for at, here in enumerate(order)]
-    also = documents.sparkSession.createDataFrame(sent, "key long, also int")
+    keys = rows.select("key", (F.octet_length("text") + 1).cast("long").alias("bytes"))
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, min(MOST_TASKS, -(-total // BYTES_PER_TASK)))
+    fine = FINE * tasks
+    cuts = keys.agg(F.percentile_approx("key", [i / fine for i in range(1, fine)], 5 * fine)).first()[0] or []
+    fine_range = _range_of(spark, sorted(set(cuts)))
+    held = keys.groupBy(fine_range("key").alias("fine")).agg(F.max("key").alias("last"), F.sum("bytes").alias("bytes"))
+    # From the largest keys down; a range ends where the next fine one would make it too large. At most FINE * MOST_TASKS rows.
+    ends, firsts, used = [], [], 0
+    for row in held.orderBy(F.desc("fine")).collect():
+        if not firsts or used + row["bytes"] > max(BYTES_PER_TASK, total // tasks):
+            firsts.append(row["last"])
+            used = 0
+        used += row["bytes"]
+    ends = sorted(firsts)
+    ranged = _range_of(spark, ends)
+    # Who is sent where besides its own range: the first of each to the range before it, in descending order.
+    sent = [(first, len(ends) - 1 - (at - 1) % len(ends)) for at, first in enumerate(firsts)]
+    also = spark.createDataFrame(sent, "key long, also int")
     places = F.array_compact(
         F.array(
-            F.struct(ranged.cast("int").alias("range"), F.lit(0).alias("guest")),
+            F.struct(F.col("range"), F.lit(0).alias("guest")),
             F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("range"), F.lit(1).alias("guest"))),
         )
     )
     dealt = (
-        rows.join(F.broadcast(also), "key", "left")
+        rows.withColumn("range", ranged("key")).join(F.broadcast(also), "key", "left")
         .select("doc_id", "key", "text", F.explode(places).alias("place"))
         .select("doc_id", "key", "text", "place.range", "place.guest")
-        .repartition(tasks, "range")
+        .repartitionById(max(1, len(ends)), F.col("range"))
         .sortWithinPartitions("range", "guest", F.desc("key"), "text")
         .select("doc_id", "range", "guest", "text")
     )
     return dealt.mapInArrow(_streamed, _OUT)
 
 
+def _range_of(spark: SparkSession, upper: list[int]) -> Callable[[str], Column]:
+    """The number of the first of the ascending `upper` that is not below a key; those above all go to the last."""
+    shared = spark.sparkContext.broadcast(np.array(upper, np.int64))
+
+    @F.pandas_udf("int")
+    def place(key: pd.Series) -> pd.Series:
+        return pd.Series(np.minimum(np.searchsorted(shared.value, key.to_numpy()), max(0, len(shared.value) - 1)).astype(np.int32))
+
+    return place
+
+
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = [field.split()[0] for field in _OUT.split(", ")]
