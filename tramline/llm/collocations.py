@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,11 +32,13 @@ UNKNOWN = "und"
 
 # Words counted together in memory, words whose n-grams share a range on average, and phrases looked up together.
 WORDS_AT_ONCE = 1 << 21
-WORDS_OF_RANGE = 1 << 21
+WORDS_OF_RANGE = 1 << 22
 PHRASES_OF_RANGE = 1 << 17
 # A range holds phrases by a hash of this many first words.
 PREFIX = 3
 FILTER_BITS = 1 << 26
+# Parts of a language that are ranked by themselves first.
+PARTS = 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Characters that end a piece.
@@ -47,7 +48,8 @@ _MARK = b"\xff"
 _SPLIT = bytes.maketrans(bytes(range(65, 91)) + _ENDS, bytes(range(97, 123)) + _MARK * len(_ENDS))
 _END = 0
 
-_TRANSDUCER = "range int, langs array<string>, names array<string>, labels array<array<long>>, parents array<array<int>>, weights array<long>"
+# Labels are numbers of `kinds`, and each state has the number of its arcs: both are far smaller than hashes and states.
+_TRANSDUCER = "range int, langs array<string>, names array<string>, kinds array<long>, labels array<array<int>>, degrees array<array<int>>, weights array<int>"
 _PHRASE = "lang string, words array<long>, size int, n long, hash long, name string"
 
 
@@ -167,45 +169,55 @@ class _Shard:
         self.held += len(hashes)
 
     def grams(self, size: int, frequent: np.ndarray | None, ranges: int) -> Iterator[dict]:
-        """A row per range of prefixes: the n-grams of `size` words whose parts may be frequent."""
+        """A row per range of prefixes: the n-grams of `size` words whose parts may be frequent. Where names are wanted, rows of
+        further ranges have those of the words in them."""
         words, langs = np.concatenate(self.words), np.concatenate(self.langs)
         # Where size words follow before the piece ends.
         ends = np.flatnonzero(words == _MARK_HASH)
         left = ends[np.searchsorted(ends, np.arange(len(words)))] - np.arange(len(words))
         at = np.flatnonzero(left >= size)
+        del left, ends
         if size > 1:
             for first in (0, 1):
                 at = at[in_filter(frequent, _phrase_hashes([langs[at], *(words[at + first + n] for n in range(size - 1))]))]
         if not len(at):
             return
-        paths = np.stack([langs[at], *(words[at + n] for n in range(size))], axis=1)
-        range_of = np.mod(_phrase_hashes([paths[:, n] for n in range(min(size, PREFIX) + 1)]), np.int64(ranges))
+        range_of = np.mod(_phrase_hashes([langs[at], *(words[at + n] for n in range(min(size, PREFIX)))]), np.int64(ranges))
         order = np.argsort(range_of, kind="stable")
-        names = None
+        for part in np.split(order, np.flatnonzero(np.diff(range_of[order])) + 1):
+            here = at[part]
+            paths = np.stack([langs[here], *(words[here + n] for n in range(size))], axis=1)
+            yield _as_row(int(range_of[part[0]]), list(self.lang_names), CountTransducer.of(paths, np.ones(len(paths), np.int64)))
         if self.names is not None:
+            used = np.unique(np.concatenate([words[at + n] for n in range(size)]))
             names = sorted(self.names - {_MARK})
-            hashes = raw_word_hashes(names)[0].view(np.int64) if names else np.zeros(0, np.int64)
-            by_hash = np.argsort(hashes)
-            names, hashes = [names[n].decode() for n in by_hash.tolist()], hashes[by_hash]
-        for part in np.split(order, np.flatnonzero(np.diff(range_of[order])) + 1):
-            transducer = CountTransducer.of(paths[part], np.ones(len(part), np.int64))
-            own = [names[n] for n in np.searchsorted(hashes, np.unique(transducer.labels[1])).tolist()] if names is not None else None
-            yield {
-                "range": int(range_of[part[0]]), "langs": list(self.lang_names), "names": own,
-                "labels": transducer.labels, "parents": transducer.parents, "weights": transducer.weights,
-            }
+            hashes = raw_word_hashes(names)[0].view(np.int64)
+            for n in range(ranges):
+                mine = np.flatnonzero(np.isin(hashes, used[np.mod(used, np.int64(ranges)) == n])).tolist()
+                if mine:
+                    yield {"range": ranges + n, "names": [names[i].decode() for i in mine]}
+
+
+def _as_row(number: int, langs: list[str], t: CountTransducer) -> dict:
+    kinds = np.unique(np.concatenate(t.labels))
+    above = [1, *(len(labels) for labels in t.labels[:-1])]
+    return {
+        "range": number, "langs": langs, "kinds": kinds, "labels": [np.searchsorted(kinds, labels).astype(np.int32) for labels in t.labels],
+        "degrees": [np.bincount(parents, minlength=n).astype(np.int32) for parents, n in zip(t.parents, above)],
+        "weights": t.weights.astype(np.int32),
+    }
 
 
 _ARROW = pa.schema([
-    ("range", pa.int32()), ("langs", pa.list_(pa.string())), ("names", pa.list_(pa.string())),
-    ("labels", pa.list_(pa.list_(pa.int64()))), ("parents", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.int64())),
+    ("range", pa.int32()), ("langs", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("kinds", pa.list_(pa.int64())),
+    ("labels", pa.list_(pa.list_(pa.int32()))), ("degrees", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.int32())),
 ])
 
 
 def shard_transducers(texts: DataFrame, size: int, frequent: np.ndarray | None, ranges: int) -> DataFrame:
     """The n-grams of `size` words of `texts` (`lang, text`), one transducer for each shard and range of prefixes.
 
-    Labels are hashes; single words have their names beside them, in the order of the hashes.
+    Labels are hashes. Pairs come with the names of their words, since each word of a longer frequent phrase is in a frequent pair.
     """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
@@ -214,12 +226,12 @@ def shard_transducers(texts: DataFrame, size: int, frequent: np.ndarray | None,
             for row in shard.grams(size, shared.value, ranges):
                 yield pa.RecordBatch.from_pylist([row], _ARROW)
 
-        shard = _Shard(named=size == 1)
+        shard = _Shard(named=size == 2)
         for batch in in_slices(batches, 128):
             shard.add(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
             if shard.held >= WORDS_AT_ONCE:
                 yield from flush(shard)
-                shard = _Shard(named=size == 1)
+                shard = _Shard(named=size == 2)
         if shard.held:
             yield from flush(shard)
 
@@ -227,36 +239,44 @@ def shard_transducers(texts: DataFrame, size: int, frequent: np.ndarray | None,
 
 
 def _transducers(pieces: pa.Table) -> list[CountTransducer]:
-    inner = lambda lists: [part.values.to_numpy(zero_copy_only=False) for part in lists.values]
-    columns = [pieces.column(name) for name in ("labels", "parents", "weights")]
-    return [
-        CountTransducer(inner(labels), inner(parents), weights.values.to_numpy(zero_copy_only=False))
-        for labels, parents, weights in zip(*columns)
-    ]
-
-
-def frequent_phrases(shards: DataFrame, fewest: int) -> DataFrame:
-    """`lang, words, size, n, hash, name` of the phrases that occur at least `fewest` times in all shards; words are hashes,
-    and single words have their name. A row with null words has the sum over all phrases of a language and range."""
-
-    def united(_: tuple, pieces: pa.Table) -> pa.Table:
+    plain = lambda values: values.to_numpy(zero_copy_only=False)
+    out = []
+    for kinds, labels, degrees, weights in zip(*(pieces.column(name) for name in ("kinds", "labels", "degrees", "weights"))):
+        known = plain(kinds.values)
+        arcs = [plain(part.values) for part in degrees.values]
+        out.append(
+            CountTransducer(
+                [known[plain(part.values)] for part in labels.values],
+                [np.repeat(np.arange(len(counts), dtype=np.int32), counts) for counts in arcs], plain(weights.values).astype(np.int64),
+            )
+        )
+    return out
+
+
+def frequent_phrases(shards: DataFrame, fewest: int, ranges: int) -> DataFrame:
+    """`lang, words, size, n, hash, name` of the phrases that occur at least `fewest` times in all shards; words are hashes.
+    Rows of size 0 are names of words, by their hash; rows with null words have the sum over all phrases of a language and range."""
+
+    def named(pieces: pa.Table) -> dict[str, pa.Array]:
+        names = sorted({name for names in pieces.column("names").to_pylist() for name in names})
+        none = pa.nulls(len(names))
+        hashes = raw_word_hashes([name.encode() for name in names])[0].view(np.int64)
+        return {
+            "lang": none.cast(pa.string()), "words": none.cast(pa.list_(pa.int64())), "size": pa.array([0] * len(names), pa.int32()),
+            "n": none.cast(pa.int64()), "hash": pa.array(hashes), "name": pa.array(names, pa.string()),
+        }
+
+    def united(key: tuple, pieces: pa.Table) -> pa.Table:
+        if key[0].as_py() >= ranges:
+            return pa.table(named(pieces))
         lang_names = sorted({lang for langs in pieces.column("langs").to_pylist() for lang in langs})
         lang_of = dict(zip(_hash_of(lang_names).tolist(), lang_names))
-        parts = _transducers(pieces)
-        whole = CountTransducer.union(parts)
+        whole = CountTransducer.union(_transducers(pieces))
         size = len(whole.labels) - 1
-        paths = whole.paths()
-        langs, lang_at = np.unique(paths[:, 0], return_inverse=True)
+        langs, lang_at = np.unique(whole.paths()[:, 0], return_inverse=True)
         totals = np.bincount(lang_at, whole.weights, len(langs)).astype(np.int64)
         often = whole.at_least(fewest)
         paths = often.paths()
-        name_of: dict[int, str] = {}
-        if size == 1:
-            wanted = pa.array(np.unique(paths[:, 1]))
-            for part, names in zip(parts, pieces.column("names")):
-                known = pa.table({"hash": np.unique(part.labels[1]), "name": names.values})
-                known = known.filter(pc.is_in(known.column("hash"), wanted))
-                name_of.update(zip(known.column("hash").to_pylist(), known.column("name").to_pylist()))
         none = [None] * len(totals)
         return pa.table({
             "lang": pa.array([lang_of[n] for n in [*paths[:, 0].tolist(), *langs.tolist()]], pa.string()),
@@ -264,7 +284,7 @@ def frequent_phrases(shards: DataFrame, fewest: int) -> DataFrame:
             "size": pa.array([size] * (len(paths) + len(totals)), pa.int32()),
             "n": pa.array([*often.weights.tolist(), *totals.tolist()], pa.int64()),
             "hash": pa.array([*_phrase_hashes([np.ascontiguousarray(c) for c in paths.T]).tolist(), *none], pa.int64()),
-            "name": pa.array([*(name_of.get(n) for n in paths[:, 1].tolist()), *none], pa.string()),
+            "name": pa.nulls(len(paths) + len(totals), pa.string()),
         })
 
     return shards.groupBy("range").applyInArrow(united, _PHRASE)
@@ -310,14 +330,14 @@ def collocations(
     ranges = max(1, -(-held // (6 * WORDS_OF_RANGE)))
     levels, filters = [], None
     for size in range(1, longest + 1):
-        level = frequent_phrases(shard_transducers(texts, size, filters, ranges), fewest)
+        level = frequent_phrases(shard_transducers(texts, size, filters, ranges), fewest, ranges)
         levels.append(landed(level, f"phrases-{size}"))
         if size < longest:
-            filters = bit_filter(levels[-1].filter("hash is not null").select("hash"), FILTER_BITS)
+            filters = bit_filter(levels[-1].filter("words is not null").select("hash"), FILTER_BITS)
             if not filters.any():
                 break
-    totals = landed(levels[0].filter("words is null").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    names = levels[0].filter("words is not null").select("lang", F.get("words", F.lit(0)).alias("word"), "name")
+    totals = landed(levels[0].filter("words is null and size = 1").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    names = levels[min(1, len(levels) - 1)].filter("size = 0").select(F.col("hash").alias("word"), "name")
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.unionByName(level)
@@ -345,13 +365,18 @@ def collocations(
         .agg(F.min(F.struct("score", "cut", "a", "l", "r", F.col("total").alias("n"))).alias("weakest"))
     )
     spelled = (
-        weakest.select("lang", "words", "weakest", F.posexplode("words").alias("at", "word")).join(names, ["lang", "word"])
+        weakest.select("lang", "words", "weakest", F.posexplode("words").alias("at", "word")).join(names, "word")
         .groupBy("lang", "words")
         .agg(F.first("weakest").alias("weakest"), F.array_sort(F.collect_list(F.struct("at", "name"))).alias("spelled"))
         .select("lang", "weakest", F.array_join(F.transform("spelled", lambda s: s["name"]), " ").alias("phrase"))
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("weakest.score"), F.desc("weakest.a"), "phrase")
+    order = [F.desc("weakest.score"), F.desc("weakest.a"), F.col("phrase")]
+    # Ranked in parts first, so that one task gets the best of each part of a language only.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    best = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    best_of_part = F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))
     return (
-        spelled.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
+        spelled.withColumn("rank", best_of_part).filter(F.col("rank") <= most)
+        .withColumn("rank", best).filter(F.col("rank") <= most)
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *[f"weakest.{name}" for name in ("a", "l", "r", "n", "score")])
     )
