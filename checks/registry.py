@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline import schemas
-from tramline.functions import geo, labels
+from tramline.functions import catalog, geo, labels
 from tramline.functions.clock import partition_keys
 from tramline.operators.arrival import numbered
 from tramline.operators.last_known import attach_delay
 from tramline.operators.proximity import flag_bunching
-from tramline.plans import dashboard, history, marts, quality
+from tramline.plans import daily, dashboard, gate, history, marts, quality
 from tramline.plans.enrich import enrich
 from tramline.plans.staging import stage_events
 from tramline.schemas import HISTORY_COLUMNS
@@ -373,6 +373,84 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# --- gold by day, the gate, and plain SQL -----------------------------------------------
+
+
+def _daily(spark: SparkSession, sf: str) -> daily.DailyGold:
+    """Gold of every day of the sample, each built from the events of that day alone."""
+    root = scratch_folder(spark, "daily")
+    staged(spark, sf).withColumn("event_day", daily.day_of(F.col("event_time"))).write.partitionBy("event_day").parquet(f"{root}/staged")
+    gold = daily.DailyGold(spark, f"{root}/gold")
+    for path in Folder(spark, f"{root}/staged").matching("event_day=*"):
+        gold.build_day(spark.read.parquet(path), path.rpartition("=")[2])
+    return gold
+
+
+def daily_busiest_routes(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily(spark, sf).busiest_routes()
+
+
+def daily_operator_performance(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily(spark, sf).operator_performance(sample.agencies(spark))
+
+
+def daily_headway_adherence(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily(spark, sf).headway_adherence()
+
+
+def gate_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged events in three batches, one of them spoiled by events without a vehicle: what readers see of them."""
+    path, rows = scratch_folder(spark, "gate"), staged(spark, sf)
+    third = F.pmod(F.substring("vehicle_id", 5, 10).cast("int"), F.lit(3))
+    for batch in range(3):
+        part = rows.filter(third == batch)
+        if batch == 1:
+            part = part.withColumn("vehicle_id", F.when(F.col("delay_seconds") == 0, F.lit(None)).otherwise(F.col("vehicle_id")))
+        gate.publish_batch(part, path, str(batch))
+    return gate.published(spark, path, schemas.ddl(rows.schema))
+
+
+def _in_sql(spark: SparkSession, sf: str, query: str) -> DataFrame:
+    """A query written in SQL alone, over a view of the positions and one of the staged events."""
+    sample.positions(spark, sf).createOrReplaceTempView("tramline_positions")
+    staged(spark, sf).createOrReplaceTempView("tramline_staged")
+    catalog.register(spark, "tramline_staged")
+    return spark.sql(query)
+
+
+def sql_route_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_sql(spark, sf, """
+        SELECT route_id, route_agency(route_id) AS agency_id, route_short(route_id) AS route_short_name, count(*) AS readings
+        FROM tramline_positions GROUP BY route_id""")
+
+
+def sql_haversine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    lat, lon, _ = DEFAULTS.default_view
+    return _in_sql(spark, sf, f"""
+        SELECT arrival_seq, round(distance_m({lat}D, {lon}D, latitude, longitude), 3) AS from_centre_m
+        FROM tramline_positions""")
+
+
+def sql_bearing_diff(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_sql(spark, sf, "SELECT arrival_seq, bearing_gap(350D, bearing) AS gap_deg FROM tramline_positions")
+
+
+def sql_busiest_routes(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_sql(spark, sf, "SELECT * FROM busiest(0)")
+
+
+QUERIES |= {
+    "daily_busiest_routes": daily_busiest_routes,
+    "daily_operator_performance": daily_operator_performance,
+    "daily_headway_adherence": daily_headway_adherence,
+    "gate_published": gate_published,
+    "sql_route_split": sql_route_split,
+    "sql_haversine_pairs": sql_haversine_pairs,
+    "sql_bearing_diff": sql_bearing_diff,
+    "sql_busiest_routes": sql_busiest_routes,
+}
+
+
 # --- streams: the same rows, landed in two waves and taken up by restarted queries ------
 
 

@@ -109,7 +109,7 @@ def _first_seen(staged: DataFrame) -> DataFrame:
     )
 
 
-def _departures(first_seen: DataFrame) -> DataFrame:
+def departures(first_seen: DataFrame) -> DataFrame:
     """One row per route and second in which trips were first seen, with the gap before it.
 
     `trips` trips share the second; `leading_trip` is the one that gets the gap, the others
@@ -118,7 +118,7 @@ def _departures(first_seen: DataFrame) -> DataFrame:
     before is carried in.
     """
     keys = ["route_short_name"]
-    departures = (
+    seconds = (
         first_seen.withColumn("second", wall_seconds(F.col("first_seen_at")))
         .filter(F.col("second").isNotNull())
         .groupBy(*keys, "second")
@@ -126,14 +126,14 @@ def _departures(first_seen: DataFrame) -> DataFrame:
         .withColumn("day", block_start(F.col("second"), SECONDS_PER_DAY))
     )
     carried = (
-        departures.groupBy(*keys, "day")
+        seconds.groupBy(*keys, "day")
         .agg(F.max("second").alias("last_second"))
         .select(*keys, "day", F.lag("last_second").over(blocks_of(keys, "day")).alias("second"))
         .filter(F.col("second").isNotNull())
     )
     previous = F.lag("second").over(Window.partitionBy(*keys, "day").orderBy("second"))
     return (
-        with_carried(departures, carried)
+        with_carried(seconds, carried)
         .withColumn("gap_seconds", F.col("second") - previous)
         .filter(~F.col("carried"))
         .select(*keys, "second", "trips", "leading_trip", "gap_seconds")
@@ -143,7 +143,7 @@ def _departures(first_seen: DataFrame) -> DataFrame:
 def headway_gaps(staged: DataFrame) -> DataFrame:
     """Every trip with the seconds since the trip before it on its route; none without a time."""
     first_seen = _first_seen(staged).withColumn("second", wall_seconds(F.col("first_seen_at")))
-    gaps = _departures(_first_seen(staged)).select(
+    gaps = departures(_first_seen(staged)).select(
         F.col("route_short_name").alias("g_route"),
         F.col("second").alias("g_second"),
         "leading_trip",
@@ -168,18 +168,24 @@ def headway_adherence(staged: DataFrame, settings: Settings = DEFAULTS) -> DataF
     Gaps are whole seconds, so count, sum and sum of squares are kept exactly and the sample
     deviation comes out the same however the rows were split over tasks.
     """
+    sums = departures(_first_seen(staged)).groupBy("route_short_name").agg(*gap_sums(settings))
+    return adherence(sums, settings)
+
+
+def gap_sums(settings: Settings = DEFAULTS) -> list[Column]:
+    """Aggregates over `departures`: the number of gaps, their sum and sum of squares."""
     # Trips sharing a second add `trips - 1` gaps of zero; the leading trip adds the real gap.
     kept = F.col("gap_seconds") < settings.headway_break_s
     gap = F.when(kept, F.col("gap_seconds"))
-    sums = (
-        _departures(_first_seen(staged))
-        .groupBy("route_short_name")
-        .agg(
-            F.sum(F.col("trips") - 1 + F.when(kept, 1).otherwise(0)).alias("trip_count"),
-            F.coalesce(F.sum(gap), F.lit(0)).alias("gap_sum"),
-            F.coalesce(F.sum(gap * gap), F.lit(0)).alias("square_sum"),
-        )
-    )
+    return [
+        F.sum(F.col("trips") - 1 + F.when(kept, 1).otherwise(0)).alias("trip_count"),
+        F.coalesce(F.sum(gap), F.lit(0)).alias("gap_sum"),
+        F.coalesce(F.sum(gap * gap), F.lit(0)).alias("square_sum"),
+    ]
+
+
+def adherence(sums: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The gold table from one row of `gap_sums` per route."""
     n, total, squares = (
         F.col(name).cast("decimal(19,0)") for name in ("trip_count", "gap_sum", "square_sum")
     )
