@@ -2,7 +2,8 @@
 
 Each layer is landed as Parquet once, as the jobs do it, and every plan is timed over the layer it
 reads in production; nothing is cached between plans or runs. A figure is the median of the timed
-runs after one warm-up run. `layers` has the seconds it took to land each layer.
+runs after one warm-up run. `layers` has the seconds it took to land each layer, and `raw` those of one run of
+each plan as a whole, from the raw table, the measure of earlier baselines.
 
     BENCH_SF_DIR  tables, default /root/testdata/sf0.1
     BENCH_CPUS    cores, default all
@@ -102,6 +103,7 @@ def main() -> None:
     for name, plan in plans.items():
         run(plan)
         times[name] = round(statistics.median(run(plan) for _ in range(runs)), 3)
+    raw = {name: round(run(lambda name=name: QUERIES[name](spark, tables)), 3) for name in times if layers}
     print(
         json.dumps(
             {
@@ -111,6 +113,9 @@ def main() -> None:
                 "queries": times,
                 "sf": tables.rstrip("/").rsplit("sf", 1)[-1],
                 "layers": layers,
+                "landing": round(sum(layers.values()), 3),
+                "raw": raw,
+                "raw_total": round(sum(raw.values()), 3),
                 "cores": spark.sparkContext.defaultParallelism,
             }
         )

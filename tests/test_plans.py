@@ -177,12 +177,12 @@ def board(spark, agencies):
     rows = live(
         spark,
         [
-            ("a", "1_x", -33.0, 151.0, 0, True),
-            ("b", "1_x", -34.0, 152.0, 400, False),
-            ("c", "2_y", -33.5, 151.5, 101, False),
-            ("d", "3_x", -33.5, 151.5, 100, False),
+            ("a", "1_x", 47.0, 8.0, 0, True),
+            ("b", "1_x", 47.5, 9.5, 400, False),
+            ("c", "2_y", 47.2, 8.6, 101, False),
+            ("d", "3_x", 47.2, 8.6, 100, False),
             ("e", "2_y", 0.0, 0.0, 9999, True),
-            ("f", "2_y", 0.0, 151.0, 4, None),
+            ("f", "2_y", 0.0, 8.0, 4, None),
         ],
     )
     return dashboard.board_rows(rows, agencies)
@@ -251,8 +251,8 @@ def test_options(board):
 def test_view_fits_the_rows(spark, board):
     frame = board.filter(F.col("vehicle_id").isin("a", "b"))
     row = dashboard.view_bounds(frame).first()
-    assert (row.latitude, row.longitude) == (-33.5, 151.5)
-    assert row.zoom == pytest.approx(7.1135, abs=1e-3)
+    assert (row.latitude, row.longitude) == (47.25, 8.75)
+    assert row.zoom == pytest.approx(7.5284, abs=1e-3)
     assert tuple(dashboard.view_bounds(frame.limit(0)).first()) == (-33.87, 151.21, 9.0)
     one_place = dashboard.view_bounds(frame.limit(1), padding=1.1, min_spread=0.003).first()
     assert one_place.zoom == pytest.approx(15.7353, abs=1e-3)
