@@ -30,10 +30,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+# The setting, what it is where nothing is set, and what it becomes.
+_BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m")
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they run."""
+    """Let Python workers import this package wherever they run, and hand them texts in batches of few bytes.
+
+    Spark's own bound on a batch is 64 MB, which a task holds several times over, in the JVM and in its worker. A bound
+    that the session has set stays.
+    """
+    if spark.conf.get(_BATCH_BYTES[0]) == _BATCH_BYTES[1]:
+        spark.conf.set(_BATCH_BYTES[0], _BATCH_BYTES[2])
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
