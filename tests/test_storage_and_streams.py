@@ -286,6 +286,14 @@ def test_a_keyed_table_holds_the_newest_row_of_every_key(spark, tmp_path):
     assert len(Folder(spark, str(tmp_path / "k")).matching("version=*/whole=*/bucket=*")) <= 4 * (3 + KeyedTable.KEPT + 1)
 
 
+def test_a_null_key_is_one_key(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=1, segments=2)
+    for version in range(4):
+        table.write(news(spark, [None, version], version), version)
+    got = {(r.id, r.value) for r in table.before().collect()}
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (None, 3)} and table.before().count() == 5
+
+
 def test_bytes_written_follow_the_keys_with_news(spark, tmp_path):
     table = keyed(spark, tmp_path, buckets=64)
     table.write(news(spark, range(200_000), 0), 0)

@@ -121,7 +121,9 @@ class KeyedTable:
         due = [bucket for bucket, parts in held.items() if len(parts) >= self._segments]
         rows = news.select("*", self._bucket()).withColumn("whole", F.col("bucket").isin(due))
         if due:
-            old = self._newest({bucket: held[bucket] for bucket in due}).join(news, self._keys, "left_anti")
+            stored = self._newest({bucket: held[bucket] for bucket in due})
+            same = [stored[key].eqNullSafe(news[key]) for key in self._keys]
+            old = stored.join(news, same, "left_anti")
             touched = F.broadcast(rows.filter("whole").select("bucket").distinct())
             old = old.select("*", self._bucket()).join(touched, "bucket", "left_semi").withColumn("whole", F.lit(True))
             rows = rows.unionByName(old)
