@@ -387,6 +387,7 @@ _SAME = {
     "sql_haversine_pairs": "haversine_pairs",
     "sql_bearing_diff": "bearing_diff",
     "sql_busiest_routes": "busiest_routes",
+    "stream_staged": "staged_events",
 }
 
 # What is published after the first third of the arrivals, numbered as it arrives.

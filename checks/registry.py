@@ -23,7 +23,7 @@ from tramline.session import scratch_folder
 from tramline.settings import DEFAULTS, Settings
 from tramline.sources import feed, sample, segments, tables, topics
 from tramline.sources.folders import Folder, compact, drop_expired
-from tramline.streaming import buffered, pipeline, stateful
+from tramline.streaming import buffered, dedupe, pipeline, stateful
 from tramline.streaming.arrivals import merged
 from tramline.streaming.microbatch import Places
 
@@ -604,7 +604,20 @@ def stream_from_latest(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_silver(spark, places.silver).select(schemas.SILVER.names)
 
 
+def stream_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged events kept up by a stream that corrects what it handed on when a preferred repeat arrives."""
+    root = scratch_folder(spark, "stream-staged")
+    with _state_store(spark):
+        _waves(
+            spark,
+            silver(spark, sf).select(schemas.SILVER.names),
+            lambda stream: dedupe.start(stream, f"{root}/staged", f"{root}/checkpoint", late_s=7 * 86_400, once=True),
+        )
+    return dedupe.read_staged(spark, f"{root}/staged")
+
+
 QUERIES |= {
+    "stream_staged": stream_staged,
     "stream_buffered_updates": stream_buffered_updates,
     "topic_published": topic_published,
     "stream_from_latest": stream_from_latest,

@@ -23,6 +23,9 @@ STAGED_COLUMNS = [
     "is_bunching",
 ]
 
+# Of repeated readings the first in the order of these stays.
+PREFERRED = ["delay_seconds", "is_bunching", "route_id", "trip_id", "latitude", "longitude", "bearing"]
+
 
 def stage_events(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row per vehicle and instant, with local event time.
@@ -30,11 +33,10 @@ def stage_events(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     Of repeated readings the lowest delay wins, then the row that is not bunching; nulls come
     last. Remaining ties are settled by the other columns, so reruns agree.
     """
-    preferred = ["delay_seconds", "is_bunching", "route_id", "trip_id", "latitude", "longitude", "bearing"]
     once = first_per_key(
         silver,
         ["vehicle_id", "timestamp"],
-        [F.col(name).asc_nulls_last() for name in preferred],
+        [F.col(name).asc_nulls_last() for name in PREFERRED],
     )
     return once.withColumn("event_time", local_time(F.col("timestamp"), settings.zone)).select(
         STAGED_COLUMNS
