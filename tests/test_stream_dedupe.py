@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_plans import silver
+from checks import registry
+from tramline import schemas
 from tramline.plans.staging import stage_events
 from tramline.settings import Settings
 from tramline.sources import topics
@@ -58,3 +60,28 @@ def test_rows_behind_the_watermark_are_forgotten(spark, store, tmp_path):
     got = {(r.vehicle_id, r.delay_seconds) for r in waves(spark, tmp_path, [first, far, later], late_s=100).collect()}
     # The repeat of 1000 came 8,000 seconds late; that of 8950 came in time.
     assert got == {("v", 50), ("v", 7), ("w", 7), ("v", 3)}
+
+
+def test_keys_are_not_handled_one_by_one_in_python(spark):
+    stream = spark.readStream.format("rate").load().select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.SILVER.fields])
+    plan = dedupe.corrections(stream, 100)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan and "Python" not in plan
+
+
+def test_landing_in_waves_runs_the_plan_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(chunks):
+        for chunk in chunks:
+            runs.add(len(chunk))
+            yield chunk
+
+    rows = spark.range(10, numPartitions=1).toDF("arrival_seq").mapInPandas(seen, "arrival_seq long")
+    landed = []
+
+    def run(stream):
+        query = stream.writeStream.foreachBatch(lambda batch, _: landed.append(batch.count())).trigger(availableNow=True).start()
+        return query
+
+    registry._waves(spark, rows, run)
+    assert runs.value == 10 and sum(landed) == 5 + 10

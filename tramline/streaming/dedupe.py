@@ -1,23 +1,17 @@
 """Repeated readings removed as they come: of each vehicle and instant the preferred row, corrected when a better one arrives.
 
 Staging keeps the row with the lowest delay, which is not known before the last repeat has come. So the first row of a
-vehicle and instant is handed on at once, and a later one that is preferred is handed on as a correction. Behind the watermark
-nothing comes any more, and an event-time timer forgets the row. The corrections are written into a table by key, whose
-rows after the last batch are those that batch staging keeps.
+vehicle and instant is handed on at once, and a later one that is preferred is handed on as a correction; one that is not
+hands the known row on again. It is a streaming aggregate of Spark's, whose state holds the preferred row; behind the watermark
+nothing comes any more, and the row is forgotten. The corrections are written into a table by key, whose rows after the last batch are those that batch staging keeps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import IntegralType
+from pyspark.sql.streaming import StreamingQuery
 
-import tramline
 from tramline import schemas
 from tramline.plans.staging import PREFERRED, stage_events
 from tramline.settings import DEFAULTS, Settings
@@ -25,62 +19,18 @@ from tramline.sources.folders import BatchNumbers, KeyedTable, run_of
 from tramline.streaming.sinks import triggered
 
 _KEYS = ["vehicle_id", "timestamp"]
-
-
-class KeepPreferred(StatefulProcessor):
-    """Keyed by vehicle and instant: remembers the row that was handed on last."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._best = handle.getValueState("best", schemas.SILVER)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = tuple(self._best.get()) if self._best.exists() else None
-        arrived = [row for chunk in rows for row in _values(chunk)]
-        best = min([*arrived, *([known] if known else [])], key=_order)
-        if known is None and best[_TIMESTAMP] is not None:
-            self._handle.registerTimer(1000 * best[_TIMESTAMP] + 1)
-        if known is None or _order(best) < _order(known):
-            self._best.update(best)
-            yield pd.DataFrame([best], columns=schemas.SILVER.names, dtype=object)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._best.clear()
-        yield from ()
-
-    def close(self) -> None:
-        pass
-
-
-_TIMESTAMP = schemas.SILVER.names.index("timestamp")
-
-
-def _values(chunk: pd.DataFrame) -> list[tuple]:
-    """Rows as Python values: pandas has no null in columns of numbers."""
-    columns = []
-    for field in schemas.SILVER.fields:
-        values = chunk[field.name].astype(object)
-        values = values.where(values.notna(), None).tolist()
-        if isinstance(field.dataType, IntegralType):
-            values = [None if value is None else int(value) for value in values]
-        columns.append(values)
-    return list(zip(*columns))
-
-
-def _order(row: tuple) -> list[tuple]:
-    """Ascending by the preferred columns, nulls last, as in staging."""
-    by_name = dict(zip(schemas.SILVER.names, row))
-    return [(by_name[name] is None, 0 if by_name[name] is None else by_name[name]) for name in PREFERRED]
+_REST = [name for name in schemas.SILVER.names if name not in PREFERRED]
 
 
 def corrections(silver: DataFrame, late_s: int) -> DataFrame:
-    """A stream of silver rows to the rows staging keeps so far. Rows later than `late_s` seconds behind the newest are left out."""
-    # The processor travels to the workers as code, which need not have this package installed.
-    cloudpickle.register_pickle_by_value(tramline)
+    """A stream of silver rows to the rows staging keeps so far, in output mode `update`: those of the keys a batch had rows of.
+    Rows later than `late_s` seconds behind the newest are left out."""
     timed = silver.withColumn("event", F.timestamp_seconds("timestamp")).withWatermark("event", f"{late_s} seconds")
-    return timed.groupBy(*_KEYS).transformWithStateInPandas(
-        KeepPreferred(), outputStructType=schemas.SILVER, outputMode="Append", timeMode="EventTime"
-    )
+    # Ascending by the preferred columns, nulls last, as in staging.
+    order = [F.struct(F.col(name).isNull().alias("unknown"), F.col(name).alias("value")).alias(name) for name in PREFERRED]
+    best = timed.groupBy(*_KEYS, "event").agg(F.min(F.struct(*order, *_REST)).alias("best"))
+    # The keys too are taken from the row: as columns of the aggregate they would bring its order along, which Spark cannot cache.
+    return best.select(*[F.col(f"best.{name}.value" if name in PREFERRED else f"best.{name}").alias(name) for name in schemas.SILVER.names])
 
 
 def preferred_table(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> KeyedTable:
@@ -109,5 +59,5 @@ def start(
         finally:
             batch.unpersist()
 
-    writer = corrections(silver, late_s).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = corrections(silver, late_s).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, once, settings).start()
