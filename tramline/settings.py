@@ -48,6 +48,9 @@ class Settings:
     state_buckets: int = 64
     state_segments: int = 8
 
+    # Into how many shards the keys of Spark's state store are put; the same for the life of a checkpoint.
+    state_shards: int = 1024
+
     # How long an old version of the live table or the state stays for readers that began with it.
     version_grace_s: int = 900
 
