@@ -151,3 +151,21 @@ def test_sql_functions_equal_the_columns(spark):
     # Bodies are part of the plan: no Python, and nothing that is called row by row.
     plan = spark.sql("SELECT distance_m(lat, lon, 0D, 0D) FROM some")._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_ids_of_a_day_meet_their_numbers_in_one_join(spark, tmp_path, monkeypatch):
+    written = {}
+    write = daily.DailyGold._write
+
+    def noted(gold, rows, table, day):
+        written[table] = rows._jdf.queryExecution().analyzed().toString()
+        write(gold, rows, table, day)
+
+    monkeypatch.setattr(daily.DailyGold, "_write", noted)
+    rows = [("1", "a", f"v{n % 3}", f"a_{n % 2}", f"t{n}", None, n, n % 2 == 0) for n in range(12)]
+    names = "route_short_name string, agency_id string, vehicle_id string, route_id string, trip_id string, event_time timestamp_ntz, delay_seconds bigint, is_bunching boolean"
+    gold = daily.DailyGold(spark, str(tmp_path / "gold"))
+    gold.build_day(spark.createDataFrame(rows, names), daily.NO_DAY)
+    assert written["distinct"].count("Join ") == 1
+    (row,) = gold.busiest_routes().collect()
+    assert tuple(row) == ("1", 3, 5.5, 6)

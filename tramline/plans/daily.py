@@ -57,27 +57,24 @@ class DailyGold:
 
     def build_day(self, events: DataFrame, day: str) -> None:
         """Replaces what a day adds. `events` are the staged events of that day alone."""
-        events = events.select(_ROUTE, _AGENCY, "vehicle_id", "route_id", "trip_id", "event_time", "delay_seconds", "is_bunching").persist()
+        # Summed per vehicle and trip first, in the only pass over the events: all that follows runs over that smaller result.
+        each = events.groupBy(_ROUTE, _AGENCY, "vehicle_id", "route_id", "trip_id").agg(
+            F.count(F.lit(1)).alias("readings"), F.count("delay_seconds").alias("delays"),
+            F.coalesce(F.sum("delay_seconds"), F.lit(0)).alias("delay_sum"), F.count_if("is_bunching").alias("bunched"),
+            F.min("event_time").alias("first_seen_at"),
+        ).persist()
         try:
-            # Summed per vehicle first: all that follows runs over that small result.
-            each = events.groupBy(_ROUTE, _AGENCY, "vehicle_id", "route_id").agg(
-                F.count(F.lit(1)).alias("readings"), F.count("delay_seconds").alias("delays"),
-                F.coalesce(F.sum("delay_seconds"), F.lit(0)).alias("delay_sum"), F.count_if("is_bunching").alias("bunched"),
-            ).persist()
             sums = [F.sum(name).alias(name) for name in ("readings", "delays", "delay_sum", "bunched")]
             self._write(each.groupBy(_ROUTE).agg(*sums), "routes", day)
             self._write(each.groupBy(_AGENCY).agg(*sums), "agencies", day)
             if self._sketches:
                 self._write(self._union(self._sketch(each, *count) for count in _COUNTS), "sketches", day)
             else:
-                numbers = self._numbers(each)
-                self._write(self._union(self._bitmaps(each, numbers, *count) for count in _COUNTS), "distinct", day)
-            each.unpersist()
-
-            seen = events.groupBy(_ROUTE, "trip_id").agg(F.min("event_time").alias("first_seen_at"))
+                self._write(self._bitmaps(each, self._numbers(each)), "distinct", day)
+            seen = each.groupBy(_ROUTE, "trip_id").agg(F.min("first_seen_at").alias("first_seen_at"))
             self._write(seen, "trips", day)
         finally:
-            events.unpersist()
+            each.unpersist()
         here, earlier = self._read("trips", [day]), self._read("trips", [d for d in self._stored("trips") if d < day])
         same = here[_ROUTE].eqNullSafe(earlier[_ROUTE]) & here["trip_id"].eqNullSafe(earlier["trip_id"])
         gaps = marts.departures(here.join(earlier, same, "left_anti"))
@@ -159,12 +156,13 @@ class DailyGold:
         rows = known.unionByName(self._spark.read.schema(_NUMBERS).parquet(f"{path}/batch={number}"))
         return rows.select("kind", "id", (F.col("place") * BUCKETS + F.col("bucket")).alias("number"))
 
-    def _bitmaps(self, each: DataFrame, numbers: DataFrame, counted: str, key: str, kind: str) -> DataFrame:
-        of_kind = numbers.filter(F.col("kind") == kind).select(F.col("id").alias(kind), "number")
-        pairs = each.select(F.col(key).alias("key"), kind).distinct().join(of_kind, kind)
-        return pairs.groupBy("key", F.bitmap_bucket_number("number").alias("part")).agg(
+    def _bitmaps(self, each: DataFrame, numbers: DataFrame) -> DataFrame:
+        """All counts at once, so that ids meet their numbers in one join."""
+        counts = [F.struct(F.lit(counted).alias("counted"), F.col(key).alias("key"), F.lit(kind).alias("kind"), F.col(kind).alias("id")) for counted, key, kind in _COUNTS]
+        pairs = each.select(F.inline(F.array(*counts))).distinct().join(numbers, ["kind", "id"])
+        return pairs.groupBy("counted", "key", F.bitmap_bucket_number("number").alias("part")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
-        ).select(F.lit(counted).alias("counted"), "key", "part", "bits")
+        ).select("counted", "key", "part", "bits")
 
     def _sketch(self, each: DataFrame, counted: str, key: str, kind: str) -> DataFrame:
         return each.filter(F.col(kind).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.hll_sketch_agg(kind).alias("sketch")).select(
