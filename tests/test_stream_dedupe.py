@@ -85,3 +85,14 @@ def test_landing_in_waves_runs_the_plan_once(spark):
 
     registry._waves(spark, rows, run)
     assert runs.value == 10 and sum(landed) == 5 + 10
+
+
+def test_rows_without_a_time_do_not_cost_others(spark, store, tmp_path):
+    rng = random.Random(5)
+    rows = [
+        (rng.choice([f"v{n % 90}", f"v{n % 90}", None]), "1_x", "t", rng.choice([1000 + n % 50, 1000 + n % 50, None]), rng.randrange(9), False)
+        for n in range(600)
+    ]
+    got = waves(spark, tmp_path, [rows[:300], rows[300:]], late_s=86_400)
+    want = stage_events(silver(spark, rows))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
