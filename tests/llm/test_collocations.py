@@ -130,3 +130,33 @@ def test_query_equals_its_sql(spark):
     result = QUERIES["op12_phrase_collocations"](spark, folder)
     assert differences(result, duckdb_tables(folder), ORACLE["op12_phrase_collocations"]) is None
     assert result.count() > 50
+
+
+def test_rare_pairs_of_frequent_words_are_not_shuffled(spark, monkeypatch):
+    """Every word is frequent and one pair is; of the thousands of other pairs hardly any leaves its task as itself."""
+    rng = random.Random(8)
+    vocabulary = [f"w{n}" for n in range(60)]
+    rows = [("en", " ".join("new york" if rng.random() < 0.05 else rng.choice(vocabulary) for _ in range(60))) for _ in range(100)]
+    sent, whole = [], c.frequent_phrases
+
+    def watched(shards, *rest):
+        sizes = shards.filter("weights is not null").selectExpr("size(labels) - 1 AS words", "size(weights) AS n")
+        sent.extend((r["words"], r["n"]) for r in sizes.collect())
+        return whole(shards, *rest)
+
+    monkeypatch.setattr(c, "frequent_phrases", watched)
+    frame = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    got = [tuple(r) for r in c.collocations(frame, fewest=30).orderBy("lang", "rank").collect()]
+    assert got == plain(rows, 30) and [r[2] for r in got] == ["new york"]
+    pairs = {pair for _, text in rows for pair in zip(text.split(), text.split()[1:])}
+    assert len(pairs) > 2000 and 0 < sum(n for words, n in sent if words == 2) < len(pairs) // 10
+
+
+def test_gaps_of_any_width_come_back():
+    places = np.array([0, 0, 7, 254, 255, 510, 765, 1020, 1274, 70_000, 70_000, (1 << 22) - 1])
+    gaps, wide = c.gaps_of(places)
+    assert len(gaps) == len(places) and c.places_of(gaps, wide).tolist() == places.tolist()
+    assert c.places_of(*c.gaps_of(places[:0])).tolist() == []
+    for words in (0, 1, 10_000, 1 << 40):
+        buckets = c.buckets_of(words)
+        assert buckets & (buckets - 1) == 0 and 8 * c.PIECES <= buckets <= c.MOST_BUCKETS and buckets >= min(words // c.WORDS_OF_BUCKET, c.MOST_BUCKETS)

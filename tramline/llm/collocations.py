@@ -6,7 +6,10 @@ prefix it shares with the one before. Transducers are cut into ranges of hashed
 are united, their weights summed, whichever shard they come from. The counts are exact.
 
 Phrases grow word by word: an n-gram is counted only if its first and last n - 1 words were both found frequent, which a
-filter of fixed size tells (a full filter costs time, not results). So rare n-grams are not shuffled. In
+filter of fixed size tells (a full filter costs time, not results). Pairs of frequent words are many more than frequent
+pairs, and of a larger corpus ever more so. Therefore the n-grams of a pass are counted by hash in the pass before, about a byte each: only those
+in a bucket that gathers enough of them are counted as themselves. A bucket may hold others too, which costs time
+and not results: it has at least the count of each. So rare n-grams are not shuffled. In
 the end the transducer of the parts of all candidates is composed with that of all frequent phrases, range by range,
 which looks up how often the parts occur. Labels are 64-bit hashes of words; only the phrases that are kept are spelled out.
 """
@@ -37,6 +40,10 @@ PHRASES_OF_RANGE = 1 << 17
 # A range holds phrases by a hash of this many first words.
 PREFIX = 3
 FILTER_BITS = 1 << 26
+# Buckets in which n-grams are counted by hash: one for so many words, at most so many, and in so many pieces.
+WORDS_OF_BUCKET = 8
+MOST_BUCKETS = 1 << 28
+PIECES = 64
 # Parts of a language that are ranked by themselves first.
 PARTS = 64
 
@@ -49,8 +56,9 @@ _SPLIT = bytes.maketrans(bytes(range(65, 91)) + _ENDS, bytes(range(97, 123)) + _
 _END = 0
 
 # Labels are numbers of `kinds`, and each state has the number of its arcs: both are far smaller than hashes and states.
-_TRANSDUCER = "range int, langs array<string>, names array<string>, kinds array<long>, labels array<array<int>>, degrees array<array<int>>, weights array<int>"
-_PHRASE = "lang string, words array<long>, size int, n long, hash long, name string"
+_TRANSDUCER = "range int, langs array<string>, names array<string>, kinds array<long>, labels array<array<int>>, degrees array<array<int>>, weights array<int>, gaps binary, wide array<int>"
+_PHRASE = "lang string, words array<long>, size int, n long, hash long, name string, flags binary"
+_FLAGS = -1
 
 
 def _hash_of(names: list[str]) -> np.ndarray:
@@ -142,6 +150,24 @@ def _phrase_hashes(paths: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def buckets_of(words: int) -> int:
+    """Buckets for a corpus of so many words: a power of two, and each piece of them is whole bytes."""
+    return min(MOST_BUCKETS, max(8 * PIECES, 1 << (words // WORDS_OF_BUCKET).bit_length()))
+
+
+def gaps_of(places: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Sorted places as the steps between them, a byte each; steps of 255 or more stand aside, in order."""
+    gaps = np.diff(places, prepend=0)
+    return np.minimum(gaps, 255).astype(np.uint8).tobytes(), gaps[gaps >= 255].astype(np.int32)
+
+
+def places_of(gaps: bytes, wide: np.ndarray) -> np.ndarray:
+    """The reverse of `gaps_of`."""
+    steps = np.frombuffer(gaps, np.uint8).astype(np.int64)
+    steps[steps == 255] = wide
+    return np.cumsum(steps)
+
+
 _MARK_HASH = raw_word_hashes([_MARK])[0].view(np.int64)[0]
 
 
@@ -168,9 +194,12 @@ class _Shard:
                 self.names.update(text.split())
         self.held += len(hashes)
 
-    def grams(self, size: int, frequent: np.ndarray | None, ranges: int) -> Iterator[dict]:
-        """A row per range of prefixes: the n-grams of `size` words whose parts may be frequent. Where names are wanted, rows of
-        further ranges have those of the words in them."""
+    def grams(
+        self, size: int, frequent: np.ndarray | None, ranges: int, often: np.ndarray | None = None, buckets: int = 0
+    ) -> Iterator[dict]:
+        """A row per range of prefixes: the n-grams of `size` words whose parts may be frequent and whose bucket is among `often`. Where
+        names are wanted, rows of further ranges have those of the words in them. With `buckets`, rows of the ranges behind
+        those have the buckets of n-grams that are a word longer."""
         words, langs = np.concatenate(self.words), np.concatenate(self.langs)
         # Where size words follow before the piece ends.
         ends = np.flatnonzero(words == _MARK_HASH)
@@ -180,8 +209,19 @@ class _Shard:
         if size > 1:
             for first in (0, 1):
                 at = at[in_filter(frequent, _phrase_hashes([langs[at], *(words[at + first + n] for n in range(size - 1))]))]
+            if often is not None:
+                at = at[in_filter(often, _phrase_hashes([langs[at], *(words[at + n] for n in range(size))]))]
         if not len(at):
             return
+        if buckets:
+            longer = at[:-1][np.diff(at) == 1]
+            places = np.sort(np.mod(_phrase_hashes([langs[longer], *(words[longer + n] for n in range(size + 1))]), np.int64(buckets)))
+            wide_piece = buckets // PIECES
+            bounds = np.searchsorted(places, np.arange(PIECES + 1) * wide_piece)
+            for piece in np.flatnonzero(np.diff(bounds)).tolist():
+                gaps, wide = gaps_of(places[bounds[piece] : bounds[piece + 1]] - piece * wide_piece)
+                yield {"range": 2 * ranges + piece, "gaps": gaps, "wide": wide}
+            del places, longer
         range_of = np.mod(_phrase_hashes([langs[at], *(words[at + n] for n in range(min(size, PREFIX)))]), np.int64(ranges))
         order = np.argsort(range_of, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(range_of[order])) + 1):
@@ -211,19 +251,25 @@ def _as_row(number: int, langs: list[str], t: CountTransducer) -> dict:
 _ARROW = pa.schema([
     ("range", pa.int32()), ("langs", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("kinds", pa.list_(pa.int64())),
     ("labels", pa.list_(pa.list_(pa.int32()))), ("degrees", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.int32())),
+    ("gaps", pa.binary()), ("wide", pa.list_(pa.int32())),
 ])
 
 
-def shard_transducers(texts: DataFrame, size: int, frequent: np.ndarray | None, ranges: int) -> DataFrame:
+def shard_transducers(
+    texts: DataFrame, size: int, frequent: np.ndarray | None, ranges: int, often: np.ndarray | None = None, buckets: int = 0
+) -> DataFrame:
     """The n-grams of `size` words of `texts` (`lang, text`), one transducer for each shard and range of prefixes.
 
     Labels are hashes. Pairs come with the names of their words, since each word of a longer frequent phrase is in a frequent pair.
+    `often` has a bit for each bucket of n-grams that has enough of them. With `buckets`, the n-grams a word
+    longer that are made of two of these are put into so many.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    shared = texts.sparkSession.sparkContext.broadcast((frequent, often))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(shard: _Shard) -> Iterator[pa.RecordBatch]:
-            for row in shard.grams(size, shared.value, ranges):
+            frequent, often = shared.value
+            for row in shard.grams(size, frequent, ranges, often, buckets):
                 yield pa.RecordBatch.from_pylist([row], _ARROW)
 
         shard = _Shard(named=size == 2)
@@ -253,9 +299,10 @@ def _transducers(pieces: pa.Table) -> list[CountTransducer]:
     return out
 
 
-def frequent_phrases(shards: DataFrame, fewest: int, ranges: int) -> DataFrame:
+def frequent_phrases(shards: DataFrame, fewest: int, ranges: int, buckets: int = 0) -> DataFrame:
     """`lang, words, size, n, hash, name` of the phrases that occur at least `fewest` times in all shards; words are hashes.
-    Rows of size 0 are names of words, by their hash; rows with null words have the sum over all phrases of a language and range."""
+    Rows of size 0 are names of words, by their hash; rows with null words have the sum over all phrases of a language and range.
+    Rows of size -1 have `flags`, a bit for each bucket of a piece, and the number `n` of the piece: which buckets have at least `fewest`."""
 
     def named(pieces: pa.Table) -> dict[str, pa.Array]:
         names = sorted({name for names in pieces.column("names").to_pylist() for name in names})
@@ -263,10 +310,25 @@ def frequent_phrases(shards: DataFrame, fewest: int, ranges: int) -> DataFrame:
         hashes = raw_word_hashes([name.encode() for name in names])[0].view(np.int64)
         return {
             "lang": none.cast(pa.string()), "words": none.cast(pa.list_(pa.int64())), "size": pa.array([0] * len(names), pa.int32()),
-            "n": none.cast(pa.int64()), "hash": pa.array(hashes), "name": pa.array(names, pa.string()),
+            "n": none.cast(pa.int64()), "hash": pa.array(hashes), "name": pa.array(names, pa.string()), "flags": none.cast(pa.binary()),
+        }
+
+    def flagged(piece: int, pieces: pa.Table) -> dict[str, pa.Array]:
+        # A count may stop at `fewest`.
+        counts = np.zeros(buckets // PIECES, np.int32)
+        for gaps, wide in zip(pieces.column("gaps"), pieces.column("wide")):
+            places, held = np.unique(places_of(gaps.as_py(), wide.values.to_numpy()), return_counts=True)
+            counts[places] = np.minimum(counts[places] + held, fewest)
+        none = pa.nulls(1)
+        return {
+            "lang": none.cast(pa.string()), "words": none.cast(pa.list_(pa.int64())), "size": pa.array([_FLAGS], pa.int32()),
+            "n": pa.array([piece], pa.int64()), "hash": none.cast(pa.int64()), "name": none.cast(pa.string()),
+            "flags": pa.array([np.packbits(counts >= fewest).tobytes()], pa.binary()),
         }
 
     def united(key: tuple, pieces: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 2 * ranges:
+            return pa.table(flagged(key[0].as_py() - 2 * ranges, pieces))
         if key[0].as_py() >= ranges:
             return pa.table(named(pieces))
         lang_names = sorted({lang for langs in pieces.column("langs").to_pylist() for lang in langs})
@@ -284,12 +346,21 @@ def frequent_phrases(shards: DataFrame, fewest: int, ranges: int) -> DataFrame:
             "size": pa.array([size] * (len(paths) + len(totals)), pa.int32()),
             "n": pa.array([*often.weights.tolist(), *totals.tolist()], pa.int64()),
             "hash": pa.array([*_phrase_hashes([np.ascontiguousarray(c) for c in paths.T]).tolist(), *none], pa.int64()),
-            "name": pa.nulls(len(paths) + len(totals), pa.string()),
+            "name": pa.nulls(len(paths) + len(totals), pa.string()), "flags": pa.nulls(len(paths) + len(totals), pa.binary()),
         })
 
     return shards.groupBy("range").applyInArrow(united, _PHRASE)
 
 
+def often_buckets(level: DataFrame, buckets: int) -> np.ndarray:
+    """A bit for each bucket, as `in_filter` reads it, from the rows of `frequent_phrases` that have some."""
+    size = buckets // PIECES // 8
+    out = np.zeros(buckets // 8, np.uint8)
+    for row in level.filter(F.col("size") == _FLAGS).select("n", "flags").collect():
+        out[row["n"] * size : (row["n"] + 1) * size] = np.frombuffer(row["flags"], np.uint8)
+    return out
+
+
 def _prefix_range(ranges: int) -> Column:
     return F.pmod(F.xxhash64("lang", F.slice("words", 1, PREFIX)), F.lit(ranges)).cast("int").alias("range")
 
@@ -328,13 +399,15 @@ def collocations(
     held = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     # A word takes about six bytes.
     ranges = max(1, -(-held // (6 * WORDS_OF_RANGE)))
-    levels, filters = [], None
+    levels, filters, often = [], None, None
     for size in range(1, longest + 1):
-        level = frequent_phrases(shard_transducers(texts, size, filters, ranges), fewest, ranges)
+        buckets = buckets_of(held // 6) if size < longest else 0
+        level = frequent_phrases(shard_transducers(texts, size, filters, ranges, often, buckets), fewest, ranges, buckets)
         levels.append(landed(level, f"phrases-{size}"))
         if size < longest:
             filters = bit_filter(levels[-1].filter("words is not null").select("hash"), FILTER_BITS)
-            if not filters.any():
+            often = often_buckets(levels[-1], buckets)
+            if not filters.any() or not often.any():
                 break
     totals = landed(levels[0].filter("words is null and size = 1").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     names = levels[min(1, len(levels) - 1)].filter("size = 0").select(F.col("hash").alias("word"), "name")
