@@ -59,6 +59,30 @@ def test_cut_texts_encode_like_whole_ones(texts):
     assert parts.ids(texts) == [parts._encode(text).tobytes() for text in texts]
 
 
+def test_frequent_parts_are_learned_once_however_many_there_are(monkeypatch):
+    monkeypatch.setattr(packing, "PARTS_KEPT", 40)
+    parts = packing._Parts(packing.public_tokenizer())
+    encode, encoded = parts._encode, []
+    monkeypatch.setattr(parts, "_encode", lambda text: encoded.extend(text.split()) or encode(text))
+    frequent = "the quick fox jumps"
+    for n in range(50):
+        rare = " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + m)}" for m in range(10))
+        text = f"{frequent} {rare}, {frequent}"
+        assert parts.ids([text, "", text]) == [encode(text).tobytes(), b"", encode(text).tobytes()]
+        assert len(parts.known) <= 40 + 20
+    assert [encoded.count(word) for word in frequent.split()] == [1] * 4
+
+
+def test_a_failed_batch_leaves_no_part_without_ids(monkeypatch):
+    parts = packing._Parts(packing.public_tokenizer())
+    right = parts._encode("some words here").tobytes()
+    with monkeypatch.context() as broken:
+        broken.setattr(parts, "_encode", lambda text: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            parts.ids(["some words here"])
+    assert parts.ids(["some words here"]) == [right]
+
+
 def test_two_runs_replace_the_smallest_where_they_fit_better():
     # Greedy fills 6 + 3 of 10; 2 + 2 in place of the 3 closes the gap.
     assert packing.plan_bins({6: 1, 3: 1, 2: 2}, 10) == [(1, [6, 2, 2]), (1, [3])]

@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,10 @@ from tramline.llm.common import in_slices, landed, last_at_most, numbered, ship_
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
 
-# A worker forgets its parts beyond this number and learns them anew.
+# Beyond this number a worker forgets the half of its parts that it met last.
 PARTS_KEPT = 600_000
+# The tokenizer takes longer over a part of a long line than over one of a short line.
+PARTS_AT_ONCE = 500
 CHARS_AT_ONCE = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -40,6 +43,19 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict[str, bytes | bytearray]):
+    """Token ids by part. A part not met before gets an empty place and is put on the list `new`."""
+
+    def __init__(self, *args) -> None:
+        super().__init__(*args)
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> bytearray:
+        self.new.append(part)
+        place = self[part] = bytearray()
+        return place
+
+
 class _Parts:
     """Token ids of texts, each different part encoded once.
 
@@ -57,31 +73,40 @@ class _Parts:
         self.tokenizer = Tokenizer.from_file(path)
         endings = "'s|'t|'re|'ve|'m|'ll|'d"
         self.cut = regex.compile(rf"{endings}|[\p{{L}}]+|[\p{{N}}]|[^\s\p{{L}}\p{{N}}]+")
+        # Most parts are letters, with which no ending begins.
         # Every character of these ranges is a letter.
         latin = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
-        self.latin_cut = re.compile(f"{endings}|[a-z{latin}]+|[0-9]|[^\\sa-z0-9{latin}]+")
+        self.latin_cut = re.compile(f"[a-z{latin}]+|[0-9]|{endings}|[^\\sa-z0-9{latin}]+")
         self.not_latin = re.compile(f"[^ -~\t\n\r\u00a0{latin}\u2010-\u2027\u20ac]")
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", *map(re.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.control = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cuts = [None if self.whole.search(text) else self._cut(text) for text in texts]
-        needed = set().union(*(parts for parts in cuts if parts))
-        unknown = [part for part in needed if part not in self.known]
-        if len(self.known) + len(unknown) > PARTS_KEPT:
-            self.known.clear()
-            unknown = list(needed)
-        for at in range(0, len(unknown), 20_000):
-            self._learn(unknown[at : at + 20_000])
-        known = self.known
-        return [
-            self._encode(text).tobytes() if parts is None else b"".join([known[part] for part in parts])
-            for text, parts in zip(texts, cuts)
-        ]
+        if len(self.known) > PARTS_KEPT:
+            # Frequent parts are among those met first.
+            self.known = _Known(islice(self.known.items(), PARTS_KEPT // 2))
+        known, look_up = self.known, self.known.__getitem__
+        found = [None if self._is_whole(text) else list(map(look_up, self._cut(text))) for text in texts]
+        new, known.new = known.new, []
+        try:
+            for at in range(0, len(new), PARTS_AT_ONCE):
+                self._learn(new[at : at + PARTS_AT_ONCE])
+            return [self._encode(text).tobytes() if parts is None else b"".join(parts) for text, parts in zip(texts, found)]
+        finally:
+            # A place that was not filled, because of an error, is none.
+            for part in new:
+                if place := known[part]:
+                    known[part] = bytes(place)
+                else:
+                    del known[part]
+
+    def _is_whole(self, text: str) -> bool:
+        # Each test looks for one kind of thing, which is several times faster than a pattern of all.
+        return self.control.search(text) is not None or any(mark in text for mark in self.added)
 
     def _cut(self, text: str) -> list[str]:
         if text.isascii() or not self.not_latin.search(text):
@@ -97,11 +122,11 @@ class _Parts:
         if len(ends) == len(parts) and ends[-1] == len(ids):
             raw, last = ids.tobytes(), 0
             for part, end in zip(parts, (4 * ends).tolist()):
-                self.known[part] = raw[last:end]
+                self.known[part][:] = raw[last:end]
                 last = end
         else:
             for part in parts:
-                self.known[part] = self._encode(part).tobytes()
+                self.known[part][:] = self._encode(part).tobytes()
 
 
 @lru_cache(maxsize=2)
