@@ -600,7 +600,9 @@ def stream_from_latest(spark: SparkSession, sf: str) -> DataFrame:
     both = [DEFAULTS.positions_topic, DEFAULTS.updates_topic]
     checkpoint = f"{places.checkpoints}/live"
     for first, last in ((low, low + third), (low + third, low + 2 * third), (low + 2 * third, high + 1)):
-        segments.publish(_outgoing(rows.filter(F.col("arrival_seq").between(first, last - 1))), path, partitions=2)
+        # Dealt out, so that a table that is stored in one piece is not sent by one task.
+        wave = rows.filter(F.col("arrival_seq").between(first, last - 1)).repartition("arrival_seq")
+        segments.publish(_outgoing(wave), path, partitions=2)
         messages = segments.new_messages(spark, path, both, checkpoint)
         entity = F.from_json("value", schemas.ENTITY).alias("entity")
         pipeline.start_live(spark, messages.select("arrival", "ingest_time", entity), places, once=True).awaitTermination()

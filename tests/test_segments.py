@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -119,3 +123,23 @@ def test_a_stream_is_published_once(spark, tmp_path):
         stream = topics.landed_files(spark, landing, batch(spark, 0, 1).schema)
         segments.publish_stream(stream, path, check, partitions=2, once=True).awaitTermination()
     assert values(segments.all_messages(spark, path, ["positions"])) == list(range(40))
+
+
+def test_a_long_segment_is_read_by_several_tasks(tmp_path, monkeypatch):
+    """One task published all; each message is read once, from whatever row groups hold it."""
+    monkeypatch.setattr(segments, "MESSAGES_PER_SLICE", 10, raising=False)
+    times = [dt.datetime(2024, 4, 7, tzinfo=dt.timezone.utc)] * 47
+    table = pa.table({"value": [f"m{n}" for n in range(100, 147)], "timestamp": times}, schema=segments._STORED)
+    for rows_of_group in (1, 4, 10, 13, 47):
+        root = tmp_path / f"groups-of-{rows_of_group}"
+        (root / "a" / "0").mkdir(parents=True)
+        pq.write_table(table, root / "a" / "0" / f"{100:020d}-47.parquet", row_group_size=rows_of_group)
+        options = {"path": str(root), "topics": "a"}
+        reader = segments.StreamReader(options)
+        for start, stop in ((100, 147), (103, 147), (100, 121), (119, 120)):
+            slices = reader.slices({"a/0": start}, {"a/0": stop})
+            assert len(slices) == -(-(stop - start) // 10) and max(s.stop - s.start for s in slices) <= 10
+            read = [(value, offset) for s in slices for batch in reader.read(s) for value, offset in zip(batch.column("value").to_pylist(), batch.column("offset").to_pylist())]
+            assert read == [(f"m{n}", n) for n in range(start, stop)]
+        whole = [(s.start, s.stop) for s in segments.BatchReader(options).partitions()]
+        assert whole == [(100, 110), (110, 120), (120, 130), (130, 140), (140, 147)]

@@ -40,6 +40,8 @@ from tramline.streaming.sinks import triggered
 FORMAT = "message_segments"
 SCHEMA = "value string, topic string, partition int, offset long, timestamp timestamp"
 _ROWS_AT_ONCE = 8192
+# Most messages that one task reads: a segment is as long as what one task published, which may have been all.
+MESSAGES_PER_SLICE = 1 << 17
 _STORED = pa.schema([("value", pa.string()), ("timestamp", pa.timestamp("us", "UTC"))])
 
 
@@ -129,7 +131,9 @@ class _Reader:
                     continue
                 if segment.first > reached[key]:
                     raise RuntimeError(f"messages {reached[key]} to {segment.first} of {key} are gone")
-                out.append(Slice(segment, reached[key], min(segment.end, end[key])))
+                stop = min(segment.end, end[key])
+                for start_at in range(reached[key], stop, MESSAGES_PER_SLICE):
+                    out.append(Slice(segment, start_at, min(start_at + MESSAGES_PER_SLICE, stop)))
                 reached[key] = segment.end
             if missing := [key for key in here if reached[key] < end[key]]:
                 raise RuntimeError(f"messages of {missing} are gone")
@@ -137,9 +141,18 @@ class _Reader:
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         segment, topics = partition.segment, Topics(self._path)
-        at = segment.first
         with topics.files.open_input_file(f"{topics.root}/{segment.path}") as file:
-            for batch in pq.ParquetFile(file).iter_batches(_ROWS_AT_ONCE):
+            stored = pq.ParquetFile(file)
+            # Only the row groups that hold some of the slice.
+            groups, at, end = [], segment.first, segment.first
+            for group in range(stored.num_row_groups):
+                rows = stored.metadata.row_group(group).num_rows
+                if end < partition.stop and end + rows > partition.start:
+                    groups.append(group)
+                elif not groups:
+                    at = end + rows
+                end += rows
+            for batch in stored.iter_batches(_ROWS_AT_ONCE, row_groups=groups) if groups else ():
                 low, high = max(partition.start - at, 0), min(partition.stop - at, batch.num_rows)
                 if low < high:
                     part = batch.slice(low, high - low)
