@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -57,6 +58,29 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
             yield batch.slice(at, rows)
 
 
+def handing_back(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`step`, a function for mapInArrow, so that its worker gives freed memory back to the system when a task ends.
+
+    Workers outlive their tasks. What their allocators keep of a task would stand beside the JVM's memory in the stages that follow.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        # Only glibc has it; others do without.
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table of the schema. One made from a list in Python would start a Python worker in each stage that reads it."""
+    nulls = [F.lit(None).cast(kind).alias(name) for name, kind in (field.split(maxsplit=1) for field in schema.split(", "))]
+    return spark.range(0).limit(0).select(*nulls)
+
+
 def landed(rows: DataFrame, purpose: str) -> DataFrame:
     """The same rows read back from a table in the cluster's shared folder.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import bit_filter, in_filter, in_slices, landed, removed, ship_package
+from tramline.llm.common import bit_filter, handing_back, in_filter, in_slices, landed, no_rows, removed, ship_package
 from tramline.llm.shingles import run_hashes, shingle_sets, texts_at_once, whole_sequence, word_hashes
 
 WORDS = 3
@@ -85,6 +85,18 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The values that occur more than once in `sets`, sorted, and how often. `sets` is emptied, so that its values are held once."""
+    values = np.concatenate(sets)
+    sets.clear()
+    values.sort()
+    like_next = values[1:] == values[:-1]
+    # Where a stretch of equal values begins, and where its last but one is.
+    begins = np.flatnonzero(np.diff(like_next, prepend=False) & like_next)
+    lasts = np.flatnonzero(np.diff(like_next, append=False) & like_next)
+    return values[begins], lasts - begins + 2
+
+
 def global_order(documents: DataFrame, words: int, most: int = FREQUENT) -> Order:
     """The order, from counts over all documents.
 
@@ -97,11 +109,9 @@ def global_order(documents: DataFrame, words: int, most: int = FREQUENT) -> Orde
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(sets: list[np.ndarray]) -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts > 1
-            tokens = values[often].astype(np.int64)
+            values, counts = _repeated(sets)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(tokens), bool)), pa.array(tokens), pa.array(counts[often].astype(np.int64)), pa.nulls(len(tokens), pa.binary())],
+                [pa.array(np.zeros(len(values), bool)), pa.array(values.astype(np.int64)), pa.array(counts), pa.nulls(len(values), pa.binary())],
                 names,
             )
 
@@ -135,7 +145,7 @@ def global_order(documents: DataFrame, words: int, most: int = FREQUENT) -> Orde
             names,
         )
 
-    counts = landed(_texts(documents).mapInArrow(counted, "word boolean, token long, n long, cells binary"), "counts")
+    counts = landed(_texts(documents).mapInArrow(handing_back(counted), "word boolean, token long, n long, cells binary"), "counts")
 
     def summed(key: tuple, rows: pa.Table) -> pa.Table:
         total = np.zeros(_CELLS_OF_ROW, np.int64)
@@ -230,8 +240,8 @@ def document_sets(documents: DataFrame, order: Order, words: int, percent: int,
         *([F.col(row).cast("long").alias("row")] if row else []),
     )
     if row:
-        return landed(rows.mapInArrow(described, f"{_SETS}, row long"), "sets")
-    return landed(rows.mapInArrow(described, _SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
+        return landed(rows.mapInArrow(handing_back(described), f"{_SETS}, row long"), "sets")
+    return landed(rows.mapInArrow(handing_back(described), _SETS).withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
 def _short_sets(hashes: np.ndarray, begins: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -260,7 +270,7 @@ def candidate_sets(documents: DataFrame, nodes: DataFrame, words: int) -> DataFr
                 ["text_key", "digest", "shingles"],
             )
 
-    texts = _texts(documents).mapInArrow(found, "text_key long, digest binary, shingles array<long>")
+    texts = _texts(documents).mapInArrow(handing_back(found), "text_key long, digest binary, shingles array<long>")
     # Rows that repeat a text repeat its key; the first of them is enough.
     return nodes.join(texts, ["text_key", "digest"]).dropDuplicates(["node"]).select("node", "shingles")
 
@@ -279,7 +289,7 @@ class _Verifier:
 
     def __init__(self, documents: DataFrame, rows: DataFrame, named: DataFrame, words: int, percent: int) -> None:
         self.documents, self.rows, self.named, self.words, self.percent = documents, rows, named, words, percent
-        self.sets = documents.sparkSession.createDataFrame([], "node long, shingles array<long>")
+        self.sets = no_rows(documents.sparkSession, "node long, shingles array<long>")
 
     def _apart(self, pairs: DataFrame, slices: DataFrame) -> DataFrame:
         """Pairs without those whose counts over slices differ by more than the threshold allows.
@@ -412,7 +422,7 @@ def near_classes(
     shared = met.filter("held > 2").select("token", "node", "n", "at", F.col("leader.node").alias("met"))
 
     verifier = _Verifier(documents, rows, named, words, percent)
-    labels = spark.createDataFrame([], "node long, label long")
+    labels = no_rows(spark, "node long, label long")
     for number in range(LEADER_ROUNDS + 1):
         if not number:
             pairs, used = met.filter("first").select(F.col("node").alias("a"), F.col("leader.node").alias("b")), []

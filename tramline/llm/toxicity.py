@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import in_slices, landed, ship_package
+from tramline.llm.common import handing_back, in_slices, landed, ship_package
 
 # The models are fitted on at most this many labelled rows, those with the smallest hash of doc_id.
 LABELLED_ROWS = 20_000
@@ -174,7 +174,7 @@ def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
                 [*(batch.column(name) for name in kept), pa.array(values, pa.list_(pa.float64()))], [*kept, "features"]
             )
 
-    return texts.mapInArrow(worked_out, schema)
+    return texts.mapInArrow(handing_back(worked_out), schema)
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
